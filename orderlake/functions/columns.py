@@ -21,7 +21,7 @@ def safe_cast(c: Column | str, dtype: T.DataType | str) -> Column:
 def safe_date(c: Column | str, fmt: str = "yyyy-MM-dd") -> Column:
     """Parse a date string, NULL when it does not match ``fmt``."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(col, F.lit(fmt))
+    return F.try_to_date(col, fmt)
 
 
 def canonical_alias(df: DataFrame, name: str, aliases: Iterable[str] | None = None) -> DataFrame:

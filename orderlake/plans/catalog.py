@@ -38,31 +38,45 @@ def with_ctes(body: str, extra: str = "") -> str:
 
 
 # ---------------------------------------------------------------- slice 1 --
-_DEDUP_CTE = """
-orders_latest AS (
+def enrich_ctes(src: str = "orders_src", p: str = "") -> str:
+    """Oracle CTE chain of the daily enrichment over the order feed ``src``;
+    ``p`` prefixes the CTE names so two chains can coexist."""
+    return f"""
+{p}orders_latest AS (
   SELECT order_id, user_id, amount, currency, process_date FROM (
     SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY process_date DESC) AS rn
-    FROM orders_src) WHERE rn = 1
+    FROM {src}) WHERE rn = 1
 ),
-events_agg AS (
+{p}events_agg AS (
   SELECT user_id, count(event_type) AS event_count,
          string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_types
   FROM events_src GROUP BY user_id
 ),
-segments_dim AS (SELECT user_id, segment AS user_segment FROM segments_src),
-enriched AS (
+{p}segments_dim AS (SELECT user_id, segment AS user_segment FROM segments_src),
+{p}enriched AS (
   SELECT o.order_id, o.user_id, o.amount, o.currency, o.process_date,
          COALESCE(s.user_segment, 'unclassified') AS user_segment,
          CAST(COALESCE(e.event_count, 0) AS INTEGER) AS event_count,
          e.event_types
-  FROM orders_latest o
-  LEFT JOIN events_agg e ON o.user_id = e.user_id
-  LEFT JOIN segments_dim s ON o.user_id = s.user_id
+  FROM {p}orders_latest o
+  LEFT JOIN {p}events_agg e ON o.user_id = e.user_id
+  LEFT JOIN {p}segments_dim s ON o.user_id = s.user_id
   WHERE o.amount > 0
+),
+{p}gold AS (
+  SELECT order_id, user_id, ROUND(amount, 2) AS amount, UPPER(currency) AS currency,
+         process_date, COALESCE(user_segment, 'unclassified') AS user_segment,
+         COALESCE(event_count, 0) AS event_count, event_types
+  FROM {p}enriched
+  WHERE order_id IS NOT NULL AND user_id IS NOT NULL AND amount > 0
+    AND currency IN ('INR', 'USD', 'EUR', 'GBP')
 )
 """
 
 
+_DEDUP_CTE = enrich_ctes()
+
+
 def _inputs(spark, sf_dir):
     return (feeds.orders_feed(spark, sf_dir), feeds.events_feed(spark, sf_dir),
             feeds.segments_feed(spark, sf_dir))
@@ -151,3 +165,341 @@ def naive_join_fanout(spark, sf_dir):
               .unionByName(deduped.select(F.lit(0).alias("n"), F.lit(1).alias("i"))))
     return tagged.agg(F.sum("n").cast("long").alias("naive_rows"),
                       F.sum("i").cast("long").alias("input_rows"))
+
+
+# ------------------------------------------------------ gold and merge ----
+from ..functions.columns import money_sum  # noqa: E402
+from ..operators import gates as G  # noqa: E402
+from ..operators import gold as GD  # noqa: E402
+from ..operators import history as H  # noqa: E402
+from ..operators import marts as M  # noqa: E402
+from ..session import scratch_dir  # noqa: E402
+from ..sources.files import read_history_csv, read_processed  # noqa: E402
+from . import lakehouse as L  # noqa: E402
+from .daily import run_enrichment  # noqa: E402
+from .history import run_history  # noqa: E402
+
+GOLD_COLS = ["order_id", "user_id", "amount", "currency", "process_date", "user_segment",
+             "event_count", "event_types"]
+# Guard bounds of the registered all-days reports (every loaded day).
+ALL_DAYS = ("1900-01-01", "2999-12-31")
+
+
+def _gold_table(spark, sf_dir):
+    return M.guarded_read(spark, L.lake(spark, sf_dir).gold, *ALL_DAYS)
+
+
+def _latest_day(gold):
+    return gold.select(F.max("process_date")).scalar()
+
+
+@register("gold_model", with_ctes("SELECT * FROM gold", _DEDUP_CTE))
+def gold_model_q(spark, sf_dir):
+    return _flat(GD.gold_model(enriched_frame(spark, sf_dir), L.RUN_TS).drop("updated_at"))
+
+
+@register("gold_merge_first", with_ctes("SELECT * FROM gold", _DEDUP_CTE))
+def gold_merge_first(spark, sf_dir):
+    return _flat(read_processed(spark, L.lake(spark, sf_dir).gold).select(*GOLD_COLS))
+
+
+@register("gold_merge_rerun", with_ctes("SELECT * FROM gold", _DEDUP_CTE))
+def gold_merge_rerun(spark, sf_dir):
+    target = scratch_dir(spark, "gold-rerun")
+    src = GD.gold_model(enriched_frame(spark, sf_dir), L.RUN_TS)
+    GD.merge_upsert(spark, target, src, run_ts=L.RUN_TS)
+    GD.merge_upsert(spark, target, src, run_ts=L.RUN_TS)
+    return _flat(read_processed(spark, target).select(*GOLD_COLS))
+
+
+_PROMO_SQL = "upper(substr(user_segment, 1, 3)) || '10'"
+
+
+@register("gold_merge_new_column", with_ctes(f"""
+SELECT f.*, CAST(NULL AS VARCHAR) AS promo_code FROM f_gold f
+WHERE NOT EXISTS (SELECT 1 FROM gold g
+                  WHERE g.order_id = f.order_id AND g.process_date = f.process_date)
+UNION ALL
+SELECT g.*, {_PROMO_SQL} AS promo_code FROM gold g""",
+    enrich_ctes("orders_first", "f_") + "," + _DEDUP_CTE))
+def gold_merge_new_column(spark, sf_dir):
+    """E1 on real batches: first the first transmissions, then the full feed
+    (corrections included) carrying a newly approved column."""
+    orders, events, segments = _inputs(spark, sf_dir)
+    _, first = E.enrich_daily(feeds.orders_first_feed(spark, sf_dir), events, segments)
+    _, full = E.enrich_daily(orders, events, segments)
+    full = full.withColumn("promo_code", F.concat(
+        F.upper(F.substring("user_segment", 1, 3)), F.lit("10")))
+    target = scratch_dir(spark, "gold-evolve")
+    GD.merge_upsert(spark, target, GD.gold_model(first, L.RUN_TS), run_ts=L.RUN_TS)
+    GD.merge_upsert(spark, target, GD.gold_model(full, L.RUN_TS), run_ts=L.RUN_TS)
+    return _flat(read_processed(spark, target).select(*GOLD_COLS, "promo_code"))
+
+
+@register("gold_merge_script_preset", with_ctes("SELECT * FROM enriched", _DEDUP_CTE))
+def gold_merge_script_preset(spark, sf_dir):
+    target = scratch_dir(spark, "gold-script")
+    src = GD.script_projection(read_processed(spark, L.lake(spark, sf_dir).processed))
+    GD.merge_upsert(spark, target, src, preset=GD.SCRIPT, run_ts=L.RUN_TS)
+    GD.merge_upsert(spark, target, src, preset=GD.SCRIPT, run_ts=L.RUN_TS)
+    return read_processed(spark, target).drop("inserted_at", "updated_at")
+
+
+@register("partitioned_roundtrip", with_ctes("SELECT * FROM enriched", _DEDUP_CTE))
+def partitioned_roundtrip(spark, sf_dir):
+    return _flat(read_processed(spark, L.lake(spark, sf_dir).processed))
+
+
+@register("partition_rerun", with_ctes("SELECT * FROM enriched", _DEDUP_CTE))
+def partition_rerun(spark, sf_dir):
+    root = scratch_dir(spark, "rerun")
+    for _ in range(2):
+        orders, events, segments = _inputs(spark, sf_dir)
+        run_enrichment(spark, orders, events, segments, root)
+    return _flat(read_processed(spark, root))
+
+
+@register("late_rows_split", with_ctes("""
+SELECT * FROM enriched
+WHERE process_date NOT IN (SELECT DISTINCT process_date FROM orders_first)""", _DEDUP_CTE))
+def late_rows_split(spark, sf_dir):
+    """H7: a run owns the first-transmission dates; corrections dated a day
+    no batch owns are diverted to the late-rows table."""
+    from ..sinks.parquet import source_partition_values
+    run_dates = source_partition_values(feeds.orders_first_feed(spark, sf_dir), "process_date")
+    root = scratch_dir(spark, "late")
+    orders, events, segments = _inputs(spark, sf_dir)
+    run_enrichment(spark, orders, events, segments, f"{root}/processed",
+                   run_dates=run_dates, late_root=f"{root}/late")
+    return _flat(read_processed(spark, f"{root}/late"))
+
+
+@register("row_explosion_metrics", with_ctes("""
+SELECT i.n AS input_rows, o.n AS output_rows,
+       ROUND(CASE WHEN i.n > 0 THEN o.n / i.n ELSE 0 END, 6) AS ratio,
+       CASE WHEN i.n > 0 AND o.n / i.n > 1.10 THEN 'FAIL' ELSE 'PASS' END AS status
+FROM (SELECT count(*) AS n FROM orders_latest) i, (SELECT count(*) AS n FROM enriched) o""",
+    _DEDUP_CTE))
+def row_explosion_metrics(spark, sf_dir):
+    orders, events, segments = _inputs(spark, sf_dir)
+    deduped, final = E.enrich_daily(orders, events, segments)
+    return G.row_gate_frame(deduped, final)
+
+
+def _tests_sql(table: str, with_updated: bool) -> str:
+    nn = ["order_id", "user_id", "amount", "currency", "process_date", "user_segment",
+          "event_count"]
+    parts = [f"SELECT 'not_null_{c}' AS test_name, count(*) FILTER (WHERE {c} IS NULL) AS failures "
+             f"FROM {table}" for c in nn]
+    if with_updated:
+        parts.append("SELECT 'not_null_updated_at', CAST(0 AS BIGINT)")
+    parts += [
+        f"SELECT 'expression_is_true_amount_gt_0', count(*) FILTER (WHERE NOT (amount > 0)) FROM {table}",
+        f"SELECT 'expression_is_true_event_count_ge_0', count(*) FILTER (WHERE NOT (event_count >= 0)) FROM {table}",
+        f"SELECT 'unique_order_id', count(*) FROM (SELECT order_id FROM {table} "
+        f"WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)",
+        f"SELECT 'accepted_values_currency', count(*) FROM (SELECT DISTINCT currency FROM {table} "
+        f"WHERE currency NOT IN ('INR', 'USD', 'EUR', 'GBP'))",
+    ]
+    return "SELECT test_name, CAST(failures AS BIGINT) AS failures FROM (\n" + \
+        "\nUNION ALL\n".join(parts) + ")"
+
+
+@register("data_tests", with_ctes(_tests_sql("gold", True), _DEDUP_CTE))
+def data_tests_q(spark, sf_dir):
+    return G.data_tests(_gold_table(spark, sf_dir))
+
+
+@register("data_tests_processed", with_ctes(_tests_sql("enriched", False), _DEDUP_CTE))
+def data_tests_processed(spark, sf_dir):
+    return G.data_tests(read_processed(spark, L.lake(spark, sf_dir).processed))
+
+
+FRESHNESS_AS_OF = "2001-08-03 04:00:00"
+
+
+@register("freshness", with_ctes(f"""
+SELECT max_loaded_at,
+       ROUND((epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(max_loaded_at)) / 3600.0, 2) AS hours_since,
+       CASE WHEN max_loaded_at IS NULL
+              OR (epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(max_loaded_at)) / 3600.0 > 30 THEN 'error'
+            WHEN (epoch(TIMESTAMP '{FRESHNESS_AS_OF}') - epoch(max_loaded_at)) / 3600.0 > 25 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM (SELECT CAST(max(process_date) AS TIMESTAMP) AS max_loaded_at FROM gold)""", _DEDUP_CTE))
+def freshness_q(spark, sf_dir):
+    return G.freshness(_gold_table(spark, sf_dir), FRESHNESS_AS_OF)
+
+
+@register("contract_check")
+def contract_check_q(spark, sf_dir):
+    return G.contract_frame(read_processed(spark, L.lake(spark, sf_dir).gold))
+
+
+# -------------------------------------------------------------- marts ----
+@register("daily_revenue_by_segment", with_ctes("""
+SELECT process_date, user_segment,
+       CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+       COUNT(DISTINCT order_id) AS order_count
+FROM gold GROUP BY process_date, user_segment""", _DEDUP_CTE))
+def daily_revenue_by_segment(spark, sf_dir):
+    return M.revenue_by_segment(_gold_table(spark, sf_dir))
+
+
+_LATEST = "(SELECT max(process_date) FROM gold)"
+
+
+@register("segment_revenue_for_date", with_ctes(f"""
+SELECT user_segment, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+FROM gold WHERE process_date = {_LATEST} GROUP BY user_segment""", _DEDUP_CTE))
+def segment_revenue_for_date(spark, sf_dir):
+    """A8 for the latest loaded day."""
+    root = L.lake(spark, sf_dir).gold
+    latest = _latest_day(read_processed(spark, root))
+    return M.segment_revenue(M.guarded_read(spark, root, latest, latest))
+
+
+@register("revenue_trend_7d", with_ctes(f"""
+SELECT process_date, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+FROM gold WHERE process_date BETWEEN {_LATEST} - INTERVAL 7 DAY AND {_LATEST}
+GROUP BY process_date""", _DEDUP_CTE))
+def revenue_trend_7d(spark, sf_dir):
+    """The latest day and the 7 before it (inclusive bounds = 8 days)."""
+    root = L.lake(spark, sf_dir).gold
+    latest = _latest_day(read_processed(spark, root))
+    return M.revenue_trend(M.guarded_read(spark, root, F.date_sub(latest, 7), latest))
+
+
+@register("month_total", with_ctes("""
+SELECT date_trunc('month', process_date)::DATE AS month,
+       CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+FROM gold GROUP BY 1""", _DEDUP_CTE))
+def month_total(spark, sf_dir):
+    return M.month_totals(_gold_table(spark, sf_dir))
+
+
+@register("date_segment_summary", with_ctes("""
+SELECT process_date, user_segment, count(*) AS order_count,
+       CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+       CAST(SUM(event_count) AS BIGINT) AS total_events
+FROM gold GROUP BY 1, 2""", _DEDUP_CTE))
+def date_segment_summary(spark, sf_dir):
+    return M.date_segment_summary(_gold_table(spark, sf_dir))
+
+
+@register("user_order_count", with_ctes("""
+SELECT user_id, count(*) AS order_count FROM gold GROUP BY user_id""", _DEDUP_CTE))
+def user_order_count(spark, sf_dir):
+    return M.user_order_count(_gold_table(spark, sf_dir))
+
+
+@register("distinct_users_since", with_ctes(f"""
+SELECT DISTINCT user_id FROM gold WHERE process_date >= {_LATEST} - INTERVAL 365 DAY""",
+    _DEDUP_CTE))
+def distinct_users_since(spark, sf_dir):
+    """Users active in the year up to the latest loaded day."""
+    root = L.lake(spark, sf_dir).gold
+    latest = _latest_day(read_processed(spark, root))
+    return M.distinct_users(M.guarded_read(spark, root, F.date_sub(latest, 365), latest))
+
+
+@register("duplicate_dimension_keys", with_ctes("""
+SELECT user_id, count(*) AS row_count FROM segments_src GROUP BY user_id HAVING count(*) > 1"""))
+def duplicate_dimension_keys(spark, sf_dir):
+    return G.duplicate_keys(feeds.segments_feed(spark, sf_dir), "user_id")
+
+
+@register("duplicate_order_keys", with_ctes("""
+SELECT order_id, count(*) AS row_count FROM orders_src GROUP BY order_id HAVING count(*) > 1"""))
+def duplicate_order_keys(spark, sf_dir):
+    return G.duplicate_keys(feeds.orders_feed(spark, sf_dir), "order_id")
+
+
+@register("segment_user_lookup", with_ctes(f"""
+SELECT * FROM gold WHERE process_date BETWEEN {_LATEST} - INTERVAL 365 DAY AND {_LATEST}
+  AND user_segment = 'building'""", _DEDUP_CTE))
+def segment_user_lookup(spark, sf_dir):
+    """One segment over the year up to the latest loaded day."""
+    root = L.lake(spark, sf_dir).gold
+    latest = _latest_day(read_processed(spark, root))
+    gold = M.guarded_read(spark, root, F.date_sub(latest, 365), latest)
+    return _flat(M.segment_user_lookup(gold, segment="building").select(*GOLD_COLS))
+
+
+@register("order_lookup", with_ctes("""
+SELECT * FROM enriched WHERE order_id IN
+  (SELECT order_id FROM orders_src GROUP BY order_id HAVING count(*) > 1)""", _DEDUP_CTE))
+def order_lookup(spark, sf_dir):
+    """P20: trace the re-transmitted orders in the processed (staging) table."""
+    resent = G.duplicate_keys(feeds.orders_feed(spark, sf_dir), "order_id")
+    return _flat(M.order_lookup(read_processed(spark, L.lake(spark, sf_dir).processed), resent))
+
+
+@register("guarded_read", with_ctes("SELECT * FROM gold", _DEDUP_CTE))
+def guarded_read_q(spark, sf_dir):
+    df = _gold_table(spark, sf_dir).select(*GOLD_COLS)
+    M.require_partition_filter(df)
+    return _flat(df)
+
+
+@register("rename_transition", with_ctes("SELECT * FROM events_agg", _DEDUP_CTE))
+def rename_transition(spark, sf_dir):
+    """An events drop that uses the new column name ``action_type``."""
+    renamed = feeds.events_feed(spark, sf_dir).withColumnRenamed("event_type", "action_type")
+    return _flat(E.aggregate_events(renamed))
+
+
+# ------------------------------------------------------ history + audit ----
+_HIST = feeds.HISTORY_CTES.strip()
+
+
+@register("history_clean", with_ctes("SELECT * FROM history_clean", _HIST))
+def history_clean(spark, sf_dir):
+    return read_processed(spark, L.history_lake(spark, sf_dir).clean)
+
+
+@register("history_rejects", with_ctes("""
+SELECT order_id, user_id, amount, currency, channel, product_sku, process_date, date,
+       CASE WHEN order_id IS NULL THEN 'null order_id' WHEN user_id IS NULL THEN 'null user_id'
+            WHEN amount IS NULL THEN 'unparseable amount'
+            WHEN amount <= 0 THEN 'non-positive amount' ELSE 'unparseable process_date' END
+         AS reject_reason
+FROM history_rejects""", _HIST))
+def history_rejects(spark, sf_dir):
+    return read_processed(spark, L.history_lake(spark, sf_dir).rejects)
+
+
+@register("backfill_range", with_ctes(f"""
+SELECT order_id, user_id, amount, currency, channel, product_sku, process_date
+FROM history_src
+WHERE date BETWEEN DATE '{ALL_DAYS[0]}' AND DATE '{ALL_DAYS[1]}'
+  AND order_id IS NOT NULL AND user_id IS NOT NULL AND amount > 0 AND process_date IS NOT NULL""",
+    _HIST))
+def backfill_range(spark, sf_dir):
+    """One job over a date range of the CSV folders."""
+    h = L.history_lake(spark, sf_dir)
+    out = scratch_dir(spark, "backfill")
+    run_history(spark, h.csv, out, start=ALL_DAYS[0], end=ALL_DAYS[1])
+    return read_processed(spark, out)
+
+
+@register("reconciliation_report", with_ctes("""
+SELECT 'all' AS execution_date,
+       CASE WHEN t.n - (s.n - r.n) <> 0 OR abs(t.amt - (s.amt - r.amt)) > 0.01
+            THEN 'MISMATCH' ELSE 'SUCCESS' END AS status,
+       s.n AS source_row_count, ROUND(s.amt, 2) AS source_sum_amount,
+       r.n AS filtered_row_count, ROUND(r.amt, 2) AS filtered_sum_amount,
+       t.n AS target_row_count, ROUND(t.amt, 2) AS target_sum_amount,
+       t.n - (s.n - r.n) AS discrepancy_rows,
+       ROUND(abs(t.amt - (s.amt - r.amt)), 4) AS discrepancy_amount,
+       CASE WHEN t.n - (s.n - r.n) <> 0 OR abs(t.amt - (s.amt - r.amt)) > 0.01
+            THEN 'mismatch' ELSE 'All counts and amounts reconciled perfectly.' END AS message
+FROM (SELECT count(*) AS n, COALESCE(CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE), 0) AS amt
+      FROM history_src) s,
+     (SELECT count(*) AS n, COALESCE(CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE), 0) AS amt
+      FROM history_rejects) r,
+     (SELECT count(*) AS n, COALESCE(CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE), 0) AS amt
+      FROM history_clean) t""", _HIST))
+def reconciliation_report(spark, sf_dir):
+    h = L.history_lake(spark, sf_dir)
+    return H.reconciliation_report(read_history_csv(spark, h.csv),
+                                   read_processed(spark, h.clean), "all")

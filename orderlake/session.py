@@ -34,6 +34,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", os.environ.get("ORDERLAKE_DRIVER_MEMORY", "8g"))
+    if master.startswith("local"):
+        # Local runs only: skip the checksum side files of the local
+        # filesystem (each costs a forked chmod without native Hadoop libs).
+        conf.setdefault("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -37,11 +37,12 @@ def _currency(priority: Column) -> Column:
     return expr.otherwise(F.lit(OTHER_CURRENCY))
 
 
-def orders_first_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order once, as first transmitted (with planted faults)."""
+def orders_first_feed(spark: SparkSession, sf_dir: str, carry=()) -> DataFrame:
+    """Every order once, as first transmitted (with planted faults).
+    ``carry``: extra column expressions over the ``orders`` table."""
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    return o.select(
+    return o.select(*carry,
         key.cast("string").alias("order_id"),
         F.when(key % NULL_USER_MOD == NULL_USER_REM, F.lit(None).cast("string"))
          .otherwise(F.col("o_custkey").cast("string")).alias("user_id"),
@@ -53,10 +54,10 @@ def orders_first_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_resent_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_resent_feed(spark: SparkSession, sf_dir: str, carry=()) -> DataFrame:
     """Corrected re-transmissions: same order, amount + 1, one day later."""
     o = table(spark, sf_dir, "orders")
-    return o.where(F.col("o_orderkey") % RESEND_MOD == RESEND_REM).select(
+    return o.where(F.col("o_orderkey") % RESEND_MOD == RESEND_REM).select(*carry,
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         (F.col("o_totalprice") + 1).alias("amount"),
@@ -65,9 +66,10 @@ def orders_resent_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_feed(spark: SparkSession, sf_dir: str, carry=()) -> DataFrame:
     """All order versions: first transmissions plus corrections."""
-    return orders_first_feed(spark, sf_dir).unionByName(orders_resent_feed(spark, sf_dir))
+    return orders_first_feed(spark, sf_dir, carry).unionByName(
+        orders_resent_feed(spark, sf_dir, carry))
 
 
 def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,3 +122,50 @@ segments_src AS (
   FROM customer WHERE c_acctbal > 0
 )
 """
+
+
+# --- fixed values: fault-planting rules of the legacy CSV export -------------
+BAD_AMOUNT_MOD, BAD_AMOUNT_TEXT = 89, "n/a"      # amount text that does not parse
+BAD_DATE_MOD, BAD_DATE_TEXT = 83, "2O24-13-45"   # date text that does not parse
+# --- end fixed values ---------------------------------------------------------
+
+
+def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Legacy export of every order version as all-string CSV rows.
+
+    ``date`` is the export folder (``date=YYYY-MM-DD``); the in-file
+    ``process_date`` text may be corrupt, as may the amount text.
+    """
+    rows = orders_feed(spark, sf_dir, carry=(F.lower("o_orderstatus").alias("channel"),
+                                             F.col("o_orderpriority").alias("product_sku")))
+    key = F.col("order_id").cast("long")
+    return rows.select(
+        "order_id", "user_id",
+        F.when(key % BAD_AMOUNT_MOD == 0, F.lit(BAD_AMOUNT_TEXT))
+         .otherwise(F.col("amount").cast("string")).alias("amount"),
+        "currency", "channel", "product_sku",
+        F.when(key % BAD_DATE_MOD == 0, F.lit(BAD_DATE_TEXT))
+         .otherwise(F.date_format("process_date", "yyyy-MM-dd")).alias("process_date"),
+        F.date_format("process_date", "yyyy-MM-dd").alias("date"),
+    )
+
+
+HISTORY_CTES = """
+history_src AS (
+  SELECT s.order_id, s.user_id,
+         CASE WHEN CAST(s.order_id AS BIGINT) % 89 = 0 THEN NULL ELSE s.amount END AS amount,
+         s.currency, lower(o.o_orderstatus) AS channel, o.o_orderpriority AS product_sku,
+         CASE WHEN CAST(s.order_id AS BIGINT) % 83 = 0 THEN NULL ELSE s.process_date END AS process_date,
+         s.process_date AS date
+  FROM orders_src s LEFT JOIN orders o ON CAST(o.o_orderkey AS VARCHAR) = s.order_id
+),
+history_clean AS (
+  SELECT order_id, user_id, amount, currency, channel, product_sku, process_date FROM history_src
+  WHERE order_id IS NOT NULL AND user_id IS NOT NULL AND amount > 0 AND process_date IS NOT NULL
+),
+history_rejects AS (
+  SELECT * FROM history_src
+  WHERE NOT (order_id IS NOT NULL AND user_id IS NOT NULL AND COALESCE(amount > 0, false)
+             AND process_date IS NOT NULL)
+)
+"""
