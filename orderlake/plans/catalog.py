@@ -503,3 +503,32 @@ def reconciliation_report(spark, sf_dir):
     h = L.history_lake(spark, sf_dir)
     return H.reconciliation_report(read_history_csv(spark, h.csv),
                                    read_processed(spark, h.clean), "all")
+
+
+# ------------------------------------------------------------ landing ----
+def _landing_zone(spark, sf_dir):
+    from .landing import build_landing_zone
+    root = scratch_dir(spark, "landing")
+    return build_landing_zone(spark, sf_dir, f"{root}/raw"), f"{root}/registry"
+
+
+def _decision_cols(df):
+    return df.select("filename", "file_type", "md5", "status", "failure_reason")
+
+
+@register("landing_decisions")
+def landing_decisions_q(spark, sf_dir):
+    """One decision per landed Parquet file."""
+    from .landing import run_landing
+    raw, registry = _landing_zone(spark, sf_dir)
+    return _decision_cols(run_landing(spark, raw, registry, L.RUN_TS).decisions)
+
+
+@register("landing_rerun")
+def landing_rerun_q(spark, sf_dir):
+    """Same drop twice: validated bytes become duplicates, quarantined files
+    are checked again (H20)."""
+    from .landing import run_landing
+    raw, registry = _landing_zone(spark, sf_dir)
+    run_landing(spark, raw, registry, L.RUN_TS)
+    return _decision_cols(run_landing(spark, raw, registry, L.RUN_TS).decisions)
