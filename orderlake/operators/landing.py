@@ -101,9 +101,11 @@ def landing_decisions(spark: SparkSession, listing: DataFrame, root: str,
     d = files.join(inspected, "path", "left")
 
     # Content seen before (validated only) or earlier in this batch.
-    w = Window.partitionBy("md5").orderBy("path")
-    d = d.withColumn("_dup_in_batch", F.when(F.col("md5").isNotNull(),
-                                             F.row_number().over(w) > 1).otherwise(F.lit(False)))
+    # Unknown-type files are never registered, so they cannot claim a hash.
+    w = Window.partitionBy("md5").orderBy(F.col("file_type").isNull(), "path")
+    d = d.withColumn("_dup_in_batch", F.when(
+        F.col("md5").isNotNull() & F.col("file_type").isNotNull(),
+        F.row_number().over(w) > 1).otherwise(F.lit(False)))
     if registry is not None:
         seen = (registry.where(F.col("status") == "validated").select("md5").distinct()
                 .withColumn("_seen", F.lit(True)))

@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import landing as LG
+
+# The fixed schema of the binaryFile source (streams need it up front).
+BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length long, "
+                      "content binary")
 from ..sinks.parquet import path_exists
 
 
@@ -25,7 +29,7 @@ def start_landing_stream(spark: SparkSession, raw_root: str, decisions_path: str
                          registry_path: str, checkpoint: str,
                          available_now: bool = True,
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    reader = (spark.readStream.format("binaryFile")
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
