@@ -13,7 +13,7 @@ from ..functions.columns import event_list
 from ..schemas import ACCEPTED_CURRENCIES, UNCLASSIFIED_SEGMENT
 from ..session import scratch_dir
 from ..sinks import parquet as sink
-from ..sources.files import read_processed
+from ..sources.files import read_partitions
 from .gates import GateError
 
 
@@ -119,12 +119,15 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
         src = src.withColumn("inserted_at", F.lit(run_ts).cast("timestamp"))
 
     if sink.path_exists(spark, target):
-        tgt = read_processed(spark, target).where(sink.partition_filter(touched, partition_col))
+        # only the touched day folders are listed and read
+        tgt = read_partitions(spark, target, partition_col, touched, none_if_missing=True)
     else:
         tgt = None
 
     if tgt is None:
-        merged = src
+        # nothing to match: the staged source is published as it is
+        sink.publish_partitions(spark, src, target, partition_col, cluster_by)
+        return MergeResult(len(touched), rows, rejected)
     else:
         s = src.withColumn("_in_src", F.lit(True))
         t = tgt.withColumn("_in_tgt", F.lit(True))

@@ -9,13 +9,17 @@ from __future__ import annotations
 
 import contextlib
 import io
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import money_sum
-from ..sources.files import read_processed
+from ..sources.files import read_partitions, read_processed
+
+# Ranges up to this many days list only their own partition folders; wider
+# ranges list the table and rely on the scan's partition filter.
+MAX_LISTED_DAYS = 400
 
 
 class PartitionFilterRequired(ValueError):
@@ -29,6 +33,12 @@ def guarded_read(spark: SparkSession, root: str, start: str | date | Column,
         raise PartitionFilterRequired(f"a {partition_col} range is required")
     lo = start if isinstance(start, Column) else F.lit(str(start)).cast("date")
     hi = end if isinstance(end, Column) else F.lit(str(end)).cast("date")
+    if not isinstance(start, Column) and not isinstance(end, Column):
+        a, b = date.fromisoformat(str(start)), date.fromisoformat(str(end))
+        if 0 <= (b - a).days < MAX_LISTED_DAYS:
+            days = [a + timedelta(days=i) for i in range((b - a).days + 1)]
+            df = read_partitions(spark, root, partition_col, days)
+            return df.where(F.col(partition_col).between(lo, hi))
     return read_processed(spark, root).where(F.col(partition_col).between(lo, hi))
 
 

@@ -86,8 +86,8 @@ def publish_partitions(spark: SparkSession, staged_path: str | DataFrame, target
         present = {r[0] for r in staged.select(partition_col).distinct().collect()}
         delete_partitions(spark, target, partition_col,
                           [v for v in run_values if v not in present])
-    if staged.limit(1).count() == 0:
-        return
+        if not present:
+            return
     write_partitioned(staged, target, partition_col, cluster_by)
 
 

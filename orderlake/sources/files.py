@@ -50,6 +50,30 @@ def read_processed(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(root)
 
 
+def read_partitions(spark: SparkSession, root: str, partition_col: str,
+                    values, merge_schema: bool = True, none_if_missing: bool = False):
+    """Read only the named partition folders (``basePath`` keeps the column).
+
+    One brace glob lists just those folders, and only their footers are
+    read for schema merging, so the cost follows the days asked for, not
+    the size of the table. Days without a folder are simply absent. When
+    no folder matches: ``None`` if ``none_if_missing``, else an empty frame
+    with the table's schema (one footer read, no merge)."""
+    root = root.rstrip("/")
+    vals = sorted({str(v) for v in values})
+    r = spark.read.option("basePath", root).option("mergeSchema", str(merge_schema).lower())
+    if vals:
+        pattern = f"{root}/{partition_col}={{{','.join(vals)}}}"
+        try:
+            return r.parquet(pattern)
+        except Exception as exc:  # noqa: BLE001 - only "no folder matched" is expected
+            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                raise
+    if none_if_missing:
+        return None
+    return spark.read.parquet(root).where(F.lit(False))
+
+
 def read_partition(spark: SparkSession, root: str, partition_col: str,
                    value: str | date) -> DataFrame:
     """One partition folder, keeping the partition column via basePath."""
