@@ -35,7 +35,8 @@ def read_segments(spark: SparkSession, root: str, latest_only: bool = True) -> D
     stays a Spark filter (max over a tiny per-file aggregate, no listing on
     the driver).
     """
-    df = spark.read.parquet(f"{root.rstrip('/')}/segments/")
+    df = (spark.read.option("recursiveFileLookup", "true")
+          .parquet(f"{root.rstrip('/')}/segments/"))
     df = canonical_alias(df, "user_segment")
     if latest_only:
         df = df.withColumn("_file", F.input_file_name())
