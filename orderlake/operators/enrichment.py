@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import canonical_alias, safe_cast
 from ..schemas import APPROVED_OUTPUT_COLUMNS, PROCESSED_TYPES, UNCLASSIFIED_SEGMENT
+from .joins import left_lookup_join
 
 # Largest dimension (bytes of the pruned join columns) that is broadcast.
 DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
@@ -90,19 +91,25 @@ def dimension_profile(dim: DataFrame, key: str = "user_id",
     return DimensionProfile(int(r["rows"] or 0), int(r["bytes"] or 0), int(r["dups"] or 0))
 
 
+EVENTS_AGG_COLS = ("user_id", "event_count", "event_types")
+
+
 def enrich_orders(orders: DataFrame, events_agg: DataFrame, segments: DataFrame,
-                  key: str = "user_id", broadcast_segments: bool = True) -> DataFrame:
+                  key: str = "user_id", broadcast_segments: bool = False,
+                  broadcast_events: bool = False, skew_split: bool = True,
+                  **hot_opts) -> DataFrame:
     """J1 + J2: orders ⟕ events summary ⟕ segment dimension on ``user_id``.
 
-    J1 is a plain left join: AQE picks the strategy at run time and splits a
-    hot user's partition on the order side (skew join). J2 broadcasts the
-    two-column dimension only when the caller has checked its size
-    (``dimension_profile``); otherwise it is a shuffle join too. NULL user
-    ids never match.
+    Each lookup is broadcast only when the caller has checked its size
+    (``dimension_profile``); otherwise it is a shuffle join in which hot
+    user ids take a broadcast path of bounded size (``joins.left_lookup_join``).
+    NULL user ids never match.
     """
     segments = canonical_alias(segments, "user_segment").select(key, "user_segment")
-    seg = F.broadcast(segments) if broadcast_segments else segments
-    return orders.join(events_agg, on=key, how="left").join(seg, on=key, how="left")
+    with_events = left_lookup_join(orders, events_agg, key, broadcast_events, skew_split,
+                                   **hot_opts)
+    return left_lookup_join(with_events, segments, key, broadcast_segments, skew_split,
+                            **hot_opts)
 
 
 def naive_enrich(orders: DataFrame, events: DataFrame, segments: DataFrame,
@@ -146,14 +153,25 @@ def cast_and_select(df: DataFrame, approved: Sequence[str] = APPROVED_OUTPUT_COL
 
 def enrich_daily(orders: DataFrame, events: DataFrame, segments: DataFrame,
                  tie_breakers: Sequence[str] = (), dedup_events: bool = False,
-                 broadcast_segments: bool = True,
-                 approved: Sequence[str] = APPROVED_OUTPUT_COLUMNS) -> tuple[DataFrame, DataFrame]:
+                 broadcast_segments: bool | None = None, broadcast_events: bool | None = None,
+                 broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+                 approved: Sequence[str] = APPROVED_OUTPUT_COLUMNS,
+                 skew_split: bool = True, **hot_opts) -> tuple[DataFrame, DataFrame]:
     """Slice 1 of the build plan: W1 → A1/A2 → J1/J2 → P3–P7.
 
-    Returns ``(deduped_orders, enriched)``; the first is the row gate's
-    baseline (Q1).
+    A broadcast decision left as None is made here from a profile job of
+    that lookup (its size must be under ``broadcast_limit``). Returns
+    ``(deduped_orders, enriched)``; the first is the row gate's baseline.
     """
     deduped = latest_per_key(orders, ["order_id"], ["process_date desc"], tie_breakers)
     agg = aggregate_events(events, dedup_events=dedup_events)
-    enriched = enrich_orders(deduped, agg, segments, broadcast_segments=broadcast_segments)
+    if broadcast_segments is None:
+        broadcast_segments = dimension_profile(
+            canonical_alias(segments, "user_segment")).broadcastable(broadcast_limit)
+    if broadcast_events is None:
+        broadcast_events = dimension_profile(agg, cols=EVENTS_AGG_COLS).broadcastable(
+            broadcast_limit)
+    enriched = enrich_orders(deduped, agg, segments, broadcast_segments=broadcast_segments,
+                             broadcast_events=broadcast_events, skew_split=skew_split,
+                             **hot_opts)
     return deduped, cast_and_select(apply_business_rules(enriched), approved)

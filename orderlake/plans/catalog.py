@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import event_list
 from ..operators import enrichment as E
+from ..operators.joins import left_lookup_join
 from ..sources import feeds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,7 +111,9 @@ FROM orders_latest o LEFT JOIN events_agg e ON o.user_id = e.user_id""", _DEDUP_
 def orders_left_events(spark, sf_dir):
     orders, events, _ = _inputs(spark, sf_dir)
     deduped = E.latest_per_key(orders)
-    return _flat(deduped.join(E.aggregate_events(events), "user_id", "left"))
+    agg = E.aggregate_events(events)
+    small = E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS).broadcastable()
+    return _flat(left_lookup_join(deduped, agg, "user_id", broadcast_lookup=small))
 
 
 @register("orders_broadcast_segments", with_ctes("""
@@ -119,7 +122,8 @@ FROM orders_latest o LEFT JOIN segments_dim s ON o.user_id = s.user_id""", _DEDU
 def orders_broadcast_segments(spark, sf_dir):
     orders, _, segments = _inputs(spark, sf_dir)
     dim = segments.withColumnRenamed("segment", "user_segment").select("user_id", "user_segment")
-    return E.latest_per_key(orders).join(F.broadcast(dim), "user_id", "left")
+    small = E.dimension_profile(dim).broadcastable()
+    return left_lookup_join(E.latest_per_key(orders), dim, "user_id", broadcast_lookup=small)
 
 
 @register("business_rules", with_ctes("""
@@ -132,7 +136,12 @@ LEFT JOIN segments_dim s ON o.user_id = s.user_id
 WHERE o.amount > 0""", _DEDUP_CTE))
 def business_rules(spark, sf_dir):
     orders, events, segments = _inputs(spark, sf_dir)
-    joined = E.enrich_orders(E.latest_per_key(orders), E.aggregate_events(events), segments)
+    agg = E.aggregate_events(events)
+    joined = E.enrich_orders(
+        E.latest_per_key(orders), agg, segments,
+        broadcast_segments=E.dimension_profile(
+            E.canonical_alias(segments, "user_segment")).broadcastable(),
+        broadcast_events=E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS).broadcastable())
     return _flat(E.apply_business_rules(joined))
 
 

@@ -47,6 +47,7 @@ class RunResult:
     rows_out: int = 0
     late_rows: int = 0
     broadcast_segments: bool = False
+    broadcast_events: bool = False
     gate: RowGate | None = None
     staged_path: str | None = None
     notes: list[str] = field(default_factory=list)
@@ -60,7 +61,8 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
                    approved: Sequence[str] = APPROVED_OUTPUT_COLUMNS,
                    threshold: float = ROW_EXPLOSION_THRESHOLD,
                    broadcast_limit: int = E.DEFAULT_BROADCAST_LIMIT,
-                   on_duplicate_segments: str = "fail") -> RunResult:
+                   on_duplicate_segments: str = "fail",
+                   hot_opts: dict | None = None) -> RunResult:
     """Enrich ``orders`` and publish into ``processed_root``.
 
     ``run_dates`` (None = every date in the batch) scopes the partitions the
@@ -79,11 +81,18 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
         segments = E.latest_per_key(segments, ["user_id"], order, ["user_segment asc"])
     do_broadcast = prof.broadcastable(broadcast_limit)
 
+    # A1/A2 once, written (lineage cut): its size decides the J1 strategy.
+    events_stage = scratch_dir(spark, "events-summary")
+    sink.write_stage(E.aggregate_events(events, dedup_events=dedup_events), events_stage)
+    agg = spark.read.parquet(events_stage)
+    events_broadcast = E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS).broadcastable(
+        broadcast_limit)
+
     obs_in, obs_out = Observation("rows_in"), Observation("rows_out")
     deduped = E.latest_per_key(orders, ["order_id"], ["process_date desc"], tie_breakers)
     deduped = deduped.observe(obs_in, F.count(F.lit(1)).alias("rows"))
-    agg = E.aggregate_events(events, dedup_events=dedup_events)
-    enriched = E.enrich_orders(deduped, agg, segments, broadcast_segments=do_broadcast)
+    enriched = E.enrich_orders(deduped, agg, segments, broadcast_segments=do_broadcast,
+                               broadcast_events=events_broadcast, **(hot_opts or {}))
     final = E.cast_and_select(E.apply_business_rules(enriched), approved)
     final = final.observe(obs_out, F.count(F.lit(1)).alias("rows"))
 
@@ -91,7 +100,7 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
     sink.write_stage(final, stage)
     gate = RowGate(int(obs_in.get.get("rows", 0)), int(obs_out.get.get("rows", 0)), threshold)
     result = RunResult("SUCCESS", gate.rows_in, gate.rows_out, gate=gate, staged_path=stage,
-                       broadcast_segments=do_broadcast)
+                       broadcast_segments=do_broadcast, broadcast_events=events_broadcast)
     gate.enforce()  # raises before anything is published
 
     staged = spark.read.parquet(stage)

@@ -16,7 +16,7 @@ from ..sources.files import read_history_csv, read_history_range, read_processed
 
 def export_history_csv(rows: DataFrame, root: str) -> None:
     """Write legacy all-string rows as header CSV in ``date=`` folders."""
-    (rows.repartitionByRange("date").write.mode("overwrite").option("header", "true")
+    (sink.spread_by_range(rows, "date").write.mode("overwrite").option("header", "true")
          .partitionBy("date").csv(root))
 
 

@@ -23,8 +23,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_da
     groups. Range boundaries come from a sample of ``df``: pass a staged
     (already materialised) frame so the sample does not recompute joins.
     """
-    keys = [partition_col, *[c for c in (cluster_by or []) if c in df.columns]]
-    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    out = spread_by_range(df, partition_col, cluster_by)
     w = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "snappy"))
     if max_records_per_file:
@@ -32,6 +31,18 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_da
     w.partitionBy(partition_col).parquet(path)
 
 
+def spread_by_range(df: DataFrame, partition_col: str,
+                    cluster_by: Sequence[str] | None = None) -> DataFrame:
+    """Range-partition on (partition column, cluster columns, row hash) and
+    sort inside tasks on (partition column, cluster columns). The row hash is
+    the last range key, so even a single hot day (or a hot user inside a
+    day) is cut into several tasks by the range boundaries."""
+    keys = [partition_col, *[c for c in (cluster_by or []) if c in df.columns]]
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    return (df.withColumn("_spread", spread).repartitionByRange(*keys, "_spread")
+              .sortWithinPartitions(*keys).drop("_spread"))
+
+
 def write_replace(df: DataFrame, path: str) -> None:
     """K3: replace the whole table (staging is ephemeral)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
