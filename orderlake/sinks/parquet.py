@@ -9,6 +9,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .table_schema import update_table_schema
+
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_date",
                       cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
@@ -29,6 +31,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_da
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w.partitionBy(partition_col).parquet(path)
+    update_table_schema(df.sparkSession, path, df.schema)
 
 
 def spread_by_range(df: DataFrame, partition_col: str,

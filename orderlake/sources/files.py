@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_alias
 from ..schemas import HISTORY_CSV_SCHEMA
+from ..sinks.table_schema import read_table_schema
 
 
 def read_orders(spark: SparkSession, root: str, run_date: str | date) -> DataFrame:
@@ -46,8 +47,13 @@ def read_segments(spark: SparkSession, root: str, latest_only: bool = True) -> D
 
 
 def read_processed(spark: SparkSession, root: str) -> DataFrame:
-    """processed/gold tables; ``mergeSchema`` keeps columns that only some
-    partitions have (history vs daily layout, added gold columns)."""
+    """processed/gold tables. The schema kept with the table is passed to
+    the reader (no footer scan); columns that only some partitions have read
+    as NULL elsewhere. Tables written by others fall back to ``mergeSchema``
+    (history vs daily layout, H10)."""
+    schema = read_table_schema(spark, root)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(root)
     return spark.read.option("mergeSchema", "true").parquet(root)
 
 
@@ -62,7 +68,9 @@ def read_partitions(spark: SparkSession, root: str, partition_col: str,
     with the table's schema (one footer read, no merge)."""
     root = root.rstrip("/")
     vals = sorted({str(v) for v in values})
-    r = spark.read.option("basePath", root).option("mergeSchema", str(merge_schema).lower())
+    schema = read_table_schema(spark, root)
+    r = spark.read.option("basePath", root)
+    r = r.schema(schema) if schema is not None else r.option("mergeSchema", str(merge_schema).lower())
     if vals:
         pattern = f"{root}/{partition_col}={{{','.join(vals)}}}"
         try:
@@ -72,15 +80,15 @@ def read_partitions(spark: SparkSession, root: str, partition_col: str,
                 raise
     if none_if_missing:
         return None
+    if schema is not None:
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(root).where(F.lit(False))
 
 
 def read_partition(spark: SparkSession, root: str, partition_col: str,
                    value: str | date) -> DataFrame:
     """One partition folder, keeping the partition column via basePath."""
-    root = root.rstrip("/")
-    return (spark.read.option("basePath", root).option("mergeSchema", "true")
-            .parquet(f"{root}/{partition_col}={value}"))
+    return read_partitions(spark, root, partition_col, [value])
 
 
 def read_history_csv(spark: SparkSession, path: str) -> DataFrame:
