@@ -18,6 +18,11 @@ from ..functions.columns import canonical_alias, safe_cast
 from ..schemas import APPROVED_OUTPUT_COLUMNS, PROCESSED_TYPES, UNCLASSIFIED_SEGMENT
 from .joins import left_lookup_join
 
+# Deterministic order among rows of one order on the same date (H1): the
+# reference leaves the survivor arbitrary; a total order also makes a
+# recomputed task (after executor loss) pick the same row.
+DEFAULT_TIE_BREAKERS = ("amount desc", "user_id asc", "currency asc")
+
 # Largest dimension (bytes of the pruned join columns) that is broadcast.
 DEFAULT_BROADCAST_LIMIT = 256 * 1024 * 1024
 
@@ -152,7 +157,7 @@ def cast_and_select(df: DataFrame, approved: Sequence[str] = APPROVED_OUTPUT_COL
 
 
 def enrich_daily(orders: DataFrame, events: DataFrame, segments: DataFrame,
-                 tie_breakers: Sequence[str] = (), dedup_events: bool = False,
+                 tie_breakers: Sequence[str] = DEFAULT_TIE_BREAKERS, dedup_events: bool = False,
                  broadcast_segments: bool | None = None, broadcast_events: bool | None = None,
                  broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                  approved: Sequence[str] = APPROVED_OUTPUT_COLUMNS,

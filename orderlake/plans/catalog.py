@@ -541,3 +541,28 @@ def landing_rerun_q(spark, sf_dir):
     raw, registry = _landing_zone(spark, sf_dir)
     run_landing(spark, raw, registry, L.RUN_TS)
     return _decision_cols(run_landing(spark, raw, registry, L.RUN_TS).decisions)
+
+
+@register("staging_load", with_ctes("SELECT * FROM enriched", _DEDUP_CTE))
+def staging_load(spark, sf_dir):
+    """The processed day partitions loaded into an ephemeral staging
+    table by full replace; loading twice leaves the same table."""
+    from ..sinks.parquet import write_replace
+    processed = L.lake(spark, sf_dir).processed
+    staging = scratch_dir(spark, "staging")
+    for _ in range(2):
+        write_replace(read_processed(spark, processed), staging)
+    return _flat(spark.read.parquet(staging))
+
+
+@register("landing_stream")
+def landing_stream_q(spark, sf_dir):
+    """T1 as Structured Streaming: the landing zone drained by an
+    availableNow file stream, each micro-batch decided by the same gate."""
+    from ..streaming.landing_stream import start_landing_stream
+    raw, _ = _landing_zone(spark, sf_dir)
+    root = scratch_dir(spark, "landing-stream")
+    q = start_landing_stream(spark, raw, f"{root}/decisions", f"{root}/registry",
+                             f"{root}/checkpoint")
+    q.awaitTermination()
+    return _decision_cols(spark.read.parquet(f"{root}/decisions"))

@@ -57,7 +57,8 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
                    segments: DataFrame, processed_root: str,
                    run_dates: Sequence[str | date] | None = None,
                    late_root: str | None = None,
-                   tie_breakers: Sequence[str] = (), dedup_events: bool = False,
+                   tie_breakers: Sequence[str] = E.DEFAULT_TIE_BREAKERS,
+                   dedup_events: bool = False,
                    approved: Sequence[str] = APPROVED_OUTPUT_COLUMNS,
                    threshold: float = ROW_EXPLOSION_THRESHOLD,
                    broadcast_limit: int = E.DEFAULT_BROADCAST_LIMIT,

@@ -31,18 +31,19 @@ def read_events(spark: SparkSession, root: str, run_date: str | date) -> DataFra
 def read_segments(spark: SparkSession, root: str, latest_only: bool = True) -> DataFrame:
     """S3: the segment dimension, ``segment`` renamed to ``user_segment``.
 
-    ``latest_only`` (H12 fix) keeps only the newest weekly drop: the file
-    whose name sorts last. The choice uses ``input_file_name`` per row, so it
-    stays a Spark filter (max over a tiny per-file aggregate, no listing on
-    the driver).
+    ``latest_only`` (H12 fix) keeps only the newest weekly drop: the entry
+    directly below ``segments/`` (a file or a folder of part files) whose
+    name sorts last. The choice is a Spark filter against a one-row
+    aggregate, so no listing is pulled to the driver.
     """
-    df = (spark.read.option("recursiveFileLookup", "true")
-          .parquet(f"{root.rstrip('/')}/segments/"))
+    base = f"{root.rstrip('/')}/segments/"
+    df = spark.read.option("recursiveFileLookup", "true").parquet(base)
     df = canonical_alias(df, "user_segment")
     if latest_only:
-        df = df.withColumn("_file", F.input_file_name())
-        newest = df.agg(F.max("_file").alias("_file"))
-        df = df.join(F.broadcast(newest), "_file", "left_semi").drop("_file")
+        drop = F.regexp_extract(F.input_file_name(), r"/segments/([^/]+)", 1)
+        df = df.withColumn("_drop", drop)
+        newest = df.agg(F.max("_drop").alias("_drop"))
+        df = df.join(F.broadcast(newest), "_drop", "left_semi").drop("_drop")
     return df
 
 

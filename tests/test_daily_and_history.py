@@ -33,7 +33,8 @@ def _drops(spark, root):
     s_old = spark.createDataFrame([("U1", "budget"), ("U2", "new")], "user_id string, segment string")
     s_new = spark.createDataFrame([("U1", "premium"), ("U2", "new")], "user_id string, segment string")
     s_old.coalesce(1).write.mode("overwrite").parquet(f"{root}/segments/a_2025-05-25")
-    s_new.coalesce(1).write.mode("overwrite").parquet(f"{root}/segments/b_2025-06-01")
+    # the newest drop is a folder of several part files: all of them count
+    s_new.repartition(2).write.mode("overwrite").parquet(f"{root}/segments/b_2025-06-01")
 
 
 def test_run_daily_from_drop_files(spark, tmp_root):
