@@ -80,7 +80,8 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
                  keys: Sequence[str] = ("process_date", "order_id"),
                  partition_col: str = "process_date",
                  preset: MergePreset = MODEL, run_ts: datetime | str | None = None,
-                 cluster_by: Sequence[str] | None = ("user_segment", "user_id")) -> MergeResult:
+                 cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
+                 check=None) -> MergeResult:
     """Upsert ``source`` into the partitioned Parquet ``target``.
 
     1. NULL keys are rejected (H24); duplicate source keys fail the merge.
@@ -91,7 +92,9 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
     4. Columns are aligned by name: a column new in the source is added and
        is NULL in older rows (append_new_columns).
     5. The merged partitions are staged (lineage cut: the target is read and
-       rewritten) and then published with dynamic overwrite.
+       rewritten); ``check(staged_frame)`` runs on them (data tests, contract)
+       and may raise, so nothing failing is published; then they are
+       published with dynamic overwrite.
     """
     keys = list(keys)
     run_ts = str(run_ts) if run_ts is not None else None
@@ -126,6 +129,8 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
 
     if tgt is None:
         # nothing to match: the staged source is published as it is
+        if check is not None:
+            check(src)
         sink.publish_partitions(spark, src, target, partition_col, cluster_by)
         return MergeResult(len(touched), rows, rejected)
     else:
@@ -152,5 +157,7 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
 
     stage_out = scratch_dir(spark, "merge-out")
     sink.write_stage(merged, stage_out)
+    if check is not None:
+        check(spark.read.parquet(stage_out))
     sink.publish_partitions(spark, stage_out, target, partition_col, cluster_by)
     return MergeResult(len(touched), rows, rejected)

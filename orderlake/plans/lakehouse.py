@@ -47,8 +47,9 @@ def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
     lake = Lake(f"{root}/processed", f"{root}/gold")
     run_enrichment(spark, feeds.orders_feed(spark, sf_dir), feeds.events_feed(spark, sf_dir),
                    feeds.segments_feed(spark, sf_dir), lake.processed)
+    from .warehouse import gold_checks
     merge_upsert(spark, lake.gold, gold_model(read_processed(spark, lake.processed), RUN_TS),
-                 preset=MODEL, run_ts=RUN_TS)
+                 preset=MODEL, run_ts=RUN_TS, check=gold_checks)
     return lake
 
 

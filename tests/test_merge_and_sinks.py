@@ -126,3 +126,19 @@ def test_enrichment_run_is_idempotent_and_diverts_late_rows(spark, tmp_root):
     assert (res.rows_in, res.rows_out, res.late_rows) == (3, 3, 1)
     assert _rows(spark, root) == [("A", D1, 1.0), ("C", D1, 3.0)]
     assert _rows(spark, late) == [("B", D2, 2.0)]
+
+
+def test_warehouse_run_tests_before_publish(spark, tmp_root):
+    from orderlake.plans.warehouse import run_warehouse
+    proc, stg, gold = f"{tmp_root}/p", f"{tmp_root}/s", f"{tmp_root}/g"
+    sink.write_partitioned(_frame(spark, [("A", "U", 1.0, "USD", D1, "s", 1, ["view"]),
+                                          ("B", "U", 2.0, "usd", D1, "s", 1, None)]), proc)
+    run = run_warehouse(spark, proc, stg, gold, D1, "2025-06-02 00:00:00")
+    assert run.status == "MERGED" and run.staged_rows == 2
+    assert _rows(spark, gold) == [("A", D1, 1.0)]          # 'usd' rejected by the model
+    assert run_warehouse(spark, proc, stg, gold, D2, "x").status == "SKIPPED"
+    # a staged batch that breaks a data test never reaches gold
+    sink.write_partitioned(_frame(spark, [("C", "U", 3.0, "USD", D2, "s", -1, None)]), proc)
+    with pytest.raises(GateError):
+        run_warehouse(spark, proc, stg, gold, D2, "2025-06-03 00:00:00")
+    assert not sink.path_exists(spark, f"{gold}/process_date={D2}")
