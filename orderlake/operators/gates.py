@@ -68,7 +68,7 @@ def data_tests(df: DataFrame, not_null: Sequence[str] = GOLD_NOT_NULL,
                positive: Sequence[str] = ("amount",),
                non_negative: Sequence[str] = ("event_count",),
                accepted: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """One row per test: ``test_name``, ``failures`` (dbt semantics).
+    """One row per test: ``test_name``, ``failures`` (schema-test semantics).
 
     not_null / expression tests count failing rows (an expression that is
     NULL is not a failure); unique counts duplicated keys; accepted_values
