@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import canonical_alias, safe_cast
 from ..schemas import APPROVED_OUTPUT_COLUMNS, PROCESSED_TYPES, UNCLASSIFIED_SEGMENT
-from .joins import left_lookup_join
+from .joins import left_lookup_joins
 
 # Deterministic order among rows of one order on the same date (H1): the
 # reference leaves the survivor arbitrary; a total order also makes a
@@ -102,19 +102,19 @@ EVENTS_AGG_COLS = ("user_id", "event_count", "event_types")
 def enrich_orders(orders: DataFrame, events_agg: DataFrame, segments: DataFrame,
                   key: str = "user_id", broadcast_segments: bool = False,
                   broadcast_events: bool = False, skew_split: bool = True,
-                  **hot_opts) -> DataFrame:
+                  tap=None, **hot_opts) -> DataFrame:
     """J1 + J2: orders ⟕ events summary ⟕ segment dimension on ``user_id``.
 
     Each lookup is broadcast only when the caller has checked its size
     (``dimension_profile``); otherwise it is a shuffle join in which hot
-    user ids take a broadcast path of bounded size (``joins.left_lookup_join``).
-    NULL user ids never match.
+    user ids take a broadcast path of bounded size. The hot/cold split is
+    made once for both lookups (``joins.left_lookup_joins``); ``tap`` sees
+    each order part once. NULL user ids never match.
     """
     segments = canonical_alias(segments, "user_segment").select(key, "user_segment")
-    with_events = left_lookup_join(orders, events_agg, key, broadcast_events, skew_split,
-                                   **hot_opts)
-    return left_lookup_join(with_events, segments, key, broadcast_segments, skew_split,
-                            **hot_opts)
+    return left_lookup_joins(orders, [(events_agg, broadcast_events),
+                                      (segments, broadcast_segments)],
+                             key, skew_split, tap=tap, **hot_opts)
 
 
 def naive_enrich(orders: DataFrame, events: DataFrame, segments: DataFrame,

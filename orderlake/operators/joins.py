@@ -1,24 +1,29 @@
-"""Skew-aware left equi-join for a many-to-one lookup.
+"""Skew-aware left equi-joins of a probe side with many-to-one lookups.
 
-When the lookup side is small enough (checked by the caller) it is
-broadcast. Otherwise the join is a shuffle join, and a key that holds a
-large share of the probe side would land in one task. AQE's skew join does
-not help when the lookup side is an aggregate over its own shuffle (the
-events summary), so hot keys are split explicitly:
+When a lookup is small enough (checked by the caller) it is broadcast.
+Otherwise the join is a shuffle join, and a key that holds a large share of
+the probe side would land in one task. AQE's skew join does not help when
+the lookup is an aggregate over its own shuffle (the events summary), so
+hot keys are split explicitly, once for all lookups:
 
 * hot keys are found from a sample of the probe side (keys whose sampled
   count implies at least ``min_rows`` rows), capped at ``max_keys`` by a
-  top-k, which bounds everything that is broadcast below;
-* probe rows with a hot key are joined against the broadcast lookup rows of
-  those keys (at most ``max_keys`` rows, the lookup is unique per key);
-* all other probe rows (NULL keys included) take the ordinary shuffle join.
+  top-k, which bounds everything broadcast below;
+* probe rows with a hot key join broadcast copies of just those keys'
+  lookup rows (at most ``max_keys`` rows per lookup, lookups are unique per
+  key);
+* all other probe rows (NULL keys included) take the ordinary joins.
 
 The split is exact for any choice of hot keys: it only decides which path
-a key takes, never whether its rows are joined.
+a key takes, never whether its rows are joined. ``tap`` is applied to each
+probe part exactly once (for example to attach an ``Observation``); the
+parts partition the probe rows, so per-part counts add up to the total.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,17 +47,33 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS,
                    .select(key))
 
 
-def left_lookup_join(probe: DataFrame, lookup: DataFrame, key: str,
-                     broadcast_lookup: bool, skew_split: bool = True,
-                     min_rows: int = HOT_KEY_ROWS, max_keys: int = HOT_KEY_LIMIT,
-                     fraction: float = HOT_KEY_SAMPLE) -> DataFrame:
-    """``probe ⟕ lookup`` on ``key``; ``lookup`` must be unique per key."""
-    if broadcast_lookup:
-        return probe.join(F.broadcast(lookup), key, "left")
-    if not skew_split:
-        return probe.join(lookup, key, "left")
+def left_lookup_joins(probe: DataFrame, lookups: Sequence[tuple[DataFrame, bool]], key: str,
+                      skew_split: bool = True, tap: Callable[[DataFrame], DataFrame] | None = None,
+                      min_rows: int = HOT_KEY_ROWS, max_keys: int = HOT_KEY_LIMIT,
+                      fraction: float = HOT_KEY_SAMPLE) -> DataFrame:
+    """``probe ⟕ lookup_1 ⟕ … ⟕ lookup_n`` on ``key``; each lookup comes with
+    its broadcast licence and must be unique per key."""
+    tap = tap or (lambda d: d)
+
+    def join_all(part: DataFrame, restrict: DataFrame | None) -> DataFrame:
+        for lk, small in lookups:
+            if small:
+                part = part.join(F.broadcast(lk), key, "left")
+            elif restrict is not None:
+                part = part.join(F.broadcast(lk.join(restrict, key, "left_semi")), key, "left")
+            else:
+                part = part.join(lk, key, "left")
+        return part
+
+    if not skew_split or all(small for _, small in lookups):
+        return join_all(tap(probe), None)
     hot = F.broadcast(hot_keys(probe, key, min_rows, max_keys, fraction))
-    cold_part = probe.join(hot, key, "left_anti").join(lookup, key, "left")
-    hot_lookup = F.broadcast(lookup.join(hot, key, "left_semi"))
-    hot_part = probe.join(hot, key, "left_semi").join(hot_lookup, key, "left")
+    cold_part = join_all(tap(probe.join(hot, key, "left_anti")), None)
+    hot_part = join_all(tap(probe.join(hot, key, "left_semi")), hot)
     return cold_part.unionByName(hot_part)
+
+
+def left_lookup_join(probe: DataFrame, lookup: DataFrame, key: str, broadcast_lookup: bool,
+                     skew_split: bool = True, **hot_opts) -> DataFrame:
+    """Single-lookup form of ``left_lookup_joins``."""
+    return left_lookup_joins(probe, [(lookup, broadcast_lookup)], key, skew_split, **hot_opts)

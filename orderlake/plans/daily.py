@@ -89,17 +89,27 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
     events_broadcast = E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS).broadcastable(
         broadcast_limit)
 
-    obs_in, obs_out = Observation("rows_in"), Observation("rows_out")
+    # Q1 baseline: the deduplicated orders, observed on each probe part once
+    # (the hot/cold parts partition the rows, so the counts add up).
+    obs_parts: list[Observation] = []
+
+    def tap(part):
+        obs = Observation(f"rows_in_{len(obs_parts)}")
+        obs_parts.append(obs)
+        return part.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    obs_out = Observation("rows_out")
     deduped = E.latest_per_key(orders, ["order_id"], ["process_date desc"], tie_breakers)
-    deduped = deduped.observe(obs_in, F.count(F.lit(1)).alias("rows"))
     enriched = E.enrich_orders(deduped, agg, segments, broadcast_segments=do_broadcast,
-                               broadcast_events=events_broadcast, **(hot_opts or {}))
+                               broadcast_events=events_broadcast, tap=tap,
+                               **(hot_opts or {}))
     final = E.cast_and_select(E.apply_business_rules(enriched), approved)
     final = final.observe(obs_out, F.count(F.lit(1)).alias("rows"))
 
     stage = scratch_dir(spark, "enriched-stage")
     sink.write_stage(final, stage)
-    gate = RowGate(int(obs_in.get.get("rows", 0)), int(obs_out.get.get("rows", 0)), threshold)
+    rows_in = sum(int(o.get.get("rows", 0)) for o in obs_parts)
+    gate = RowGate(rows_in, int(obs_out.get.get("rows", 0)), threshold)
     result = RunResult("SUCCESS", gate.rows_in, gate.rows_out, gate=gate, staged_path=stage,
                        broadcast_segments=do_broadcast, broadcast_events=events_broadcast)
     gate.enforce()  # raises before anything is published

@@ -100,3 +100,16 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_root):
     local = tmp_root.split(":", 1)[-1]
     files = [f for f in os.listdir(f"{local}/process_date={D}") if f.endswith(".parquet")]
     assert len(files) > 1
+
+
+def test_row_gate_counts_are_exact_on_the_split_path(spark, tmp_root):
+    from orderlake.plans.daily import run_enrichment
+    o = _orders(spark)
+    ev = spark.range(600).select(F.col("id").cast("string").alias("event_id"),
+                                 F.lit("U0").alias("user_id"), F.lit("view").alias("event_type"))
+    seg = spark.range(0, 1001).select(F.concat(F.lit("U"), F.col("id").cast("string")).alias("user_id"),
+                                      F.lit("gold").alias("segment"))
+    res = run_enrichment(spark, o, ev, seg, tmp_root, broadcast_limit=0,
+                         hot_opts={"min_rows": 500, "max_keys": 10, "fraction": 0.5})
+    assert not res.broadcast_segments and not res.broadcast_events
+    assert res.rows_in == o.count() and res.rows_out == o.count()
