@@ -72,9 +72,9 @@ def data_tests(df: DataFrame, not_null: Sequence[str] = GOLD_NOT_NULL,
 
     not_null / expression tests count failing rows (an expression that is
     NULL is not a failure); unique counts duplicated keys; accepted_values
-    counts distinct non-accepted values. The row tests share one aggregate;
-    each unique / accepted test is one grouped aggregate with partial
-    (map-side) counting.
+    counts distinct non-accepted values. The row tests and the first unique
+    test share one grouped pass; each accepted-values test is one more
+    (exact distinct) pass. Counting is partial (map-side) throughout.
     """
     accepted = {"currency": ACCEPTED_CURRENCIES} if accepted is None else accepted
     cols = set(df.columns)
@@ -89,15 +89,28 @@ def data_tests(df: DataFrame, not_null: Sequence[str] = GOLD_NOT_NULL,
         if c in cols:
             row_tests.append((f"expression_is_true_{c}_ge_0", F.count_if(~(F.col(c) >= 0))))
     parts = []
-    if row_tests:
+    ukeys = [c for c in unique if c in cols]
+    if ukeys:
+        # Row tests ride on the first unique test's grouped pass: one scan,
+        # partial (map-side) counts, then a global sum.
+        u = ukeys[0]
+        g = df.groupBy(u).agg(F.count(F.lit(1)).alias("_n"),
+                              *[e.alias(f"t{i}") for i, (_, e) in enumerate(row_tests)])
+        wide = g.agg(*[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(row_tests))],
+                     F.count_if(F.col(u).isNotNull() & (F.col("_n") > 1)).alias("u0"))
+        names = [n for n, _ in row_tests] + [f"unique_{u}"]
+        refs = [f"t{i}" for i in range(len(row_tests))] + ["u0"]
+        stack = ", ".join(f"'{n}', {r}" for n, r in zip(names, refs))
+        parts.append(wide.selectExpr(f"stack({len(names)}, {stack}) AS (test_name, failures)"))
+        ukeys = ukeys[1:]
+    elif row_tests:
         wide = df.agg(*[e.alias(f"t{i}") for i, (_, e) in enumerate(row_tests)])
         stack = ", ".join(f"'{n}', t{i}" for i, (n, _) in enumerate(row_tests))
         parts.append(wide.selectExpr(f"stack({len(row_tests)}, {stack}) AS (test_name, failures)"))
-    for c in unique:
-        if c in cols:
-            dup = (df.where(F.col(c).isNotNull()).groupBy(c).count()
-                     .agg(F.count_if(F.col("count") > 1).alias("failures")))
-            parts.append(dup.select(F.lit(f"unique_{c}").alias("test_name"), "failures"))
+    for c in ukeys:
+        dup = (df.where(F.col(c).isNotNull()).groupBy(c).count()
+                 .agg(F.count_if(F.col("count") > 1).alias("failures")))
+        parts.append(dup.select(F.lit(f"unique_{c}").alias("test_name"), "failures"))
     for c, values in accepted.items():
         if c in cols:
             bad = (df.where(~F.col(c).isin(list(values))).select(c).distinct()
