@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import history as H
 from ..operators.gates import GateError
+from ..session import scratch_dir
 from ..sinks import parquet as sink
 from ..sources.files import read_history_csv, read_history_range, read_processed
 
@@ -34,7 +35,11 @@ def run_history(spark: SparkSession, csv_root: str, out_root: str,
     partitions it produces. Rejects go to their own table (H9)."""
     raw = (read_history_range(spark, csv_root, start, end) if start and end
            else read_history_csv(spark, csv_root))
-    norm = H.normalize_history(raw)
+    # Parse and cast the CSV once (lineage cut); both outputs and their
+    # range samples read the staged Parquet instead of re-parsing text.
+    stage = scratch_dir(spark, "history-stage")
+    sink.write_stage(H.normalize_history(raw), stage)
+    norm = spark.read.parquet(stage)
     clean, rejects = H.split_history(norm, reject_bad_dates)
     if rejects_root is not None:
         # rejects keep the export folder date as their partition
