@@ -57,6 +57,22 @@ def main() -> None:
         "dimension joined by broadcast (profile under limit)": "BroadcastHashJoin" in p,
     })
 
+    from orderlake.operators import enrichment as E
+    from orderlake.sources import feeds
+    # At test scale Spark's own size estimate would broadcast the lookups
+    # anyway; switch that off to show the shape the plan has at scale.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    _, split = E.enrich_daily(feeds.orders_feed(spark, sf_dir), feeds.events_feed(spark, sf_dir),
+                              feeds.segments_feed(spark, sf_dir), broadcast_segments=False,
+                              broadcast_events=False)
+    p = plan(split)
+    section("Daily enrichment when no lookup may be broadcast (hot-key split)", p, {
+        "hot keys come from a sample with a top-k cap": "Sample" in p and "TakeOrderedAndProject" in p,
+        "cold orders: anti join + shuffle joins; hot orders: semi join + broadcasts":
+            "LeftAnti" in p and "LeftSemi" in p and "SortMergeJoin" in p,
+    })
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
     lake = L.lake(spark, sf_dir)
     gold = read_processed(spark, lake.gold)
     day = gold.agg(F.max("process_date")).first()[0]
