@@ -45,8 +45,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     sf = sf_dir.rsplit("sf", 1)[-1]
+    # BENCH_EVENT_LOG=<dir>: write Spark's event log there (stage/task times)
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8),
-                          app_name="orderlake-bench")
+                          app_name="orderlake-bench",
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG") or None)
     root = scratch_dir(spark, "bench")
     times: dict[str, float] = {}
 

@@ -177,7 +177,6 @@ def naive_join_fanout(spark, sf_dir):
 
 
 # ------------------------------------------------------ gold and merge ----
-from ..functions.columns import money_sum  # noqa: E402
 from ..operators import gates as G  # noqa: E402
 from ..operators import gold as GD  # noqa: E402
 from ..operators import history as H  # noqa: E402

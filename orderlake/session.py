@@ -28,7 +28,10 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "orderlake", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "orderlake", extra: dict | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """Session for tests, the bench and jobs. ``event_log_dir`` turns on
+    Spark's event log there (stage and task times without the web UI)."""
     master = master or os.environ.get("ORDERLAKE_MASTER", "local[*]")
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
@@ -38,6 +41,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         # Local runs only: skip the checksum side files of the local
         # filesystem (each costs a forked chmod without native Hadoop libs).
         conf.setdefault("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
+    if event_log_dir:
+        os.makedirs(event_log_dir.split(":", 1)[-1], exist_ok=True)
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = event_log_dir
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
