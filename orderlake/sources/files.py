@@ -40,7 +40,7 @@ def read_segments(spark: SparkSession, root: str, latest_only: bool = True) -> D
     df = spark.read.option("recursiveFileLookup", "true").parquet(base)
     df = canonical_alias(df, "user_segment")
     if latest_only:
-        drop = F.regexp_extract(F.input_file_name(), r"/segments/([^/]+)", 1)
+        drop = F.regexp_extract(F.col("_metadata.file_path"), r"/segments/([^/]+)", 1)
         df = df.withColumn("_drop", drop)
         newest = df.agg(F.max("_drop").alias("_drop"))
         df = df.join(F.broadcast(newest), "_drop", "left_semi").drop("_drop")
