@@ -154,9 +154,11 @@ def freshness(df: DataFrame, as_of: datetime | str, loaded_at: str = "process_da
               warn_hours: float = FRESHNESS_WARN_HOURS,
               error_hours: float = FRESHNESS_ERROR_HOURS) -> DataFrame:
     """Q13: hours between the newest ``loaded_at`` and ``as_of``."""
-    as_of_ts = F.lit(str(as_of)).cast("timestamp")
-    newest = df.agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at"))
-    lag = (F.unix_timestamp(as_of_ts) - F.unix_timestamp("max_loaded_at")) / 3600.0
+    # wall-clock (time-zone free) timestamps: the lag never depends on the
+    # session time zone or a daylight-saving change
+    as_of_ts = F.lit(str(as_of)).cast("timestamp_ntz")
+    newest = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
+    lag = F.timestamp_diff("SECOND", F.col("max_loaded_at"), as_of_ts) / 3600.0
     return newest.select(
         "max_loaded_at",
         F.round(lag, 2).alias("hours_since"),
