@@ -72,9 +72,10 @@ def data_tests(df: DataFrame, not_null: Sequence[str] = GOLD_NOT_NULL,
 
     not_null / expression tests count failing rows (an expression that is
     NULL is not a failure); unique counts duplicated keys; accepted_values
-    counts distinct non-accepted values. The row tests and the first unique
-    test share one grouped pass; each accepted-values test is one more
-    (exact distinct) pass. Counting is partial (map-side) throughout.
+    counts distinct non-accepted values. With a unique key, the row tests,
+    the first unique test and the first accepted-values test share one
+    grouped scan; further tests take one pass each. Counting is partial
+    (map-side) throughout.
     """
     accepted = {"currency": ACCEPTED_CURRENCIES} if accepted is None else accepted
     cols = set(df.columns)
@@ -90,17 +91,35 @@ def data_tests(df: DataFrame, not_null: Sequence[str] = GOLD_NOT_NULL,
             row_tests.append((f"expression_is_true_{c}_ge_0", F.count_if(~(F.col(c) >= 0))))
     parts = []
     ukeys = [c for c in unique if c in cols]
+    acc = [(c, list(v)) for c, v in accepted.items() if c in cols]
     if ukeys:
-        # Row tests ride on the first unique test's grouped pass: one scan,
-        # partial (map-side) counts, then a global sum.
+        # One scan: group on the first unique key (partial, map-side counts);
+        # row tests are summed, duplicated keys counted, and the first
+        # accepted-values test rides along as a per-group set of bad values,
+        # exploded once and counted distinct. Row tests count only on each
+        # group's first exploded row, so nothing is counted twice.
         u = ukeys[0]
+        extra = []
+        if acc:
+            c0, vals0 = acc[0]
+            extra = [F.collect_set(F.when(~F.col(c0).isin(vals0), F.col(c0))).alias("_bad")]
         g = df.groupBy(u).agg(F.count(F.lit(1)).alias("_n"),
-                              *[e.alias(f"t{i}") for i, (_, e) in enumerate(row_tests)])
-        wide = g.agg(*[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(row_tests))],
-                     F.count_if(F.col(u).isNotNull() & (F.col("_n") > 1)).alias("u0"))
+                              *[e.alias(f"t{i}") for i, (_, e) in enumerate(row_tests)], *extra)
+        first = F.lit(True)
+        if acc:
+            g = g.select("*", F.posexplode_outer("_bad").alias("_pos", "_badv"))
+            first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+        aggs = [F.sum(F.when(first, F.col(f"t{i}"))).alias(f"t{i}") for i in range(len(row_tests))]
+        aggs.append(F.count_if(first & F.col(u).isNotNull() & (F.col("_n") > 1)).alias("u0"))
         names = [n for n, _ in row_tests] + [f"unique_{u}"]
         refs = [f"t{i}" for i in range(len(row_tests))] + ["u0"]
-        stack = ", ".join(f"'{n}', {r}" for n, r in zip(names, refs))
+        if acc:
+            aggs.append(F.count_distinct("_badv").alias("a0"))
+            names.append(f"accepted_values_{acc[0][0]}")
+            refs.append("a0")
+            acc = acc[1:]
+        wide = g.agg(*aggs)
+        stack = ", ".join(f"'{n}', coalesce({r}, 0)" for n, r in zip(names, refs))
         parts.append(wide.selectExpr(f"stack({len(names)}, {stack}) AS (test_name, failures)"))
         ukeys = ukeys[1:]
     elif row_tests:
@@ -111,11 +130,10 @@ def data_tests(df: DataFrame, not_null: Sequence[str] = GOLD_NOT_NULL,
         dup = (df.where(F.col(c).isNotNull()).groupBy(c).count()
                  .agg(F.count_if(F.col("count") > 1).alias("failures")))
         parts.append(dup.select(F.lit(f"unique_{c}").alias("test_name"), "failures"))
-    for c, values in accepted.items():
-        if c in cols:
-            bad = (df.where(~F.col(c).isin(list(values))).select(c).distinct()
-                     .agg(F.count(F.lit(1)).alias("failures")))
-            parts.append(bad.select(F.lit(f"accepted_values_{c}").alias("test_name"), "failures"))
+    for c, values in acc:
+        bad = (df.where(~F.col(c).isin(list(values))).select(c).distinct()
+                 .agg(F.count(F.lit(1)).alias("failures")))
+        parts.append(bad.select(F.lit(f"accepted_values_{c}").alias("test_name"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
