@@ -80,14 +80,20 @@ class DimensionProfile:
 
 
 def dimension_profile(dim: DataFrame, key: str = "user_id",
-                      cols: Sequence[str] = ("user_id", "user_segment")) -> DimensionProfile:
+                      cols: Sequence[str] = ("user_id", "user_segment"),
+                      check_unique: bool = True) -> DimensionProfile:
     """One job over the pruned dimension: rows, payload bytes, duplicated keys.
 
     The byte figure is the sum of the string lengths plus a fixed per-row
     overhead, an upper-bound style estimate of the hash relation size. It is
-    what licenses the broadcast in ``enrich_orders``.
+    what licenses the broadcast in ``enrich_orders``. A lookup that is unique
+    by construction (a group-by output) skips the key shuffle.
     """
     per_row = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in cols)
+    if not check_unique:
+        r = dim.agg(F.count(F.lit(1)).alias("rows"),
+                    F.sum(per_row + F.lit(16 * len(cols))).alias("bytes")).first()
+        return DimensionProfile(int(r["rows"] or 0), int(r["bytes"] or 0), 0)
     r = (dim.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n"), F.sum(per_row + F.lit(16 * len(cols))).alias("b"))
             .agg(F.sum("n").alias("rows"), F.sum("b").alias("bytes"),
@@ -174,8 +180,8 @@ def enrich_daily(orders: DataFrame, events: DataFrame, segments: DataFrame,
         broadcast_segments = dimension_profile(
             canonical_alias(segments, "user_segment")).broadcastable(broadcast_limit)
     if broadcast_events is None:
-        broadcast_events = dimension_profile(agg, cols=EVENTS_AGG_COLS).broadcastable(
-            broadcast_limit)
+        broadcast_events = dimension_profile(agg, cols=EVENTS_AGG_COLS,
+                                             check_unique=False).broadcastable(broadcast_limit)
     enriched = enrich_orders(deduped, agg, segments, broadcast_segments=broadcast_segments,
                              broadcast_events=broadcast_events, skew_split=skew_split,
                              **hot_opts)

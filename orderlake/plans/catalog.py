@@ -112,7 +112,7 @@ def orders_left_events(spark, sf_dir):
     orders, events, _ = _inputs(spark, sf_dir)
     deduped = E.latest_per_key(orders)
     agg = E.aggregate_events(events)
-    small = E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS).broadcastable()
+    small = E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS, check_unique=False).broadcastable()
     return _flat(left_lookup_join(deduped, agg, "user_id", broadcast_lookup=small))
 
 
@@ -141,7 +141,7 @@ def business_rules(spark, sf_dir):
         E.latest_per_key(orders), agg, segments,
         broadcast_segments=E.dimension_profile(
             E.canonical_alias(segments, "user_segment")).broadcastable(),
-        broadcast_events=E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS).broadcastable())
+        broadcast_events=E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS, check_unique=False).broadcastable())
     return _flat(E.apply_business_rules(joined))
 
 
