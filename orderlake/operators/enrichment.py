@@ -177,8 +177,12 @@ def enrich_daily(orders: DataFrame, events: DataFrame, segments: DataFrame,
     deduped = latest_per_key(orders, ["order_id"], ["process_date desc"], tie_breakers)
     agg = aggregate_events(events, dedup_events=dedup_events)
     if broadcast_segments is None:
-        broadcast_segments = dimension_profile(
-            canonical_alias(segments, "user_segment")).broadcastable(broadcast_limit)
+        prof = dimension_profile(canonical_alias(segments, "user_segment"))
+        if prof.duplicate_keys:
+            # Q16: a lookup must be unique per key (no fan-out, bounded broadcasts)
+            from .gates import GateError
+            raise GateError(f"segment dimension has {prof.duplicate_keys} duplicated user_id keys")
+        broadcast_segments = prof.broadcastable(broadcast_limit)
     if broadcast_events is None:
         broadcast_events = dimension_profile(agg, cols=EVENTS_AGG_COLS,
                                              check_unique=False).broadcastable(broadcast_limit)

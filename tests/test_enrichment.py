@@ -109,3 +109,11 @@ def test_dimension_profile_and_duplicate_gate(spark, tmp_root):
         run_enrichment(spark, o, e, seg, tmp_root)
     res = run_enrichment(spark, o, e, seg, tmp_root, on_duplicate_segments="keep_latest")
     assert res.rows_out == 1
+
+
+def test_enrich_daily_refuses_duplicate_dimension_keys(spark):
+    o = spark.createDataFrame([("A", "U1", 1.0, "USD", D)], O_SCHEMA)
+    e = spark.createDataFrame([], EV_SCHEMA)
+    s = spark.createDataFrame([("U1", "a"), ("U1", "b")], SEG_SCHEMA)
+    with pytest.raises(GateError):
+        E.enrich_daily(o, e, s)
