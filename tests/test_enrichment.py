@@ -117,3 +117,10 @@ def test_enrich_daily_refuses_duplicate_dimension_keys(spark):
     s = spark.createDataFrame([("U1", "a"), ("U1", "b")], SEG_SCHEMA)
     with pytest.raises(GateError):
         E.enrich_daily(o, e, s)
+
+
+def test_repeated_event_ids_counted_unless_deduplicated(spark):
+    ev = spark.createDataFrame([("e1", "U1", "view"), ("e1", "U1", "view"), ("e2", "U1", "click")],
+                               EV_SCHEMA)
+    assert E.aggregate_events(ev).first()["event_count"] == 3            # H3: kept
+    assert E.aggregate_events(ev, dedup_events=True).first()["event_count"] == 2

@@ -142,3 +142,11 @@ def test_warehouse_run_tests_before_publish(spark, tmp_root):
     with pytest.raises(GateError):
         run_warehouse(spark, proc, stg, gold, D2, "2025-06-03 00:00:00")
     assert not sink.path_exists(spark, f"{gold}/process_date={D2}")
+
+
+def test_partition_guard_refuses_isnotnull_only(spark, tmp_root):
+    root = f"{tmp_root}/gold"
+    sink.write_partitioned(_frame(spark, [("A", "U", 1.0, "USD", D1, "s", 1, None)]), root)
+    df = read_processed(spark, root).where(F.col("process_date").isNotNull())
+    with pytest.raises(PartitionFilterRequired):
+        require_partition_filter(df)
