@@ -67,7 +67,8 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
     """Enrich ``orders`` and publish into ``processed_root``.
 
     ``run_dates`` (None = every date in the batch) scopes the partitions the
-    run owns. ``on_duplicate_segments``: ``fail`` (Q16 before the join) or
+    run owns; rows dated outside them go to ``late_root`` (default: the
+    processed root's ``_late`` sibling), never silently away. ``on_duplicate_segments``: ``fail`` (Q16 before the join) or
     ``keep_latest`` (W1 on user_id by ``segment_date`` when present).
     """
     dates = sorted({parse_run_date(d) for d in run_dates}) if run_dates else None
@@ -115,6 +116,9 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
     gate.enforce()  # raises before anything is published
 
     staged = spark.read.parquet(stage)
+    if dates is not None and late_root is None:
+        # never drop rows: outside-the-run rows go to a sibling late table
+        late_root = processed_root.rstrip("/") + "_late"
     if dates is not None:
         in_run = F.col("process_date").isin(dates)
         late = staged.where(~in_run | F.col("process_date").isNull())
@@ -124,8 +128,6 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
             result.late_rows = spark.read.parquet(late_stage).count()
             if result.late_rows:
                 sink.write_partitioned(spark.read.parquet(late_stage), late_root)
-        else:
-            result.late_rows = late.count()
         sink.publish_partitions(spark, staged.where(in_run), processed_root, "process_date",
                                 run_values=dates)
     else:

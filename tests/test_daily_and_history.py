@@ -89,3 +89,16 @@ def test_audit_report_upsert_by_date(spark, tmp_root):
         spark.read.parquet(out).where(F.col("order_id") == "D").write.mode("overwrite") \
             .parquet(f"{tmp_root}/partial")
         audit(spark, csv, f"{tmp_root}/partial", "x", raise_on_mismatch=True)
+
+
+def test_late_rows_default_to_sibling_table(spark, tmp_root):
+    from orderlake.plans.daily import run_enrichment
+    o = spark.createDataFrame([("A", "U", 1.0, "USD", dt.date(2025, 6, 1)),
+                               ("B", "U", 2.0, "USD", dt.date(2025, 5, 30))],
+                              "order_id string, user_id string, amount double, currency string, "
+                              "process_date date")
+    e = spark.createDataFrame([], "event_id string, user_id string, event_type string")
+    s = spark.createDataFrame([("U", "gold")], "user_id string, segment string")
+    res = run_enrichment(spark, o, e, s, f"{tmp_root}/p", run_dates=[D])
+    assert res.late_rows == 1
+    assert [r["order_id"] for r in read_processed(spark, f"{tmp_root}/p_late").collect()] == ["B"]
