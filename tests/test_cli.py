@@ -40,3 +40,28 @@ def test_history_then_audit_exit_codes():
     r = _run("audit", "--csv", csv, "--target", os.path.join(out, "process_date=2025-06-01"),
              "--date", "2025-06")
     assert r.returncode == 1
+
+
+def test_daily_then_warehouse_jobs(spark):
+    import datetime as dt
+    d = tempfile.mkdtemp(prefix="orderlake-cli-")
+    val, proc, stg, gold = (os.path.join(d, x) for x in ("validated", "processed", "staging", "gold"))
+    spark.createDataFrame(
+        [("A", "U1", 10.0, "USD", dt.date(2025, 6, 1)), ("B", "U2", 5.0, "JPY", dt.date(2025, 6, 1))],
+        "order_id string, user_id string, amount double, currency string, process_date date"
+    ).write.parquet(f"{val}/orders/orders_2025-06-01.parquet")
+    spark.createDataFrame([("e1", "U1", "view", "2025-06-01T10:00:00")],
+                          "event_id string, user_id string, event_type string, timestamp string"
+                          ).write.parquet(f"{val}/events/events_2025-06-01.parquet")
+    spark.createDataFrame([("U1", "gold")], "user_id string, segment string"
+                          ).write.parquet(f"{val}/segments/w1")
+    r = _run("daily", "--date", "2025-06-01", "--validated", val, "--processed", proc)
+    assert r.returncode == 0, r.stdout + r.stderr
+    assert json.loads(r.stdout.strip().splitlines()[-1])["rows_out"] == 2
+    r = _run("warehouse", "--date", "2025-06-01", "--processed", proc, "--staging", stg,
+             "--gold", gold, "--run-ts", "2025-06-02 00:00:00")
+    assert r.returncode == 0, r.stdout + r.stderr
+    out = json.loads(r.stdout.strip().splitlines()[-1])
+    assert out["status"] == "MERGED" and out["staged_rows"] == 2
+    assert _run("warehouse", "--date", "2025-06-02", "--processed", proc, "--staging", stg,
+                "--gold", gold).returncode == 0                      # no input: SKIPPED, exit 0
