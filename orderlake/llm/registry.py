@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from orderlake.llm import chat, decontam, packing, simhash, topk
+from orderlake.llm import chat, decontam, language_id, packing, simhash, topk, toxicity
+from orderlake.llm.common import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=1, with_ids=False)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.toxicity(docs, _table(spark, sf_dir, "labels"), train=~held_out(F.col("doc_id")), result="score")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language_id.predict_language(docs, train=~held_out(F.col("doc_id")), result="p")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("p.lang").alias("lang_pred"), "p.score")
+
+
 def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
@@ -72,7 +86,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op4_packing, op8_exact_topk, op9_chat_formatting, op10_benchmark_decontamination,
+    op2_simhash_near_dedup, op4_packing, op6_toxicity, op7_language_id, op8_exact_topk, op9_chat_formatting, op10_benchmark_decontamination,
 )}
 
 ORACLE: dict[str, str] = {"op9_chat_formatting": OP9_SQL}
