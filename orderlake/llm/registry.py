@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from orderlake.llm import chat, decontam, language_id, packing, simhash, topk, toxicity
+from orderlake.llm import (chat, decontam, language_id, packing, quality, sharding, simhash, token_counts, topk,
+                           toxicity)
 from orderlake.llm.common import held_out
 
 
@@ -15,15 +16,52 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.read_sentencepiece(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, vocabulary).select("doc_id", "n_tokens")
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+SHARD_BYTES = 4_000_000
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("n_bytes"))
+    return sharding.assign(docs, F.col("doc_id"), F.col("n_bytes"), SHARD_BYTES)
+
+
+OP3_SQL = f"""
+WITH t AS (
+  SELECT doc_id, strlen(text) AS n_bytes,
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
+n AS (SELECT doc_id, n_bytes, d AS depth, h >> (60 - d) AS prefix FROM t, range(0, 41) r(d)),
+s AS (SELECT depth, prefix, sum(coalesce(n_bytes, 0)) AS bytes FROM n GROUP BY ALL),
+f AS (SELECT n.doc_id, n.n_bytes, min(n.depth) AS depth, arg_min(n.prefix, n.depth) AS prefix
+      FROM n JOIN s USING (depth, prefix) WHERE s.bytes <= {SHARD_BYTES} GROUP BY ALL)
+SELECT doc_id, n_bytes, CAST(depth AS INTEGER) AS depth, depth || ':' || prefix AS shard FROM f
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=1, with_ids=False)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades 0 (rated poor), 1 (good but toxic) and 2 (good)."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratings = _table(spark, sf_dir, "labels").select(
+        "doc_id", (F.col("quality") * (2 - F.col("toxic"))).alias("grade"))
+    out = quality.quality(docs, ratings, train=~held_out(F.col("doc_id")), above=0)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"),
+                      "quality.expected_grade", F.col("quality.tail").alias("p_good"),
+                      (F.col("quality.tail") >= 0.5).cast("int").alias("selected"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.toxicity(docs, _table(spark, sf_dir, "labels"), train=~held_out(F.col("doc_id")), result="score")
@@ -86,7 +124,8 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op4_packing, op6_toxicity, op7_language_id, op8_exact_topk, op9_chat_formatting, op10_benchmark_decontamination,
+    op1_token_counts, op2_simhash_near_dedup, op3_sharding, op4_packing, op5_quality, op6_toxicity,
+    op7_language_id, op8_exact_topk, op9_chat_formatting, op10_benchmark_decontamination,
 )}
 
-ORACLE: dict[str, str] = {"op9_chat_formatting": OP9_SQL}
+ORACLE: dict[str, str] = {"op3_sharding": OP3_SQL, "op9_chat_formatting": OP9_SQL}
