@@ -84,7 +84,8 @@ def _phase_one(block, k: int):
             n = min(len(ids), k + 1)  # one more, as the query's own row may be among them
             found = np.sort(np.concatenate([np.argpartition(-one, n - 1, axis=1)[:, :n] for one in lists], axis=1))
             total = np.take_along_axis(sum(lists), found, axis=1).astype(np.float64)
-            # round down, so that the cutoff stays safe where whole numbers exceed a float's
+            # cut off as a long is, and round down beyond a float's whole numbers: the cutoff stays safe
+            total = np.clip(total, float(_LEAST), -float(_LEAST))
             total = np.where(np.abs(total) < 2 ** 53, total, np.nextafter(total, -np.inf))
             again = np.zeros(found.shape, dtype=bool)
             again[:, 1:] = found[:, 1:] == found[:, :-1]
