@@ -117,7 +117,7 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text"
 
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache = _counter(shared.value).cached()
+        cache = _cache(shared.value)
         for arr in batches:
             raw, off = byte_texts(arr)
             yield pa.array([count_text(bytes(raw[a:b]).decode(), cache)
@@ -126,13 +126,13 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text"
     return docs.withColumn(result, count(F.col(text_col)))
 
 
-_kept: dict[int, Counter] = {}
+_kept: dict[int, WordCache] = {}
 
 
-def _counter(vocabulary: Vocabulary) -> Counter:
-    """The worker's automaton, built once per vocabulary."""
+def _cache(vocabulary: Vocabulary) -> WordCache:
+    """The worker's automaton and counted parts, so later tasks find them."""
     key = hash(vocabulary)
     if key not in _kept:
         _kept.clear()
-        _kept[key] = Counter(vocabulary)
+        _kept[key] = Counter(vocabulary).cached()
     return _kept[key]
