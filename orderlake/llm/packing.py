@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -45,7 +46,7 @@ class Encoder:
     its merges. Every other chunk, and every other kind of tokenizer, takes the
     tokenizer's whole way."""
 
-    def __init__(self, tokenizer_json: str, limit: int = 300_000):
+    def __init__(self, tokenizer_json: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -57,22 +58,39 @@ class Encoder:
         if steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in cuts] == ["Split", "ByteLevel"]:
             self.findall = regex.compile(cuts[0]["pattern"]["Regex"]).findall
             self.simple = regex.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-            self.special = [x["content"] for x in spec["added_tokens"]]
+            added = [x["content"] for x in spec["added_tokens"]]
+            self.special = os.path.commonprefix(added) if added else "\n"  # no chunk holds a line end
             self.model, self.letters = self.tokenizer.model, byte_letters()
 
     def _word(self, word: str) -> bytes:
-        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
-        if self.simple and self.simple(text) and not any(x in text for x in self.special):
-            return b"".join(map(self.words.__getitem__, self.findall(text.lower())))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if self.simple:
+            if text.isascii() and text.isalpha():
+                return self.words[text.lower()]
+            if self.simple(text) and self.special not in text:
+                return b"".join(map(self.words.__getitem__, self.findall(text.lower())))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: bytes) -> np.ndarray:
         """The ids of one UTF-8 text."""
-        return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split())), dtype="<u4")
+        return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split())), dtype=np.uint32)
+
+
+_encoders: dict[int, Encoder] = {}
+
+
+def encoder(tokenizer_json: str) -> Encoder:
+    """The worker's encoder, so later tasks find its words."""
+    key = hash(tokenizer_json)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(tokenizer_json)
+    return _encoders[key]
 
 
 def byte_letters() -> dict[int, str]:
@@ -127,7 +145,7 @@ _OUT = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())
 def _pack_partition(tokenizer, capacity: int, open_windows: int, end_id: int, with_ids: bool, id_type: pa.DataType):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
-        packer, encoder = Packer(capacity, open_windows), Encoder(tokenizer.value)
+        packer, own = Packer(capacity, open_windows), encoder(tokenizer.value)
         out: list[tuple] = []
 
         def close(number, pieces, left):
@@ -149,7 +167,7 @@ def _pack_partition(tokenizer, capacity: int, open_windows: int, end_id: int, wi
             docs = batch.column(0).to_pylist()
             raw, off = byte_texts(batch.column(1))
             for doc, a, b in zip(docs, off[:-1].tolist(), off[1:].tolist(), strict=True):
-                ids = np.append(encoder.encode(bytes(raw[a:b])), np.uint32(end_id)).astype("<u4")
+                ids = np.append(own.encode(bytes(raw[a:b])), np.uint32(end_id)).astype("<u4")
                 n = len(ids)
                 for start in range(0, n, capacity):
                     part = ids[start:start + capacity]
