@@ -42,17 +42,38 @@ def canonical_alias(df: DataFrame, name: str, aliases: Iterable[str] | None = No
     return out.drop(*[a for a in present if a != name])
 
 
-def keep_order(order_id: Column, user_id: Column, amount: Column) -> Column:
-    """P10: the history keep-rule (keys present, amount strictly positive).
+# Amounts from here on do not fit the money type and are faults.
+AMOUNT_LIMIT = 1e15
+
+
+def finite_amount(c: Column | str) -> Column:
+    """Amount as double; text that does not parse, NaN and infinity are NULL."""
+    v = safe_cast(c, T.DoubleType())
+    return F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+
 
-    Evaluates to NULL when amount is NULL; use ``reject_order`` for the
-    exact complement."""
-    return order_id.isNotNull() & user_id.isNotNull() & (amount > 0)
+def amount_ok(c: Column | str) -> Column:
+    """A finite amount above 0 that fits the money type (never NULL)."""
+    v = finite_amount(c)
+    return F.coalesce((v > 0) & (v < AMOUNT_LIMIT), F.lit(False))
+
+
+def amount_fault(c: Column | str) -> Column:
+    """Why an amount is rejected; NULL for a good one."""
+    v = finite_amount(c)
+    return (F.when(v.isNull(), F.lit("unparseable amount"))
+             .when(v <= 0, F.lit("non-positive amount"))
+             .when(v >= AMOUNT_LIMIT, F.lit("amount out of range")))
+
+
+def keep_order(order_id: Column, user_id: Column, amount: Column) -> Column:
+    """P10: the history keep-rule (keys present, a good amount); never NULL."""
+    return order_id.isNotNull() & user_id.isNotNull() & amount_ok(amount)
 
 
 def reject_order(order_id: Column, user_id: Column, amount: Column) -> Column:
-    """Exact complement of ``keep_order``: NULL keep counts as reject."""
-    return ~F.coalesce(keep_order(order_id, user_id, amount), F.lit(False))
+    """Exact complement of ``keep_order``."""
+    return ~keep_order(order_id, user_id, amount)
 
 
 def event_list(c: Column | str) -> Column:
@@ -61,8 +82,14 @@ def event_list(c: Column | str) -> Column:
     return F.array_join(F.sort_array(col), ",")
 
 
-def money_sum(c: Column | str) -> Column:
-    """Exact money total: sum as decimal(18,2) so the result does not depend
-    on the order in which partitions are added, then back to double."""
+def exact_sum(c: Column | str, scale: int = 2) -> Column:
+    """Sum as decimal(28, scale), widened to 38 digits: it does not depend on the
+    order in which partitions are added. NaN, infinity and values beyond 28
+    digits count as NULL instead of stopping the query (H18)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(T.DecimalType(18, 2))).cast(T.DoubleType())
+    return F.sum(col.try_cast(T.DecimalType(28, scale)))
+
+
+def money_sum(c: Column | str) -> Column:
+    """``exact_sum`` to cents, as double."""
+    return exact_sum(c).cast(T.DoubleType())

@@ -6,23 +6,23 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.columns import keep_order, money_sum, reject_order, safe_cast, safe_date
+from ..functions.columns import (amount_fault, exact_sum, finite_amount, keep_order, reject_order,
+                                 safe_cast, safe_date)
 from ..schemas import AMOUNT_TOLERANCE, HISTORY_TYPES
 
 
 def normalize_history(raw: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Project the contract columns with NULL-on-error casts; any
     partition column discovered from the folder layout is kept."""
-    cols = [safe_cast(c, t).alias(c) for c, t in HISTORY_TYPES.items()]
+    cols = [(finite_amount(c) if c == "amount" else safe_cast(c, t)).alias(c)
+            for c, t in HISTORY_TYPES.items()]
     extra = [c for c in raw.columns if c not in HISTORY_TYPES and c != "process_date"]
     return raw.select(*cols, safe_date("process_date", date_format).alias("process_date"), *extra)
 
 
 def history_keep(df: DataFrame, reject_bad_dates: bool = True) -> Column:
-    keep = F.coalesce(keep_order(F.col("order_id"), F.col("user_id"), F.col("amount")),
-                      F.lit(False))
+    keep = keep_order(F.col("order_id"), F.col("user_id"), F.col("amount"))
     if reject_bad_dates:
         keep = keep & F.col("process_date").isNotNull()
     return keep
@@ -36,9 +36,7 @@ def split_history(normalized: DataFrame, reject_bad_dates: bool = True) -> tuple
     keep = history_keep(normalized, reject_bad_dates)
     reason = (F.when(F.col("order_id").isNull(), F.lit("null order_id"))
                .when(F.col("user_id").isNull(), F.lit("null user_id"))
-               .when(F.col("amount").isNull(), F.lit("unparseable amount"))
-               .when(F.col("amount") <= 0, F.lit("non-positive amount"))
-               .otherwise(F.lit("unparseable process_date")))
+               .otherwise(F.coalesce(amount_fault("amount"), F.lit("unparseable process_date"))))
     clean = normalized.where(keep).select(*normalized.columns)
     rejects = normalized.where(~keep).withColumn("reject_reason", reason)
     return clean, rejects
@@ -46,8 +44,7 @@ def split_history(normalized: DataFrame, reject_bad_dates: bool = True) -> tuple
 
 def audit_reject(raw_amount: Column, reject_bad_dates: bool = True) -> Column:
     """The audit's reject rule on raw CSV strings (P11 plus the H9 date rule)."""
-    amount = safe_cast(raw_amount, T.DoubleType())
-    rej = reject_order(F.col("order_id"), F.col("user_id"), amount)
+    rej = reject_order(F.col("order_id"), F.col("user_id"), raw_amount)
     if reject_bad_dates:
         rej = rej | safe_date("process_date").isNull()
     return rej
@@ -64,29 +61,34 @@ def reconciliation_report(source_raw: DataFrame, target: DataFrame, execution_da
     then the amount difference must be within ``tolerance``. The first
     failing rule names the status message.
     """
-    amount = safe_cast("amount", T.DoubleType())
-    src = source_raw.select(F.lit("s").alias("_side"), amount.alias("_amt"),
+    src = source_raw.select(F.lit("s").alias("_side"), finite_amount("amount").alias("_amt"),
                             audit_reject(F.col("amount"), reject_bad_dates).alias("_rej"))
     tgt = target.select(F.lit("t").alias("_side"), F.col("amount").cast("double").alias("_amt"),
                         F.lit(False).alias("_rej"))
     is_s, is_t = F.col("_side") == "s", F.col("_side") == "t"
     rejs = is_s & F.col("_rej")
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(exact_sum(F.when(rows, F.col("_amt")), scale=6), F.lit(0).cast("decimal(38,6)"))
+
+    # the totals stay decimals until they are compared: a huge rejected amount
+    # must not swallow the cents of the others
     m = src.unionByName(tgt).agg(
-        F.count_if(is_s).alias("source_row_count"),
-        F.coalesce(money_sum(F.when(is_s, F.col("_amt"))), F.lit(0.0)).alias("source_sum_amount"),
-        F.count_if(rejs).alias("filtered_row_count"),
-        F.coalesce(money_sum(F.when(rejs, F.col("_amt"))), F.lit(0.0)).alias("filtered_sum_amount"),
-        F.count_if(is_t).alias("target_row_count"),
-        F.coalesce(money_sum(F.when(is_t, F.col("_amt"))), F.lit(0.0)).alias("target_sum_amount"),
+        F.count_if(is_s).alias("source_row_count"), total(is_s).alias("source_sum_amount"),
+        F.count_if(rejs).alias("filtered_row_count"), total(rejs).alias("filtered_sum_amount"),
+        F.count_if(is_t).alias("target_row_count"), total(is_t).alias("target_sum_amount"),
     )
     exp_rows = F.col("source_row_count") - F.col("filtered_row_count") - F.lit(int(deduplicated))
     exp_sum = F.col("source_sum_amount") - F.col("filtered_sum_amount")
     row_diff = F.col("target_row_count") - exp_rows
     amt_diff = F.abs(F.col("target_sum_amount") - exp_sum)
-    m = m.withColumns({"_exp_rows": exp_rows, "_exp_sum": exp_sum,
-                       "discrepancy_rows": row_diff, "_amt_diff": amt_diff})
+    m = m.withColumns({"_exp_rows": exp_rows, "_exp_sum": exp_sum.cast("double"),
+                       "discrepancy_rows": row_diff, "_amt_diff": amt_diff.cast("double")})
+    m = m.withColumns({c: F.col(c).cast("double") for c in (
+        "source_sum_amount", "filtered_sum_amount", "target_sum_amount")})
     status = F.when((F.col("discrepancy_rows") != 0) | (F.col("_amt_diff") > tolerance),
                     F.lit("MISMATCH")).otherwise(F.lit("SUCCESS"))
+    # fixed values: the three message texts are part of the report's contract
     message = (F.when(F.col("discrepancy_rows") != 0, F.concat(
                     F.lit("Row count discrepancy: expected "), F.format_number("_exp_rows", 0),
                     F.lit(", but got "), F.format_number("target_row_count", 0), F.lit(".")))

@@ -4,76 +4,88 @@ When a lookup is small enough (checked by the caller) it is broadcast.
 Otherwise the join is a shuffle join, and a key that holds a large share of
 the probe side would land in one task. AQE's skew join does not help when
 the lookup is an aggregate over its own shuffle (the events summary), so
-hot keys are split explicitly, once for all lookups:
+hot keys take another way, decided once for all lookups:
 
-* hot keys are found from a sample of the probe side (keys whose sampled
-  count implies at least ``min_rows`` rows), capped at ``max_keys`` by a
-  top-k, which bounds everything broadcast below;
-* probe rows with a hot key join broadcast copies of just those keys'
-  lookup rows (at most ``max_keys`` rows per lookup, lookups are unique per
-  key);
-* all other probe rows (NULL keys included) take the ordinary joins.
+* hot keys come from a sample of the raw probe rows: keys with more than one
+  shuffle partition's share of the sample. So there are fewer of them than
+  shuffle partitions, whatever the data size. The list is written once, every
+  use reads the same rows;
+* probe rows of a hot key (and of a NULL key, which matches nothing) are dealt
+  over all partitions by a row hash in the shuffle join, and take their lookup
+  values from a broadcast copy of just the hot keys' lookup rows.
 
-The split is exact for any choice of hot keys: it only decides which path
-a key takes, never whether its rows are joined. ``tap`` is applied to each
-probe part exactly once (for example to attach an ``Observation``); the
-parts partition the probe rows, so per-part counts add up to the total.
+The probe side is evaluated once. The result is exact for any key list: it only
+decides which way a key takes, never whether its rows are joined.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Defaults: a key is hot when it alone would fill a large task.
-HOT_KEY_ROWS = 1_000_000
-HOT_KEY_LIMIT = 1_000
+from ..session import scratch_dir
+
 HOT_KEY_SAMPLE = 0.01
+# Lookup rows of hot keys that may be broadcast; beyond it they stay in the
+# shuffle join (a lookup by day and user has several rows for a hot user).
+HOT_LOOKUP_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS,
-             max_keys: int = HOT_KEY_LIMIT, fraction: float = HOT_KEY_SAMPLE,
+def hot_keys(rows: DataFrame, key: str, fraction: float = HOT_KEY_SAMPLE, partitions: int | None = None,
              seed: int = 17) -> DataFrame:
-    """Keys that look hot in a Bernoulli sample; at most ``max_keys`` rows."""
-    sampled = df.select(key).where(F.col(key).isNotNull())
+    """Keys with over 1 / ``partitions`` of the sampled rows (default: the
+    shuffle partitions), written once; fewer than ``partitions`` rows."""
+    spark = rows.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sampled = rows.select(key)
     if fraction < 1.0:
         sampled = sampled.sample(withReplacement=False, fraction=fraction, seed=seed)
-    need = max(1, int(min_rows * fraction))
-    return (sampled.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                   .where(F.col("_n") >= need)
-                   .orderBy(F.col("_n").desc(), F.col(key)).limit(max_keys)
-                   .select(key))
-
-
-def left_lookup_joins(probe: DataFrame, lookups: Sequence[tuple[DataFrame, bool]], key: str,
-                      skew_split: bool = True, tap: Callable[[DataFrame], DataFrame] | None = None,
-                      min_rows: int = HOT_KEY_ROWS, max_keys: int = HOT_KEY_LIMIT,
-                      fraction: float = HOT_KEY_SAMPLE) -> DataFrame:
-    """``probe ⟕ lookup_1 ⟕ … ⟕ lookup_n`` on ``key``; each lookup comes with
-    its broadcast licence and must be unique per key."""
-    tap = tap or (lambda d: d)
+    counts = sampled.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    path = scratch_dir(spark, "hot-keys")
+    # one row per sampled key at most; the total is a window-free second pass over these counts
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    return counts.where(F.col(key).isNotNull() & (F.col("_n") > max(1.0, total / partitions))).select(key)
 
-    def join_all(part: DataFrame, restrict: DataFrame | None) -> DataFrame:
-        for lk, small in lookups:
-            if small:
-                part = part.join(F.broadcast(lk), key, "left")
-            elif restrict is not None:
-                part = part.join(F.broadcast(lk.join(restrict, key, "left_semi")), key, "left")
-            else:
-                part = part.join(lk, key, "left")
-        return part
 
-    if not skew_split or all(small for _, small in lookups):
-        return join_all(tap(probe), None)
-    hot = F.broadcast(hot_keys(probe, key, min_rows, max_keys, fraction))
-    cold_part = join_all(tap(probe.join(hot, key, "left_anti")), None)
-    hot_part = join_all(tap(probe.join(hot, key, "left_semi")), hot)
-    return cold_part.unionByName(hot_part)
+def left_lookup_joins(probe: DataFrame, lookups: Sequence[tuple], key: str,
+                      hot: DataFrame | None = None) -> DataFrame:
+    """``probe ⟕ lookup_1 ⟕ … ⟕ lookup_n``; each lookup is (frame, may be
+    broadcast) or (frame, may be broadcast, join columns), ``key`` by default,
+    and must be unique per join columns. ``hot``: a written key list of
+    ``hot_keys``; None leaves skew to AQE."""
+    spread = hot is not None and not all(x[1] for x in lookups)
+    if spread:
+        mark = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+        own = F.xxhash64(*[F.col(c) for c in probe.columns])
+        probe = probe.join(mark, key, "left").withColumn(
+            "_deal", F.when(F.col("_hot") | F.col(key).isNull(), own).otherwise(F.lit(0).cast("long")))
+    out = probe
+    for lookup, small, *rest in lookups:
+        on = list(rest[0]) if rest else [key]
+        if small:
+            out = out.join(F.broadcast(lookup), on, "left")
+            continue
+        if not spread:
+            out = out.join(lookup, on, "left")
+            continue
+        values = [c for c in lookup.columns if c not in on]
+        few = lookup.join(F.broadcast(hot), key, "left_semi")
+        if few.limit(HOT_LOOKUP_ROWS + 1).count() > HOT_LOOKUP_ROWS:
+            out = out.join(lookup, on, "left")
+            continue
+        few = F.broadcast(few.withColumnsRenamed({c: f"_h_{c}" for c in values}))
+        dealt = lookup.withColumn("_deal", F.lit(0).cast("long")).withColumnsRenamed({c: f"_c_{c}" for c in values})
+        out = out.join(few, on, "left").join(dealt, [*on, "_deal"], "left")
+        out = out.withColumns({c: F.coalesce(f"_h_{c}", f"_c_{c}") for c in values}).drop(
+            *[f"_h_{c}" for c in values], *[f"_c_{c}" for c in values])
+    return out.drop("_hot", "_deal") if spread else out
 
 
 def left_lookup_join(probe: DataFrame, lookup: DataFrame, key: str, broadcast_lookup: bool,
-                     skew_split: bool = True, **hot_opts) -> DataFrame:
+                     hot: DataFrame | None = None) -> DataFrame:
     """Single-lookup form of ``left_lookup_joins``."""
-    return left_lookup_joins(probe, [(lookup, broadcast_lookup)], key, skew_split, **hot_opts)
+    return left_lookup_joins(probe, [(lookup, broadcast_lookup)], key, hot)

@@ -31,11 +31,9 @@ def _lookup(spark):
 
 
 def test_hot_key_detection_is_bounded(spark):
-    hot = [r["user_id"] for r in hot_keys(_orders(spark), "user_id", min_rows=500,
-                                          max_keys=5, fraction=0.5).collect()]
+    hot = [r["user_id"] for r in hot_keys(_orders(spark), "user_id", fraction=0.5, partitions=8).collect()]
     assert hot == ["U0"]
-    capped = hot_keys(_orders(spark), "user_id", min_rows=1, max_keys=5, fraction=1.0)
-    assert capped.count() == 5
+    assert hot_keys(_orders(spark), "user_id", fraction=1.0, partitions=500).count() < 500
 
 
 def _rows(df):
@@ -46,8 +44,8 @@ def test_skew_split_join_equals_plain_join(spark):
     o, lk = _orders(spark), _lookup(spark)
     cols = [*o.columns, "event_count"]
     plain = o.join(lk, "user_id", "left").select(*cols)
-    split = left_lookup_join(o, lk, "user_id", broadcast_lookup=False,
-                             min_rows=500, max_keys=10, fraction=0.5).select(*cols)
+    hot = hot_keys(o, "user_id", fraction=0.5, partitions=8)
+    split = left_lookup_join(o, lk, "user_id", broadcast_lookup=False, hot=hot).select(*cols)
     assert _rows(split) == _rows(plain) and len(_rows(split)) == o.count()
 
 
@@ -56,8 +54,8 @@ def test_hot_rows_take_the_broadcast_path(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        split = left_lookup_join(o, lk, "user_id", broadcast_lookup=False,
-                                 min_rows=500, max_keys=10, fraction=0.5)
+        hot = hot_keys(o, "user_id", fraction=0.5, partitions=8)
+        split = left_lookup_join(E.latest_per_key(o), lk, "user_id", broadcast_lookup=False, hot=hot)
         split.collect()
         import contextlib
         import io
@@ -66,6 +64,9 @@ def test_hot_rows_take_the_broadcast_path(spark):
             split.explain()
         plan = buf.getvalue()
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        # W1 runs once, and no sample is drawn under the join
+        logical = split._jdf.queryExecution().optimizedPlan().toString()
+        assert logical.count("row_number()") == 1 and "Sample" not in logical
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -82,7 +83,7 @@ def test_enrichment_with_skew_split_matches_broadcast(spark):
                                       F.lit("gold").alias("segment"))
     _, a = E.enrich_daily(o, ev, seg, broadcast_segments=True, broadcast_events=True)
     _, b = E.enrich_daily(o, ev, seg, broadcast_segments=False, broadcast_events=False,
-                          min_rows=500, max_keys=10, fraction=0.5)
+                          fraction=0.5, partitions=8)
     assert _rows(a) == _rows(b) and len(_rows(b)) == o.count()
 
 
@@ -110,6 +111,6 @@ def test_row_gate_counts_are_exact_on_the_split_path(spark, tmp_root):
     seg = spark.range(0, 1001).select(F.concat(F.lit("U"), F.col("id").cast("string")).alias("user_id"),
                                       F.lit("gold").alias("segment"))
     res = run_enrichment(spark, o, ev, seg, tmp_root, broadcast_limit=0,
-                         hot_opts={"min_rows": 500, "max_keys": 10, "fraction": 0.5})
+                         hot_opts={"fraction": 0.5, "partitions": 8})
     assert not res.broadcast_segments and not res.broadcast_events
     assert res.rows_in == o.count() and res.rows_out == o.count()
