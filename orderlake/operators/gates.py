@@ -72,74 +72,53 @@ def data_tests(df: DataFrame, not_null: Sequence[str] = GOLD_NOT_NULL,
 
     not_null / expression tests count failing rows (an expression that is
     NULL is not a failure); unique counts duplicated keys; accepted_values
-    counts distinct non-accepted values. With a unique key, the row tests,
-    the first unique test and the first accepted-values test share one
-    grouped scan; further tests take one pass each. Counting is partial
-    (map-side) throughout.
+    counts distinct non-accepted values. The row tests and the first
+    accepted-values test are one map-side aggregate; each unique test is one
+    pass over its own column alone, so nothing else is shuffled by a
+    near-unique key.
     """
     accepted = {"currency": ACCEPTED_CURRENCIES} if accepted is None else accepted
     cols = set(df.columns)
-    row_tests: list[tuple[str, Column]] = []
+    tests: list[tuple[str, Column]] = []
     for c in not_null:
         if c in cols:
-            row_tests.append((f"not_null_{c}", F.count_if(F.col(c).isNull())))
+            tests.append((f"not_null_{c}", F.count_if(F.col(c).isNull())))
     for c in positive:
         if c in cols:
-            row_tests.append((f"expression_is_true_{c}_gt_0", F.count_if(~(F.col(c) > 0))))
+            tests.append((f"expression_is_true_{c}_gt_0", F.count_if(~(F.col(c) > 0))))
     for c in non_negative:
         if c in cols:
-            row_tests.append((f"expression_is_true_{c}_ge_0", F.count_if(~(F.col(c) >= 0))))
+            tests.append((f"expression_is_true_{c}_ge_0", F.count_if(~(F.col(c) >= 0))))
+    bad = [(c, F.count_distinct(F.when(~F.col(c).isin(list(v)), F.col(c)))) for c, v in accepted.items() if c in cols]
     parts = []
-    ukeys = [c for c in unique if c in cols]
-    acc = [(c, list(v)) for c, v in accepted.items() if c in cols]
-    if ukeys:
-        # One scan: group on the first unique key (partial, map-side counts);
-        # row tests are summed, duplicated keys counted, and the first
-        # accepted-values test rides along as a per-group set of bad values,
-        # exploded once and counted distinct. Row tests count only on each
-        # group's first exploded row, so nothing is counted twice.
-        u = ukeys[0]
-        extra = []
-        if acc:
-            c0, vals0 = acc[0]
-            extra = [F.collect_set(F.when(~F.col(c0).isin(vals0), F.col(c0))).alias("_bad")]
-        g = df.groupBy(u).agg(F.count(F.lit(1)).alias("_n"),
-                              *[e.alias(f"t{i}") for i, (_, e) in enumerate(row_tests)], *extra)
-        first = F.lit(True)
-        if acc:
-            g = g.select("*", F.posexplode_outer("_bad").alias("_pos", "_badv"))
-            first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-        aggs = [F.sum(F.when(first, F.col(f"t{i}"))).alias(f"t{i}") for i in range(len(row_tests))]
-        aggs.append(F.count_if(first & F.col(u).isNotNull() & (F.col("_n") > 1)).alias("u0"))
-        names = [n for n, _ in row_tests] + [f"unique_{u}"]
-        refs = [f"t{i}" for i in range(len(row_tests))] + ["u0"]
-        if acc:
-            aggs.append(F.count_distinct("_badv").alias("a0"))
-            names.append(f"accepted_values_{acc[0][0]}")
-            refs.append("a0")
-            acc = acc[1:]
-        wide = g.agg(*aggs)
-        stack = ", ".join(f"'{n}', coalesce({r}, 0)" for n, r in zip(names, refs))
-        parts.append(wide.selectExpr(f"stack({len(names)}, {stack}) AS (test_name, failures)"))
-        ukeys = ukeys[1:]
-    elif row_tests:
-        wide = df.agg(*[e.alias(f"t{i}") for i, (_, e) in enumerate(row_tests)])
-        stack = ", ".join(f"'{n}', t{i}" for i, (n, _) in enumerate(row_tests))
-        parts.append(wide.selectExpr(f"stack({len(row_tests)}, {stack}) AS (test_name, failures)"))
-    for c in ukeys:
-        dup = (df.where(F.col(c).isNotNull()).groupBy(c).count()
-                 .agg(F.count_if(F.col("count") > 1).alias("failures")))
-        parts.append(dup.select(F.lit(f"unique_{c}").alias("test_name"), "failures"))
-    for c, values in acc:
-        bad = (df.where(~F.col(c).isin(list(values))).select(c).distinct()
-                 .agg(F.count(F.lit(1)).alias("failures")))
-        parts.append(bad.select(F.lit(f"accepted_values_{c}").alias("test_name"), "failures"))
+    # two distinct aggregates in one pass would expand every row, so one each
+    groups = [tests + [(f"accepted_values_{c}", e)] for c, e in bad[:1]] or ([tests] if tests else [])
+    groups += [[(f"accepted_values_{c}", e)] for c, e in bad[1:]]
+    for group in groups:
+        wide = df.agg(*[e.alias(f"t{i}") for i, (_, e) in enumerate(group)])
+        stack = ", ".join(f"'{n}', t{i}" for i, (n, _) in enumerate(group))
+        parts.append(wide.selectExpr(f"stack({len(group)}, {stack}) AS (test_name, failures)"))
+    for c in unique:
+        if c in cols:
+            dup = (df.where(F.col(c).isNotNull()).groupBy(c).count()
+                     .agg(F.count_if(F.col("count") > 1).alias("failures")))
+            parts.append(dup.select(F.lit(f"unique_{c}").alias("test_name"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("test_name", F.col("failures").cast("long").alias("failures"))
 
 
+def cross_day_duplicates(table: DataFrame, merged: DataFrame, key: str = "order_id",
+                         partition_col: str = "process_date") -> int:
+    """Q9 over old and new days: keys of ``merged`` that also lie in days of
+    ``table`` that ``merged`` replaces nothing of. One column of the table is
+    read; keys are joined, none collected."""
+    days = merged.select(partition_col).distinct()
+    old = table.select(key, partition_col).join(F.broadcast(days), partition_col, "left_anti").select(key)
+    return old.join(merged.select(key).distinct(), key, "left_semi").distinct().count()
+
+
 def enforce_tests(results: DataFrame) -> None:
     failing = results.where(F.col("failures") > 0).collect()
     if failing:
@@ -167,6 +146,19 @@ def contract_frame(df: DataFrame, contract: T.StructType = GOLD_CONTRACT) -> Dat
     return spark.createDataFrame(contract_check(df, contract), schema)
 
 
+def contract_counts(df: DataFrame, contract: T.StructType = GOLD_CONTRACT) -> DataFrame:
+    """Q12 with the rows behind it: each contract column's verdict and its
+    non-NULL rows (0 for an absent column), in one aggregate over the table."""
+    rows = contract_check(df, contract)
+    counts = df.agg(*[(F.count(r["column_name"]) if r["actual_type"] else F.lit(0).cast("long")).alias(f"n{i}")
+                      for i, r in enumerate(rows)])
+    def text(v):
+        return "CAST(NULL AS STRING)" if v is None else f"'{v}'"
+    stack = ", ".join(f"'{r['column_name']}', {text(r['expected_type'])}, {text(r['actual_type'])}, "
+                      f"{str(r['ok']).lower()}, n{i}" for i, r in enumerate(rows))
+    return counts.selectExpr(f"stack({len(rows)}, {stack}) AS (column_name, expected_type, actual_type, ok, non_null_rows)")
+
+
 # ---------------------------------------------------------------- Q13 ----
 def freshness(df: DataFrame, as_of: datetime | str, loaded_at: str = "process_date",
               warn_hours: float = FRESHNESS_WARN_HOURS,

@@ -9,7 +9,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import event_list
+from ..functions.columns import amount_fault, amount_ok, event_list
 from ..schemas import ACCEPTED_CURRENCIES, UNCLASSIFIED_SEGMENT
 from ..session import scratch_dir
 from ..sinks import parquet as sink
@@ -18,10 +18,22 @@ from .gates import GateError
 
 
 def quality_filter(df: DataFrame, accepted: Sequence[str] = ACCEPTED_CURRENCIES) -> DataFrame:
-    """Keys present, amount > 0, currency accepted (checked before the
-    upper-casing, so lower-case codes are rejected: H15)."""
-    return df.where(F.col("order_id").isNotNull() & F.col("user_id").isNotNull()
-                    & (F.col("amount") > 0) & F.col("currency").isin(list(accepted)))
+    """Keys present, a good amount above 0, currency accepted (checked
+    before the upper-casing, so lower-case codes are rejected: H15)."""
+    return df.where(_passes(accepted))
+
+
+def _passes(accepted: Sequence[str]):
+    return (F.col("order_id").isNotNull() & F.col("user_id").isNotNull() & amount_ok("amount")
+            & F.coalesce(F.col("currency").isin(list(accepted)), F.lit(False)))
+
+
+def quality_rejects(df: DataFrame, accepted: Sequence[str] = ACCEPTED_CURRENCIES) -> DataFrame:
+    """The exact complement of ``quality_filter``, with the first reason."""
+    reason = (F.when(F.col("order_id").isNull(), F.lit("null order_id"))
+               .when(F.col("user_id").isNull(), F.lit("null user_id"))
+               .otherwise(F.coalesce(amount_fault("amount"), F.lit("currency not accepted"))))
+    return df.where(~_passes(accepted)).withColumn("reject_reason", reason)
 
 
 def gold_model(staged: DataFrame, run_ts: datetime | str, run_date: date | str | None = None,
@@ -74,6 +86,8 @@ class MergeResult:
     touched_partitions: int
     source_rows: int
     rejected_null_keys: int
+    inserted: int = 0
+    updated: int = 0
 
 
 def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
@@ -81,83 +95,93 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
                  partition_col: str = "process_date",
                  preset: MergePreset = MODEL, run_ts: datetime | str | None = None,
                  cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
-                 check=None) -> MergeResult:
+                 check=None, rejects: str | None = None) -> MergeResult:
     """Upsert ``source`` into the partitioned Parquet ``target``.
 
-    1. NULL keys are rejected (H24); duplicate source keys fail the merge.
-    2. Only target partitions that the source touches are read (partition
+    1. The source is written once. Rows with a NULL key are not merged (H24):
+       they are appended to the ``rejects`` table when one is named, and
+       counted always. Duplicate source keys fail the merge.
+    2. A column whose type differs from the target's fails the merge before
+       anything is published.
+    3. Only target partitions that the source touches are read (partition
        filter on the scan), never the whole table.
-    3. Full outer join on the keys; a presence flag picks source values for
+    4. Full outer join on the keys; a presence flag picks source values for
        matched and new rows, target values for untouched rows.
-    4. Columns are aligned by name: a column new in the source is added and
+    5. Columns are aligned by name: a column new in the source is added and
        is NULL in older rows (append_new_columns).
-    5. The merged partitions are staged (lineage cut: the target is read and
+    6. The merged partitions are staged (lineage cut: the target is read and
        rewritten); ``check(staged_frame)`` runs on them (data tests, contract)
        and may raise, so nothing failing is published; then they are
-       published with dynamic overwrite.
+       published with dynamic overwrite, and the stages are deleted.
     """
     keys = list(keys)
     run_ts = str(run_ts) if run_ts is not None else None
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    stage_src = scratch_dir(spark, "merge-src")
-    sink.write_stage(source, stage_src)
-    staged = spark.read.parquet(stage_src)
-    stats = (staged.groupBy(*keys).count().withColumn("_null", null_key)
-             .agg(F.sum(F.when(~F.col("_null"), F.col("count"))).alias("rows"),
-                  F.sum(F.when(F.col("_null"), F.col("count"))).alias("rejected"),
-                  F.count_if(~F.col("_null") & (F.col("count") > 1)).alias("dups")).first())
-    rows, rejected = int(stats["rows"] or 0), int(stats["rejected"] or 0)
-    if stats["dups"]:
-        raise GateError(f"merge source has {stats['dups']} duplicated keys {keys}")
-    if rows == 0:
-        return MergeResult(0, 0, rejected)
-    src = staged.where(~null_key)
-    touched = sink.source_partition_values(src, partition_col)
-
-    if preset.stamp_updated_at and run_ts is not None:
-        src = src.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
-    if preset.inserted_at and run_ts is not None:
-        src = src.withColumn("inserted_at", F.lit(run_ts).cast("timestamp"))
-
-    if sink.path_exists(spark, target):
+    stage_src, stage_out = scratch_dir(spark, "merge-src"), scratch_dir(spark, "merge-out")
+    try:
+        sink.write_stage(source, stage_src)
+        staged = spark.read.schema(source.schema).parquet(stage_src)
+        stats = (staged.groupBy(*keys).count().withColumn("_null", null_key)
+                 .agg(F.sum(F.when(~F.col("_null"), F.col("count"))).alias("rows"),
+                      F.sum(F.when(F.col("_null"), F.col("count"))).alias("rejected"),
+                      F.count_if(~F.col("_null") & (F.col("count") > 1)).alias("dups"),
+                      F.collect_set(F.when(~F.col("_null"), F.col(partition_col))).alias("touched")).first())
+        rows, rejected = int(stats["rows"] or 0), int(stats["rejected"] or 0)
+        touched = sorted(stats["touched"])
+        if rejected and rejects is not None:
+            (staged.where(null_key).withColumn("reject_reason", F.lit("null merge key"))
+                .write.mode("append").parquet(rejects))
+        if stats["dups"]:
+            raise GateError(f"merge source has {stats['dups']} duplicated keys {keys}")
+        if rows == 0:
+            return MergeResult(0, 0, rejected)
+        src = staged.where(~null_key)
+        if preset.stamp_updated_at and run_ts is not None:
+            src = src.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
+        if preset.inserted_at and run_ts is not None:
+            src = src.withColumn("inserted_at", F.lit(run_ts).cast("timestamp"))
+        sink.check_schema(spark, target, src.schema)
         # only the touched day folders are listed and read
-        tgt = read_partitions(spark, target, partition_col, touched, none_if_missing=True)
-    else:
-        tgt = None
-
-    if tgt is None:
-        # nothing to match: the staged source is published as it is
+        tgt = (read_partitions(spark, target, partition_col, touched, none_if_missing=True)
+               if sink.path_exists(spark, target) else None)
+        if tgt is None:
+            # nothing to match: the staged source is published as it is
+            if check is not None:
+                check(src)
+            sink.publish_partitions(spark, src, target, partition_col, cluster_by)
+            return MergeResult(len(touched), rows, rejected, inserted=rows)
+        merged = _merged(src, tgt, keys, preset)
+        sink.write_stage(merged, stage_out)
+        out = spark.read.schema(merged.schema).parquet(stage_out)
         if check is not None:
-            check(src)
-        sink.publish_partitions(spark, src, target, partition_col, cluster_by)
-        return MergeResult(len(touched), rows, rejected)
-    else:
-        s = src.withColumn("_in_src", F.lit(True))
-        t = tgt.withColumn("_in_tgt", F.lit(True))
-        j = s.alias("s").join(t.alias("t"), on=keys, how="full_outer")
-        from_src = F.col("_in_src").isNotNull()
-        matched = from_src & F.col("_in_tgt").isNotNull()
-        cols = []
-        for c in list(dict.fromkeys([*tgt.columns, *src.columns])):
-            if c in keys:
-                cols.append(F.col(c))
-                continue
-            sc, tc = F.col(f"s.{c}"), F.col(f"t.{c}")
-            if c not in src.columns:
-                cols.append(tc.alias(c))
-            elif c not in tgt.columns:
-                cols.append(F.when(from_src, sc).alias(c))
-            elif c in preset.keep_on_update or (c == "inserted_at" and preset.inserted_at):
-                cols.append(F.when(matched, tc).when(from_src, sc).otherwise(tc).alias(c))
-            else:
-                cols.append(F.when(from_src, sc).otherwise(tc).alias(c))
-        merged = j.select(*cols)
-
-    stage_out = scratch_dir(spark, "merge-out")
-    sink.write_stage(merged, stage_out)
-    if check is not None:
-        check(spark.read.parquet(stage_out))
-    sink.publish_partitions(spark, stage_out, target, partition_col, cluster_by)
-    return MergeResult(len(touched), rows, rejected)
+            check(out.drop("_matched"))
+        updated = out.where("_matched").count()
+        sink.publish_partitions(spark, out.drop("_matched"), target, partition_col, cluster_by)
+        return MergeResult(len(touched), rows, rejected, inserted=rows - updated, updated=updated)
+    finally:
+        for path in (stage_src, stage_out):
+            sink.delete_path(spark, path)
+
+
+def _merged(src: DataFrame, tgt: DataFrame, keys: list[str], preset: MergePreset) -> DataFrame:
+    """The outer join of step 4 and 5, with a ``_matched`` flag."""
+    j = src.withColumn("_in_src", F.lit(True)).alias("s").join(
+        tgt.withColumn("_in_tgt", F.lit(True)).alias("t"), on=keys, how="full_outer")
+    from_src = F.col("_in_src").isNotNull()
+    matched = from_src & F.col("_in_tgt").isNotNull()
+    cols = []
+    for c in dict.fromkeys([*tgt.columns, *src.columns]):
+        sc, tc = F.col(f"s.{c}"), F.col(f"t.{c}")
+        if c in keys:
+            cols.append(F.col(c))
+        elif c not in src.columns:
+            cols.append(tc.alias(c))
+        elif c not in tgt.columns:
+            cols.append(F.when(from_src, sc).alias(c))
+        elif c in preset.keep_on_update or (c == "inserted_at" and preset.inserted_at):
+            cols.append(F.when(matched, tc).when(from_src, sc).otherwise(tc).alias(c))
+        else:
+            cols.append(F.when(from_src, sc).otherwise(tc).alias(c))
+    return j.select(*cols, matched.alias("_matched"))

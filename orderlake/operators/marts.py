@@ -7,64 +7,74 @@ read. ``require_partition_filter`` checks a free-form plan the same way.
 
 from __future__ import annotations
 
-import contextlib
-import io
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import money_sum
-from ..sources.files import read_partitions, read_processed
+from ..sinks.parquet import partition_values
+from ..sources.files import read_processed
 
-# Ranges up to this many days list only their own partition folders; wider
-# ranges list the table and rely on the scan's partition filter.
-MAX_LISTED_DAYS = 400
+# Longest range a guarded read takes (a sentinel range is no filter); a caller
+# with an older table passes its own.
+MAX_RANGE_DAYS = 3_660
 
 
 class PartitionFilterRequired(ValueError):
     """A query over the gold table has no usable partition filter."""
 
 
+def table_days(spark: SparkSession, root: str, partition_col: str = "process_date") -> tuple[str, str]:
+    """First and last day of a table, from its folder names (no file is opened)."""
+    days = partition_values(spark, root, partition_col)
+    if not days:
+        raise PartitionFilterRequired(f"no {partition_col} partition in {root}")
+    return min(days), max(days)
+
+
 def guarded_read(spark: SparkSession, root: str, start: str | date | Column,
-                 end: str | date | Column, partition_col: str = "process_date") -> DataFrame:
-    """Read the gold table for ``start <= partition_col <= end`` only."""
+                 end: str | date | Column, partition_col: str = "process_date",
+                 max_days: int = MAX_RANGE_DAYS) -> DataFrame:
+    """Read the gold table for ``start <= partition_col <= end`` only. The
+    range becomes a partition filter of the scan."""
     if start is None or end is None:
         raise PartitionFilterRequired(f"a {partition_col} range is required")
-    lo = start if isinstance(start, Column) else F.lit(str(start)).cast("date")
-    hi = end if isinstance(end, Column) else F.lit(str(end)).cast("date")
     if not isinstance(start, Column) and not isinstance(end, Column):
         a, b = date.fromisoformat(str(start)), date.fromisoformat(str(end))
-        if 0 <= (b - a).days < MAX_LISTED_DAYS:
-            days = [a + timedelta(days=i) for i in range((b - a).days + 1)]
-            df = read_partitions(spark, root, partition_col, days)
-            return df.where(F.col(partition_col).between(lo, hi))
+        if (b - a).days >= max_days:
+            raise PartitionFilterRequired(f"a range of {(b - a).days + 1} days is no filter (limit {max_days})")
+    lo = start if isinstance(start, Column) else F.lit(str(start)).cast("date")
+    hi = end if isinstance(end, Column) else F.lit(str(end)).cast("date")
     return read_processed(spark, root).where(F.col(partition_col).between(lo, hi))
 
 
+def _scans(plan):
+    """The file scans of a physical plan, those of its subqueries too."""
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found.append(node)
+        for seq in (node.children(), node.subqueries()):
+            todo += [seq.apply(i) for i in range(seq.size())]
+    return found
+
+
 def require_partition_filter(df: DataFrame, partition_col: str = "process_date") -> DataFrame:
-    """P22 for free-form queries: the physical plan of every scan must show a
-    ``PartitionFilters`` entry on ``partition_col`` beyond ``isnotnull``.
-
-    The plan text is truncated near 100 characters, so no closing bracket
-    is expected."""
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    plan = buf.getvalue()
-    found = False
-    for line in plan.splitlines():
-        if "PartitionFilters: [" not in line:
+    """P22 for free-form queries: every scan of a table partitioned by
+    ``partition_col`` must filter on it beyond ``isnotnull``, and there must be
+    such a scan."""
+    guarded = 0
+    for scan in _scans(df._jdf.queryExecution().sparkPlan()):
+        if partition_col not in list(scan.relation().partitionSchema().fieldNames()):
             continue
-        body = line.split("PartitionFilters: [", 1)[1]
-        body = body.split("], ")[0]
-        terms = [t for t in body.split(", ") if t and partition_col in t
-                 and not t.startswith("isnotnull(")]
-        if not body or body.startswith("]") or not terms:
-            raise PartitionFilterRequired(
-                f"queries over the gold table require a filter on {partition_col}")
-        found = True
-    if not found:
+        filters = scan.partitionFilters()
+        terms = [filters.apply(i).toString() for i in range(filters.size())]
+        if not any(partition_col in t and not t.startswith("isnotnull(") for t in terms):
+            raise PartitionFilterRequired(f"queries over the gold table require a filter on {partition_col}")
+        guarded += 1
+    if not guarded:
         raise PartitionFilterRequired(f"no partitioned scan filtered on {partition_col}")
     return df
 

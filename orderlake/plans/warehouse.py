@@ -14,18 +14,19 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gates as G
-from ..operators.gold import MODEL, SCRIPT, MergePreset, MergeResult, gold_model, \
-    merge_upsert, script_projection
-from ..sinks.parquet import write_replace
-from ..sources.files import read_partitions
+from ..operators.gold import (MODEL, SCRIPT, MergePreset, MergeResult, gold_model, merge_upsert,
+                              quality_rejects, script_projection)
+from ..sinks.parquet import path_exists, write_replace
+from ..sources.files import read_partitions, read_processed
 from .daily import parse_run_date
 
 
 @dataclass
 class WarehouseRun:
-    status: str                  # MERGED | SKIPPED
+    status: str                  # MERGED | LOADED | SKIPPED
     staged_rows: int
     merge: MergeResult | None
+    rejected: int = 0            # staged rows that fail the quality filter (P12)
 
 
 def gold_checks(df: DataFrame) -> None:
@@ -39,23 +40,47 @@ def gold_checks(df: DataFrame) -> None:
 
 def run_warehouse(spark: SparkSession, processed_root: str, staging_root: str,
                   gold_root: str, run_date: str | date, run_ts: datetime | str,
-                  preset: MergePreset = MODEL, run_tests: bool = True) -> WarehouseRun:
+                  preset: MergePreset = MODEL, run_tests: bool = True, step: str = "all",
+                  unique_scope: str = "table", rejects_root: str | None = None) -> WarehouseRun:
     """K3: replace staging with the run date's processed partition (S7),
-    then merge it into gold (model or script preset)."""
+    then merge it into gold (model or script preset).
+
+    ``step`` is ``load``, ``merge`` or ``all``. The unique test covers the whole
+    table (Q9: an order that already lies in another day fails the run), or
+    with ``unique_scope="touched"`` the run's day. Rows that fail P12 and rows
+    with a NULL merge key go to ``rejects_root`` with a reason, if named, and
+    are counted always."""
+    if step not in ("load", "merge", "all"):
+        raise ValueError(f"step {step!r}: load, merge or all")
     d = parse_run_date(run_date)
-    part = read_partitions(spark, processed_root, "process_date", [d], none_if_missing=True)
-    if part is None:
-        return WarehouseRun("SKIPPED", 0, None)          # Q14: nothing landed for the date
-    write_replace(part, staging_root)
+    if step in ("load", "all"):
+        part = read_partitions(spark, processed_root, "process_date", [d], none_if_missing=True)
+        if part is None:
+            return WarehouseRun("SKIPPED", 0, None)          # Q14: nothing landed for the date
+        write_replace(part, staging_root)
+    elif not path_exists(spark, staging_root):
+        return WarehouseRun("SKIPPED", 0, None)
     staged = spark.read.parquet(staging_root)
     rows = staged.count()
-    if rows == 0:
-        return WarehouseRun("SKIPPED", 0, None)
+    if rows == 0 or step == "load":
+        return WarehouseRun("LOADED" if rows else "SKIPPED", rows, None)
+    rejected, check = 0, None
     if preset is SCRIPT:
         source = script_projection(staged, d)
-        check = None
     else:
         source = gold_model(staged, run_ts, d)
-        check = gold_checks if run_tests else None
-    res = merge_upsert(spark, gold_root, source, preset=preset, run_ts=run_ts, check=check)
-    return WarehouseRun("MERGED", rows, res)
+        bad = quality_rejects(staged)
+        rejected = bad.count()
+        if rejected and rejects_root is not None:
+            bad.select("order_id", "user_id", "amount", "currency", "reject_reason").write.mode("append").parquet(
+                rejects_root)
+
+        def check(merged):
+            gold_checks(merged)
+            if unique_scope == "table" and path_exists(spark, gold_root):
+                again = G.cross_day_duplicates(read_processed(spark, gold_root), merged)
+                if again:
+                    raise G.GateError(f"data tests failed: unique_order_id={again} (orders of other days)")
+    res = merge_upsert(spark, gold_root, source, preset=preset, run_ts=run_ts,
+                       check=check if run_tests else None, rejects=rejects_root)
+    return WarehouseRun("MERGED", rows, res, rejected)

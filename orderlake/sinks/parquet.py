@@ -9,7 +9,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .table_schema import update_table_schema
+from .table_schema import check_schema, update_table_schema  # noqa: F401
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_date",
@@ -30,8 +30,8 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_da
          .option("compression", "snappy"))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
+    update_table_schema(df.sparkSession, path, df.schema)  # first: a reader never misses a column
     w.partitionBy(partition_col).parquet(path)
-    update_table_schema(df.sparkSession, path, df.schema)
 
 
 def spread_by_range(df: DataFrame, partition_col: str,
@@ -105,10 +105,17 @@ def publish_partitions(spark: SparkSession, staged_path: str | DataFrame, target
     write_partitioned(staged, target, partition_col, cluster_by)
 
 
-def source_partition_values(df: DataFrame, partition_col: str) -> list:
-    """Distinct partition values of a batch (days: a small, bounded list)."""
-    return sorted(r[0] for r in df.select(partition_col).distinct().collect() if r[0] is not None)
+def child_names(spark: SparkSession, root: str) -> list[str]:
+    """Names directly below a folder, hidden ones left out; one listing."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
-def partition_filter(values: Sequence, partition_col: str):
-    return F.col(partition_col).isin(list(values))
+def partition_values(spark: SparkSession, root: str, partition_col: str = "process_date") -> list[str]:
+    """Values of the partition folders, from their names: no file is opened."""
+    prefix = f"{partition_col}="
+    return [n[len(prefix):] for n in child_names(spark, root)
+            if n.startswith(prefix) and "__HIVE_DEFAULT" not in n]
