@@ -1,9 +1,10 @@
 """Landing gate: S8, J4, J5, Q3–Q7, K6, K7, Q14.
 
 The file listing is a DataFrame (``binaryFile`` with the ``content`` column
-pruned, so no bytes travel in rows). The only Python step is a
-``mapInPandas`` that, per file and on the executor, hashes the bytes in
-chunks and reads the Parquet footer. Routing, duplicate detection and the
+pruned, so no bytes travel in rows). Files known by place, size and time are
+not read again, so a run reads what landed since the last one. The only Python
+step is a ``mapInPandas`` that, per file and on the executor, hashes the bytes
+in chunks and reads the Parquet footer. Routing, duplicate detection and the
 contract check are DataFrame expressions and joins.
 """
 
@@ -16,10 +17,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schemas import CONTRACT_PARQUET_TYPES, FILE_TYPE_RULES, REQUIRED_COLUMNS
+from ..schemas import (COLUMN_ALIASES, CONTRACT_PARQUET_TYPES, FILE_TYPE_RULES, KNOWN_FILES_SCHEMA,
+                       REGISTRY_SCHEMA, REQUIRED_COLUMNS)
+from ..session import scratch_dir
+from ..sinks import parquet as sink
 
 INSPECT_SCHEMA = ("path string, md5 string, columns array<string>, "
-                  "physical map<string,string>, read_error string")
+                  "physical map<string,string>, read_error string, io_error string")
+# Hadoop names of schemes that the file reader knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
 CHUNK = 8 * 1024 * 1024
 
 
@@ -32,7 +38,9 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 def _inspect_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per file: chunked MD5 of the bytes and the footer's column names and
-    physical types. Runs inside executor tasks."""
+    physical types. Runs inside executor tasks. Bytes that can't be fetched
+    are an ``io_error`` (the file is left for the next run); bytes that are no
+    Parquet file are a ``read_error`` (Q4)."""
     import hashlib
 
     import pyarrow.fs as pafs
@@ -41,26 +49,29 @@ def _inspect_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for path in pdf["path"]:
-            md5, cols, phys, err = None, None, None, None
+            md5, cols, phys, err, io_err = None, None, None, None, None
             try:
-                fs, p = pafs.FileSystem.from_uri(path)
+                scheme, colon, rest = path.partition(":")
+                fs, p = pafs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + colon + rest)
                 h = hashlib.md5()
                 with fs.open_input_stream(p) as f:
-                    while True:
-                        chunk = f.read(CHUNK)
-                        if not chunk:
-                            break
+                    while chunk := f.read(CHUNK):
                         h.update(chunk)
                 md5 = h.hexdigest()
-                with fs.open_input_file(p) as f:
-                    pf = pq.ParquetFile(f)
-                    cols = list(pf.schema_arrow.names)
-                    phys = {pf.schema.column(i).path.split(".")[0]: pf.schema.column(i).physical_type
-                            for i in range(len(pf.schema))}
-            except Exception as exc:  # noqa: BLE001 - becomes the quarantine reason (Q4)
-                err = f"Could not read Parquet schema: {exc}"
-            rows.append((path, md5, cols, phys, err))
-        yield pd.DataFrame(rows, columns=["path", "md5", "columns", "physical", "read_error"])
+                f = fs.open_input_file(p)
+            except Exception as exc:  # noqa: BLE001 - reported, retried by the next run
+                io_err = f"{type(exc).__name__}: {exc}"
+            else:
+                try:
+                    with f:
+                        pf = pq.ParquetFile(f)
+                        cols = list(pf.schema_arrow.names)
+                        phys = {pf.schema.column(i).path.split(".")[0]: pf.schema.column(i).physical_type
+                                for i in range(len(pf.schema))}
+                except Exception as exc:  # noqa: BLE001 - becomes the quarantine reason (Q4)
+                    err = f"unreadable Parquet footer: {exc}"
+            rows.append((path, md5, cols, phys, err, io_err))
+        yield pd.DataFrame(rows, columns=["path", "md5", "columns", "physical", "read_error", "io_error"])
 
 
 def detect_file_type(rel_path: Column) -> Column:
@@ -81,74 +92,86 @@ def _contract_array(ftype: Column, table: dict[str, Sequence[str]]) -> Column:
     return expr.otherwise(F.array().cast("array<string>"))
 
 
+def _canonical(columns: Column) -> Column:
+    """Column names with transition aliases replaced by contract names."""
+    names = {a: c for c, aliases in COLUMN_ALIASES.items() for a in aliases}
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.transform(columns, lambda c: F.coalesce(F.element_at(known, c), c))
+
+
+def _type_fault(file_type: Column) -> Column:
+    """The first contract column whose physical type differs, as a reason."""
+    expected = F.create_map(*[x for t, m in CONTRACT_PARQUET_TYPES.items()
+                              for c, pt in m.items() for x in (F.lit(f"{t}.{c}"), F.lit(pt))])
+
+    def want(c):
+        return F.element_at(expected, F.concat(file_type, F.lit("."), c))
+    bad = F.get(F.array_sort(F.filter(F.map_keys("physical"), lambda c: (
+        want(c).isNotNull() & (want(c) != F.element_at(F.col("physical"), c))))), 0)
+    return F.when(bad.isNotNull(), F.concat(
+        F.lit("Column '"), bad, F.lit("' has physical type "), F.element_at(F.col("physical"), bad),
+        F.lit(", expected "), want(bad)))
+
+
 def landing_decisions(spark: SparkSession, listing: DataFrame, root: str,
                       registry: DataFrame | None = None,
                       run_ts: datetime | str | None = None,
                       required: dict[str, Sequence[str]] = REQUIRED_COLUMNS,
-                      check_types: bool = False) -> DataFrame:
+                      check_types: bool = False, known: DataFrame | None = None) -> DataFrame:
     """T1 core: one decision row per Parquet file in ``listing``.
 
-    status: ``validated`` | ``quarantined`` | ``duplicate``. Duplicates are
-    files whose bytes (MD5) were validated before (registry) or occur
-    earlier in this batch; quarantined files are checked again on re-drop
-    (H20). ``check_types`` also compares footer physical types (H11).
+    status: ``validated`` | ``quarantined`` | ``duplicate`` | ``retry``.
+    Validity is decided first. Of the valid files, those are duplicates whose
+    bytes (MD5) were validated before (``registry``) or occur under an earlier
+    path in this batch; a wrong copy never claims a hash (H20). Quarantined
+    files are checked again on re-drop. A file whose bytes could not be fetched
+    is ``retry``: neither quarantined nor registered. Files in ``known`` (same
+    path, size and time) are duplicates without being read; ``was_read`` tells.
+    ``check_types`` also compares footer physical types (H11).
     """
     prefix = root.rstrip("/") + "/"
     files = listing.where(F.lower("path").endswith(".parquet"))          # Q6
     rel = F.regexp_replace("path", r"^.*?" + _escape_tail(prefix), "")
     files = files.withColumn("filename", rel).withColumn("file_type", detect_file_type(rel))
-    inspected = files.select("path").mapInPandas(_inspect_files, INSPECT_SCHEMA)
-    d = files.join(inspected, "path", "left")
-
-    # Content seen before (validated only) or earlier in this batch.
-    # Unknown-type files are never registered, so they cannot claim a hash.
-    w = Window.partitionBy("md5").orderBy(F.col("file_type").isNull(), "path")
-    d = d.withColumn("_dup_in_batch", F.when(
-        F.col("md5").isNotNull() & F.col("file_type").isNotNull(),
-        F.row_number().over(w) > 1).otherwise(F.lit(False)))
+    same = ["path", "length", "modificationTime"]
+    unread = files if known is None else files.join(known.select(*same).distinct(), same, "left_anti")
+    inspected = unread.select("path").mapInPandas(_inspect_files, INSPECT_SCHEMA)
+    d = unread.join(inspected, "path", "left")
+
+    # Required columns absent from the footer; the first one is named.
+    have = F.coalesce(_canonical(F.col("columns")), F.array().cast("array<string>"))
+    missing = F.get(F.array_except(_contract_array(F.col("file_type"), required), have), 0)
+    # fixed values: the reason texts are part of the quarantine contract
+    fault = (F.when(F.col("file_type").isNull(), F.lit("Could not determine file type from path"))
+              .when(F.col("read_error").isNotNull(), F.col("read_error"))
+              .when(missing.isNotNull(), F.concat(F.lit("Required column '"), missing, F.lit("' missing from "),
+                                                  F.col("file_type"), F.lit(" file"))))
+    if check_types:
+        fault = F.coalesce(fault, _type_fault(F.col("file_type")))
+    d = d.withColumn("failure_reason", F.coalesce("io_error", fault))
+    # The first valid path of each content; faulty files stand alone
+    content = F.when(F.col("failure_reason").isNull(), F.col("md5")).otherwise(F.concat(F.lit("path:"), "path"))
+    d = d.withColumn("_content", content)
+    d = d.withColumn("_again", F.row_number().over(Window.partitionBy("_content").orderBy("path")) > 1)
     if registry is not None:
-        seen = (registry.where(F.col("status") == "validated").select("md5").distinct()
+        seen = (registry.where(F.col("status") == "validated").select(F.col("md5").alias("_content")).distinct()
                 .withColumn("_seen", F.lit(True)))
-        d = d.join(seen, "md5", "left")
+        d = d.join(seen, "_content", "left")
     else:
         d = d.withColumn("_seen", F.lit(None).cast("boolean"))
-    duplicate = F.col("_dup_in_batch") | F.coalesce(F.col("_seen"), F.lit(False))
-
-    # Required columns absent from the footer; first one names the reason.
-    req = _contract_array(F.col("file_type"), required)
-    missing = F.array_except(req, F.coalesce(F.col("columns"), F.array().cast("array<string>")))
-    d = d.withColumn("_missing", missing)
-    reason_missing = F.concat(F.lit("Required column '"), F.element_at("_missing", 1),
-                              F.lit("' missing from "), F.col("file_type"), F.lit(" file"))
-    type_reason = F.lit(None).cast("string")
-    if check_types:
-        exp = F.create_map(*[x for t, m in CONTRACT_PARQUET_TYPES.items()
-                             for c, pt in m.items() for x in (F.lit(f"{t}.{c}"), F.lit(pt))])
-        bad = F.filter(F.map_keys("physical"), lambda c: (
-            F.element_at(exp, F.concat(F.col("file_type"), F.lit("."), c)).isNotNull()
-            & (F.element_at(exp, F.concat(F.col("file_type"), F.lit("."), c))
-               != F.element_at(F.col("physical"), c))))
-        d = d.withColumn("_badtype", F.element_at(F.array_sort(bad), 1))
-        type_reason = F.when(F.col("_badtype").isNotNull(), F.concat(
-            F.lit("Column '"), F.col("_badtype"), F.lit("' has physical type "),
-            F.element_at(F.col("physical"), F.col("_badtype")), F.lit(", expected "),
-            F.element_at(exp, F.concat(F.col("file_type"), F.lit("."), F.col("_badtype")))))
-
-    status = (F.when(F.col("file_type").isNull(), F.lit("quarantined"))
-               .when(duplicate, F.lit("duplicate"))
-               .when(F.col("read_error").isNotNull(), F.lit("quarantined"))
-               .when(F.size("_missing") > 0, F.lit("quarantined"))
-               .when(type_reason.isNotNull(), F.lit("quarantined"))
+    status = (F.when(F.col("io_error").isNotNull(), F.lit("retry"))
+               .when(F.col("failure_reason").isNotNull(), F.lit("quarantined"))
+               .when(F.col("_again") | F.coalesce("_seen", F.lit(False)), F.lit("duplicate"))
                .otherwise(F.lit("validated")))
-    reason = (F.when(F.col("file_type").isNull(), F.lit("Could not determine file type from path"))
-               .when(duplicate, F.lit(None).cast("string"))
-               .when(F.col("read_error").isNotNull(), F.col("read_error"))
-               .when(F.size("_missing") > 0, reason_missing)
-               .otherwise(type_reason))
     ts = F.lit(str(run_ts)).cast("timestamp") if run_ts is not None else F.current_timestamp()
-    return d.select("path", "filename", "file_type", "length", "md5",
-                    status.alias("status"), reason.alias("failure_reason"),
-                    ts.alias("first_seen_at"), ts.alias("processed_at"))
+    cols = ["path", "filename", "file_type", "length", "modificationTime", "md5"]
+    out = d.select(*cols, status.alias("status"), "failure_reason", F.lit(True).alias("was_read"))
+    if known is not None:
+        hit = files.join(known.select(*same, "md5").dropDuplicates(same), same)
+        out = out.unionByName(hit.select(*cols, F.lit("duplicate").alias("status"),
+                                         F.lit(None).cast("string").alias("failure_reason"),
+                                         F.lit(False).alias("was_read")))
+    return out.withColumns({"first_seen_at": ts, "processed_at": ts})
 
 
 def _escape_tail(prefix: str) -> str:
@@ -160,10 +183,63 @@ def _escape_tail(prefix: str) -> str:
 
 
 def registry_rows(decisions: DataFrame) -> DataFrame:
-    """K6: rows to append to the registry (one per new content hash)."""
-    return decisions.where(F.col("status") != "duplicate").select(
-        "md5", "filename", "file_type", "status", "failure_reason", "first_seen_at",
-        "processed_at")
+    """K6: what a run tells the registry: its new contents of a known type."""
+    return decisions.where(F.col("status").isin("validated", "quarantined") & F.col("md5").isNotNull()
+                           & F.col("file_type").isNotNull()).select(*REGISTRY_SCHEMA.fieldNames())
+
+
+def one_per_content(rows: DataFrame) -> DataFrame:
+    """K6: one row per MD5: first seen and last processed over all rows, the
+    rest from its validated row, or else from the newest."""
+    best = F.max_by(F.struct("path", "filename", "file_type", "status", "failure_reason"),
+                    F.struct(F.col("status") == "validated", "processed_at", "path"))
+    one = rows.groupBy("md5").agg(best.alias("b"), F.min("first_seen_at").alias("first_seen_at"),
+                                  F.max("processed_at").alias("processed_at"))
+    return one.select("md5", "b.*", "first_seen_at", "processed_at")
+
+
+def _bucket(c: str) -> Column:
+    return F.substring(F.md5(c), 1, 2)
+
+
+def _upsert(spark: SparkSession, path: str, rows: DataFrame, schema, key: str, settle) -> None:
+    """``rows`` into the table at ``path`` by ``key``; only the touched of 256
+    key buckets are read and rewritten, so a retry changes nothing."""
+    stage = scratch_dir(spark, "registry-stage")
+    new = rows.withColumn("bucket", _bucket(key))
+    buckets = [r[0] for r in new.select("bucket").distinct().collect()]
+    if not buckets:
+        return
+    old = read_table(spark, path, schema, with_bucket=True)
+    both = new if old is None else old.where(F.col("bucket").isin(buckets)).unionByName(new)
+    settled = settle(both.drop("bucket")).select(*schema.fieldNames()).withColumn("bucket", _bucket(key))
+    sink.write_stage(settled, stage)
+    (spark.read.schema(settled.schema).parquet(stage).repartition("bucket").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+    sink.delete_path(spark, stage)
+
+
+def read_table(spark: SparkSession, path: str, schema, with_bucket: bool = False) -> DataFrame | None:
+    """A registry table, or None before its first row."""
+    if not any(n.startswith("bucket=") for n in sink.child_names(spark, path)):
+        return None
+    from pyspark.sql import types as T
+    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.StringType())])).parquet(path)
+    return df if with_bucket else df.drop("bucket")
+
+
+def known_path(registry_path: str) -> str:
+    return registry_path.rstrip("/") + "_files"
+
+
+def update_registry(spark: SparkSession, registry_path: str, decisions: DataFrame) -> None:
+    """K6: upserts the contents by MD5 and the good files by place."""
+    _upsert(spark, registry_path, registry_rows(decisions), REGISTRY_SCHEMA, "md5", one_per_content)
+    good = decisions.where(F.col("status").isin("validated", "duplicate") & F.col("was_read")).select(
+        *KNOWN_FILES_SCHEMA.fieldNames())
+    _upsert(spark, known_path(registry_path), good, KNOWN_FILES_SCHEMA, "path",
+            lambda df: df.groupBy("path").agg(F.max_by(F.struct(*KNOWN_FILES_SCHEMA.fieldNames()[1:]),
+                                                       "modificationTime").alias("b")).select("path", "b.*"))
 
 
 def manifest(decisions: DataFrame, file_type: str | None = None) -> DataFrame:
@@ -174,10 +250,37 @@ def manifest(decisions: DataFrame, file_type: str | None = None) -> DataFrame:
     return m.select("path", "file_type")
 
 
-def inputs_present(decisions: DataFrame,
-                   needed: Sequence[str] = ("orders", "events", "user_segments")) -> dict[str, int]:
-    """Q14 (H22 fix): validated file count per needed type; the run is
-    SKIPPED when any count is zero."""
-    counts = {r["file_type"]: r["n"] for r in manifest(decisions).groupBy("file_type")
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
+def manifest_paths(spark: SparkSession, registry_path: str, file_type: str, dates) -> dict[str, list[str]]:
+    """K7: validated files by the date in their name (``{type}_{date}.parquet``,
+    a file or a folder of part files). For ``dates`` None: the files of the
+    newest drop below ``segments/`` under the key ``latest``. The names of the
+    asked dates only come to the driver."""
+    registry = read_table(spark, registry_path, REGISTRY_SCHEMA)
+    if registry is None:
+        return {}
+    files = manifest(registry, file_type)
+    if dates is None:
+        drop = F.regexp_extract("path", r"segments/([^/]+)", 1)
+        files = files.withColumn("drop", F.when(drop.startswith("part-"), F.lit("")).otherwise(drop))
+        newest = files.agg(F.max("drop")).first()[0]
+        paths = [] if newest is None else [r["path"] for r in files.where(F.col("drop") == newest).collect()]
+        return {"latest": sorted(paths)} if paths else {}
+    day = F.regexp_extract("path", file_type + r"_(\d{4}-\d{2}-\d{2})\.parquet", 1)
+    out: dict[str, list[str]] = {}
+    for r in files.withColumn("day", day).where(F.col("day").isin([str(d) for d in dates])).collect():
+        out.setdefault(r["day"], []).append(r["path"])
+    return {d: sorted(p) for d, p in out.items()}
+
+
+def inputs_present(registry: DataFrame | None, needed: Sequence[str] = ("orders", "events", "user_segments"),
+                   run_date=None) -> dict[str, int]:
+    """Q14 (H22 fix): validated contents per needed type in the registry, so a
+    repeated run finds what an earlier one validated. With ``run_date`` orders
+    and events count only under that date's name."""
+    if registry is None:
+        return {t: 0 for t in needed}
+    m = manifest(registry)
+    if run_date is not None:
+        m = m.where((F.col("file_type") == "user_segments") | F.col("path").contains(f"_{run_date}.parquet"))
+    counts = {r["file_type"]: r["n"] for r in m.groupBy("file_type").agg(F.count(F.lit(1)).alias("n")).collect()}
     return {t: int(counts.get(t, 0)) for t in needed}

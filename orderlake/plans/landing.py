@@ -11,13 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import landing as LG
+from ..schemas import KNOWN_FILES_SCHEMA, REGISTRY_SCHEMA
 from ..session import scratch_dir
-from ..sinks.parquet import path_exists
 from ..sources import feeds
 
-# Rows per landing file: the number of files grows with the data.
-ROWS_PER_FILE = 2000
-
 
 @dataclass
 class LandingRun:
@@ -29,18 +26,21 @@ class LandingRun:
 def run_landing(spark: SparkSession, raw_root: str, registry_path: str,
                 run_ts: datetime | str | None = None, check_types: bool = False,
                 listing: DataFrame | None = None, needed=("orders", "events", "user_segments"),
-                ) -> LandingRun:
-    """List → inspect → decide → append registry (single writer) → Q14."""
+                run_date=None) -> LandingRun:
+    """List → drop known files → inspect → decide → upsert registry (single
+    writer) → Q14 over the registry. Repeating a run reads no known bytes and
+    changes neither the registry nor the answer."""
     listing = listing if listing is not None else LG.list_files(spark, raw_root)
-    registry = spark.read.parquet(registry_path) if path_exists(spark, registry_path) else None
+    registry = LG.read_table(spark, registry_path, REGISTRY_SCHEMA)
+    known = LG.read_table(spark, LG.known_path(registry_path), KNOWN_FILES_SCHEMA)
     decisions = LG.landing_decisions(spark, listing, raw_root, registry, run_ts,
-                                     check_types=check_types)
+                                     check_types=check_types, known=known)
     # Decisions are written once (lineage cut: hashing is not repeated).
     out = scratch_dir(spark, "landing-decisions")
     decisions.write.mode("overwrite").parquet(out)
-    staged = spark.read.parquet(out)
-    LG.registry_rows(staged).write.mode("append").parquet(registry_path)
-    counts = LG.inputs_present(staged, needed)
+    staged = spark.read.schema(decisions.schema).parquet(out)
+    LG.update_registry(spark, registry_path, staged)
+    counts = LG.inputs_present(LG.read_table(spark, registry_path, REGISTRY_SCHEMA), needed, run_date)
     status = "READY" if all(counts.values()) else "SKIPPED"
     return LandingRun(staged, counts, status)
 
@@ -67,26 +67,33 @@ def _jvm_copy_first(spark: SparkSession, src_dir: str, dst_dir: str) -> None:
 
 
 def build_landing_zone(spark: SparkSession, sf_dir: str, raw_root: str) -> str:
-    """Write the feeds in their contract layout below ``raw_root``."""
+    """Write the feeds in their contract layout below ``raw_root``: one file
+    per folder, one folder per feed and month or segment, and the faulty drops."""
     raw_root = raw_root.rstrip("/")
 
-    def drop(df: DataFrame, sub: str) -> None:
-        (df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
-           .parquet(f"{raw_root}/{sub}"))
+    def drop(df: DataFrame, sub: str, by: str) -> None:
+        # one task and so one file per folder; folders grow with the data
+        df.repartition(by).sortWithinPartitions(*df.columns).write.mode("overwrite").partitionBy(by).parquet(
+            f"{raw_root}/{sub}")
 
     orders = feeds.orders_feed(spark, sf_dir).withColumns({
-        "channel": F.lit("web"), "status": F.lit("placed")})          # optional + extra columns
-    drop(orders, "orders/daily")
-    drop(orders.drop("amount"), "orders/broken_export")               # quarantined: no amount
+        "channel": F.lit("web"), "status": F.lit("placed"),              # optional + extra columns
+        "month": F.date_format("process_date", "yyyy-MM")})
+    drop(orders, "orders/daily", "month")
+    drop(orders.drop("amount"), "orders/no_amount", "month")              # quarantined
     ev = feeds.events_feed(spark, sf_dir)
-    drop(ev.select("event_id", "user_id", "event_type",
-                   F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")),
-         "events/daily")
+    ev = ev.select("event_id", "user_id", F.col("event_type").alias("action_type"),  # renamed column: accepted
+                   F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+                   F.pmod(F.col("user_id").cast("long"), F.lit(7)).alias("part"))
+    drop(ev, "events/daily", "part")
     seg = feeds.segments_feed(spark, sf_dir)
-    drop(seg.select("user_id", F.col("segment").alias("user_segment"),
-                    F.lit("2025-06-01").cast("date").alias("segment_date")), "segments/weekly")
-    drop(feeds.table(spark, sf_dir, "nation"), "misc/reference")     # unknown type
-    _jvm_copy_first(spark, f"{raw_root}/orders/daily", f"{raw_root}/orders/resent")
-    _jvm_write_bytes(spark, f"{raw_root}/events/daily/corrupt.parquet", b"not a parquet file")
-    _jvm_write_bytes(spark, f"{raw_root}/orders/daily/readme.txt", b"ignored: not parquet")
+    drop(seg.select("user_id", "segment", F.lit("2025-06-01").cast("date").alias("segment_date"),
+                    F.col("segment").alias("part")), "segments/weekly", "part")
+    drop(feeds.table(spark, sf_dir, "nation").withColumn("part", F.lit(0)), "misc/reference", "part")  # unknown type
+    first = orders.agg(F.min("month")).first()[0]
+    first = f"{raw_root}/orders/daily/month={first}"
+    _jvm_copy_first(spark, first, f"{raw_root}/orders/resent")            # same bytes: duplicate
+    _jvm_copy_first(spark, first, f"{raw_root}/events/a_misplaced")       # same bytes, wrong contract
+    _jvm_write_bytes(spark, f"{raw_root}/events/corrupt/corrupt.parquet", b"not a parquet file")
+    _jvm_write_bytes(spark, f"{raw_root}/orders/notes/readme.txt", b"ignored: not parquet")
     return raw_root

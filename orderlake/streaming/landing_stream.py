@@ -15,14 +15,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import landing as LG
+from ..schemas import REGISTRY_SCHEMA
+from ..sinks.parquet import child_names
 
 # The fixed schema of the binaryFile source (streams need it up front).
 BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length long, "
                       "content binary")
-from ..sinks.parquet import path_exists
 
 
 def start_landing_stream(spark: SparkSession, raw_root: str, decisions_path: str,
@@ -35,19 +37,27 @@ def start_landing_stream(spark: SparkSession, raw_root: str, decisions_path: str
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     listing = reader.load(raw_root).select("path", "length", "modificationTime")
 
+    def table(s: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+        """A table by batch with its stated schema, None before its first rows;
+        a batch without any Parquet file leaves none."""
+        if not any(n.startswith("batch_id=") for n in child_names(s, path)):
+            return None
+        return s.read.schema(schema.add("batch_id", T.LongType())).parquet(path)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        registry = s.read.parquet(registry_path) if path_exists(s, registry_path) else None
+        registry = table(s, registry_path, T.StructType(list(REGISTRY_SCHEMA.fields)))
         if registry is not None:
             registry = registry.where(F.col("batch_id") != batch_id)
-        decisions = LG.landing_decisions(s, batch, raw_root, registry).withColumn(
-            "batch_id", F.lit(batch_id))
-        (decisions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(decisions_path))
-        written = s.read.parquet(decisions_path).where(F.col("batch_id") == batch_id)
-        (LG.registry_rows(written).withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id").parquet(registry_path))
+        decisions = LG.landing_decisions(s, batch, raw_root, registry)
+        (decisions.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(decisions_path))
+        written = table(s, decisions_path, decisions.schema)
+        if written is None:
+            return
+        (LG.registry_rows(written.where(F.col("batch_id") == batch_id)).withColumn(
+            "batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(registry_path))
 
     w = (listing.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint))

@@ -1,9 +1,11 @@
 """Landing gate (S8, J4, J5, Q3–Q7) and the streaming wrapper."""
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from orderlake.operators import landing as LG
 from orderlake.plans.landing import _jvm_write_bytes, run_landing
+from orderlake.schemas import REGISTRY_SCHEMA
 
 
 def _write(spark, df: pd.DataFrame, path):
@@ -33,6 +35,68 @@ def test_missing_extra_duplicate_and_new_bytes(spark, tmp_root):
     d2 = {r["filename"].split("/")[1]: r["status"] for r in run2.decisions.collect()}
     assert d2["d3"] == "duplicate" and d2["d1"] == "validated" and d2["d2"] == "quarantined"
     assert run2.status == "SKIPPED"                              # events and segments missing
+    # one registry row per content, first seen in the first run; a repeat reads no good file
+    reg2 = LG.read_table(spark, reg, REGISTRY_SCHEMA)
+    assert reg2.count() == reg2.select("md5").distinct().count() == 3
+    first = reg2.orderBy("first_seen_at").first()
+    run3 = run_landing(spark, raw, reg, "2025-06-03 00:00:00", needed=("orders",))
+    assert run3.status == "READY" and run3.inputs["orders"] == 2
+    read = {r["filename"].split("/")[1]: r["was_read"] for r in run3.decisions.collect()}
+    assert read == {"d1": False, "d2": True, "d3": False, "x": True}
+    reg3 = LG.read_table(spark, reg, REGISTRY_SCHEMA)
+    assert reg3.count() == 3 and reg3.orderBy("first_seen_at").first()["first_seen_at"] == first["first_seen_at"]
+
+
+def test_wrong_copy_never_claims_the_bytes(spark, tmp_root):
+    raw = f"{tmp_root}/raw"
+    _write(spark, ORDERS, f"{raw}/events/a")
+    _write(spark, ORDERS, f"{raw}/orders/b")
+    _write(spark, ORDERS.rename(columns={"amount": "amount"}), f"{raw}/orders/c")
+    got = {r["filename"].split("/")[1]: r["status"]
+           for r in LG.landing_decisions(spark, LG.list_files(spark, raw), raw).collect()}
+    assert got == {"a": "quarantined", "b": "validated", "c": "duplicate"}
+
+
+def test_aliases_pass_and_missing_bytes_are_retried(spark, tmp_root):
+    raw = f"{tmp_root}/raw"
+    _write(spark, pd.DataFrame({"event_id": ["e"], "user_id": ["U"], "action_type": ["v"], "event_time": ["t"]}),
+           f"{raw}/events/renamed")
+    listing = LG.list_files(spark, raw)
+    gone = listing.withColumn("path", F.regexp_replace("path", "events/renamed", "events/gone"))
+    s3 = listing.withColumn("path", F.lit("s3a://no-such-bucket.invalid/events/x.parquet"))
+    got = {r["filename"].split("events/")[-1].split("/")[0]: r
+           for r in LG.landing_decisions(spark, listing.unionByName(gone), raw).collect()}
+    assert got["renamed"]["status"] == "validated" and got["gone"]["status"] == "retry"
+    assert LG.registry_rows(LG.landing_decisions(spark, gone, raw)).count() == 0
+    assert s3.count() == 1
+
+
+def test_stream_survives_a_batch_without_parquet(spark, tmp_root):
+    from orderlake.streaming.landing_stream import start_landing_stream
+    raw = f"{tmp_root}/raw"
+    _jvm_write_bytes(spark, f"{raw}/orders/notes.txt", b"hello")
+    for step in range(2):
+        q = start_landing_stream(spark, raw, f"{tmp_root}/decisions", f"{tmp_root}/registry", f"{tmp_root}/ckpt")
+        q.awaitTermination(120)
+        assert q.exception() is None
+        _write(spark, ORDERS, f"{raw}/orders/d1")
+    assert [r["status"] for r in spark.read.parquet(f"{tmp_root}/decisions").collect()] == ["validated"]
+
+
+def test_daily_run_reads_the_manifest_only(spark, tmp_root):
+    from orderlake.plans.daily import run_daily
+    from orderlake.sources.files import read_processed
+    raw, reg, out = f"{tmp_root}/raw", f"{tmp_root}/registry", f"{tmp_root}/p"
+    _write(spark, ORDERS, f"{raw}/orders/orders_2025-06-01.parquet")
+    _write(spark, ORDERS.drop(columns=["currency"]), f"{raw}/orders/orders_2025-06-02.parquet")   # quarantined
+    _write(spark, pd.DataFrame({"user_id": ["U"], "segment": ["gold"], "segment_date": pd.to_datetime(["2025-06-01"]).date}),
+           f"{raw}/segments/2025-06-01")
+    run = run_landing(spark, raw, reg, "2025-06-01 00:00:00", run_date="2025-06-02", needed=("orders",))
+    assert run.status == "SKIPPED"
+    assert run_daily(spark, raw, out, "2025-06-01", registry=reg).status == "SUCCESS"
+    assert read_processed(spark, out).first()["user_segment"] == "gold"
+    assert run_daily(spark, raw, out, "2025-06-02", registry=reg).status == "SKIPPED"
+    assert run_daily(spark, raw, out, "2025-06-09").status == "SKIPPED"
 
 
 def test_type_check_option(spark, tmp_root):
