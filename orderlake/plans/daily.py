@@ -1,37 +1,53 @@
 """Enrichment runs for one date or a date range, safe to repeat.
 
-One compute of the lineage: the enriched result is written once to a
-run-scoped stage folder while two ``Observation``s count the deduplicated
-input and the output (Q1). The gate is checked on those counts; only then
-is the stage published into the processed table with dynamic partition
-overwrite. Run dates that end up with no rows are deleted (H8). Rows whose
-process_date lies outside the run dates are diverted to ``late_rows`` (H7)
-instead of silently replacing an older partition.
+The enriched result is written once to a run-scoped stage folder. The row
+gate (Q1) compares counts taken from written files and from one key column,
+never from counters of tasks that may run twice. Only then is the stage
+published into the processed table with dynamic partition overwrite. Run dates
+that end up with no rows are deleted (H8).
+
+Late rows (H7): rows whose process_date the run does not own go to the late
+table, one folder per run (``late_run``), so runs never replace each other's
+late rows and a repeated run replaces its own. ``late.merge_late`` upserts
+them into the processed and gold days they belong to; a later run of such a
+day takes them in again, so no run of any day loses them.
+
+A range run (``batch``) gives what its days would give one after the other:
+orders are deduplicated per batch date, events counted per batch date and user.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import enrichment as E
 from ..operators.gates import GateError, RowGate
+from ..operators.joins import hot_keys
 from ..schemas import APPROVED_OUTPUT_COLUMNS, ROW_EXPLOSION_THRESHOLD
 from ..session import scratch_dir
 from ..sinks import parquet as sink
+from ..sources.files import read_processed
+
+RUN_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 
 
 def parse_run_date(value: str | date) -> date:
-    """Q15: the run date must be ``YYYY-MM-DD``."""
+    """Q15: the run date must be ``YYYY-MM-DD``; no other ISO form, no time."""
+    if isinstance(value, datetime):
+        raise ValueError(f"invalid run date {value!r}, expected YYYY-MM-DD")
     if isinstance(value, date):
         return value
     try:
+        if not RUN_DATE.fullmatch(value):
+            raise ValueError(value)
         return date.fromisoformat(value)
-    except ValueError as exc:
+    except (TypeError, ValueError) as exc:
         raise ValueError(f"invalid run date {value!r}, expected YYYY-MM-DD") from exc
 
 
@@ -49,10 +65,12 @@ class RunResult:
     broadcast_segments: bool = False
     broadcast_events: bool = False
     gate: RowGate | None = None
-    staged_path: str | None = None
     notes: list[str] = field(default_factory=list)
 
 
+BATCH = "_batch"
+
+
 def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
                    segments: DataFrame, processed_root: str,
                    run_dates: Sequence[str | date] | None = None,
@@ -63,15 +81,20 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
                    threshold: float = ROW_EXPLOSION_THRESHOLD,
                    broadcast_limit: int = E.DEFAULT_BROADCAST_LIMIT,
                    on_duplicate_segments: str = "fail",
+                   batch: bool = False,
                    hot_opts: dict | None = None) -> RunResult:
     """Enrich ``orders`` and publish into ``processed_root``.
 
     ``run_dates`` (None = every date in the batch) scopes the partitions the
     run owns; rows dated outside them go to ``late_root`` (default: the
-    processed root's ``_late`` sibling), never silently away. ``on_duplicate_segments``: ``fail`` (Q16 before the join) or
-    ``keep_latest`` (W1 on user_id by ``segment_date`` when present).
+    processed root's ``_late`` sibling), never silently away. With ``batch``
+    both feeds carry a date column ``_batch`` (the drop a row came in): a batch
+    owns the rows of its own date only. ``on_duplicate_segments``: ``fail``
+    (Q16 before the join) or ``keep_latest`` (W1 on user_id by
+    ``segment_date`` when present).
     """
     dates = sorted({parse_run_date(d) for d in run_dates}) if run_dates else None
+    by_batch = [BATCH] if batch else []
 
     # Q16 + broadcast licence: one small job over the pruned dimension.
     segments = E.canonical_alias(segments, "user_segment")
@@ -81,66 +104,93 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
             raise GateError(f"segment dimension has {prof.duplicate_keys} duplicated user_id keys")
         order = ["segment_date desc"] if "segment_date" in segments.columns else []
         segments = E.latest_per_key(segments, ["user_id"], order, ["user_segment asc"])
-    do_broadcast = prof.broadcastable(broadcast_limit)
 
     # A1/A2 once, written (lineage cut): its size decides the J1 strategy.
-    events_stage = scratch_dir(spark, "events-summary")
-    sink.write_stage(E.aggregate_events(events, dedup_events=dedup_events), events_stage)
-    agg = spark.read.parquet(events_stage)
-    events_broadcast = E.dimension_profile(agg, cols=E.EVENTS_AGG_COLS,
-                                           check_unique=False).broadcastable(broadcast_limit)
-
-    # Q1 baseline: the deduplicated orders, observed on each probe part once
-    # (the hot/cold parts partition the rows, so the counts add up).
-    obs_parts: list[Observation] = []
-
-    def tap(part):
-        obs = Observation(f"rows_in_{len(obs_parts)}")
-        obs_parts.append(obs)
-        return part.observe(obs, F.count(F.lit(1)).alias("rows"))
-
-    obs_out = Observation("rows_out")
-    deduped = E.latest_per_key(orders, ["order_id"], ["process_date desc"], tie_breakers)
+    agg = E.staged_summary(events, [*by_batch, "user_id"], dedup_events)
+    events_prof = E.dimension_profile(agg, cols=[*by_batch, *E.EVENTS_AGG_COLS], check_unique=False)
+    do_broadcast, events_broadcast = E.broadcast_licence([prof, events_prof], broadcast_limit)
+    hot = None if do_broadcast and events_broadcast else hot_keys(orders, "user_id", **(hot_opts or {}))
+
+    # Q1 baseline: distinct keys of the input, one pruned pass.
+    rows_in = orders.select(*by_batch, "order_id").distinct().count()
+    deduped = E.latest_per_key(orders, [*by_batch, "order_id"], ["process_date desc"], tie_breakers)
     enriched = E.enrich_orders(deduped, agg, segments, broadcast_segments=do_broadcast,
-                               broadcast_events=events_broadcast, tap=tap,
-                               **(hot_opts or {}))
-    final = E.cast_and_select(E.apply_business_rules(enriched), approved)
-    final = final.observe(obs_out, F.count(F.lit(1)).alias("rows"))
+                               broadcast_events=events_broadcast, hot=hot,
+                               events_on=[*by_batch, "user_id"])
+    final = E.cast_and_select(E.apply_business_rules(enriched), [*approved, *by_batch])
 
     stage = scratch_dir(spark, "enriched-stage")
-    sink.write_stage(final, stage)
-    rows_in = sum(int(o.get.get("rows", 0)) for o in obs_parts)
-    gate = RowGate(rows_in, int(obs_out.get.get("rows", 0)), threshold)
-    result = RunResult("SUCCESS", gate.rows_in, gate.rows_out, gate=gate, staged_path=stage,
-                       broadcast_segments=do_broadcast, broadcast_events=events_broadcast)
-    gate.enforce()  # raises before anything is published
-
-    staged = spark.read.parquet(stage)
-    if dates is not None and late_root is None:
-        # never drop rows: outside-the-run rows go to a sibling late table
-        late_root = processed_root.rstrip("/") + "_late"
-    if dates is not None:
-        in_run = F.col("process_date").isin(dates)
-        late = staged.where(~in_run | F.col("process_date").isNull())
-        if late_root is not None:
-            late_stage = scratch_dir(spark, "late-stage")
-            sink.write_stage(late, late_stage)
-            result.late_rows = spark.read.parquet(late_stage).count()
-            if result.late_rows:
-                sink.write_partitioned(spark.read.parquet(late_stage), late_root)
-        sink.publish_partitions(spark, staged.where(in_run), processed_root, "process_date",
-                                run_values=dates)
-    else:
-        sink.publish_partitions(spark, stage, processed_root, "process_date")
+    try:
+        sink.write_stage(final, stage)
+        staged = spark.read.schema(final.schema).parquet(stage)
+        gate = RowGate(rows_in, staged.count(), threshold)
+        result = RunResult("SUCCESS", gate.rows_in, gate.rows_out, gate=gate,
+                           broadcast_segments=do_broadcast, broadcast_events=events_broadcast)
+        gate.enforce()  # raises before anything is published
+        if dates is None:
+            sink.publish_partitions(spark, staged.drop(BATCH), processed_root, "process_date")
+        else:
+            late_root = late_root or processed_root.rstrip("/") + "_late"
+            result.late_rows = _publish_run(spark, staged, processed_root, late_root, dates, batch)
+    finally:
+        sink.delete_path(spark, stage)
     return result
 
 
+def _publish_run(spark: SparkSession, staged: DataFrame, processed_root: str, late_root: str,
+                 dates: list[date], batch: bool) -> int:
+    """Late rows into their runs' folders, then the owned days, each with the
+    late rows other runs have for it; the newest run of an order wins."""
+    run = F.col(BATCH) if batch else F.lit(max(dates))
+    staged = staged.withColumn("late_run", run).drop(BATCH)
+    owned = F.col("process_date") == F.col("late_run") if batch else F.col("process_date").isin(dates)
+    owned = F.coalesce(owned & F.col("process_date").isin(dates), F.lit(False))
+    late = staged.where(~owned)
+    count = late.count()
+    runs = dates if batch else [max(dates)]
+    if count:
+        sink.publish_partitions(spark, late, late_root, "late_run", ("process_date", "user_id"), run_values=runs)
+    else:  # a repeated run without late rows leaves none of its former ones
+        sink.delete_partitions(spark, late_root, "late_run", runs)
+    mine = staged.where(owned)
+    if sink.partition_values(spark, late_root, "late_run"):
+        others = read_processed(spark, late_root).where(F.col("process_date").isin(dates))
+        both = mine.unionByName(others, allowMissingColumns=True)
+        mine = E.latest_per_key(both, ["process_date", "order_id"], ["late_run desc"], E.DEFAULT_TIE_BREAKERS)
+    own_stage = scratch_dir(spark, "run-days")
+    sink.write_stage(mine.drop("late_run"), own_stage)
+    sink.publish_partitions(spark, spark.read.schema(mine.drop("late_run").schema).parquet(own_stage),
+                            processed_root, "process_date", run_values=dates)
+    sink.delete_path(spark, own_stage)
+    return count
+
+
 def run_daily(spark: SparkSession, validated_root: str, processed_root: str,
-              run_date: str | date, **kw) -> RunResult:
-    """One logical date from the validated drop; repeatable."""
-    from ..sources.files import read_events, read_orders, read_segments
-    d = parse_run_date(run_date)
-    return run_enrichment(spark, read_orders(spark, validated_root, d),
-                          read_events(spark, validated_root, d),
-                          read_segments(spark, validated_root), processed_root,
-                          run_dates=[d], **kw)
+              run_date: str | date, registry: str | None = None, **kw) -> RunResult:
+    """One logical date; repeatable. With ``registry`` only the paths
+    the landing gate has validated are read (K7); without, the drop files below
+    ``validated_root`` by name. A date without orders is SKIPPED (Q14)."""
+    return run_range(spark, validated_root, processed_root, [parse_run_date(run_date)], registry, **kw)
+
+
+def run_range(spark: SparkSession, validated_root: str, processed_root: str,
+              run_dates: Sequence[str | date], registry: str | None = None, **kw) -> RunResult:
+    """B2: several dates in one job, equal to their daily runs in order."""
+    from ..sources.files import dated_drops, read_dated, read_segments
+    dates = sorted({parse_run_date(d) for d in run_dates})
+    if registry is None:
+        orders, events = (dated_drops(spark, validated_root, kind, dates) for kind in ("orders", "events"))
+        segments = None
+    else:
+        from ..operators.landing import manifest_paths
+        orders, events = (manifest_paths(spark, registry, kind, dates) for kind in ("orders", "events"))
+        segments = manifest_paths(spark, registry, "user_segments", None)
+    dates = [d for d in dates if str(d) in orders]
+    if not dates or (registry is not None and not segments):
+        return RunResult("SKIPPED", notes=["no validated input"])
+    dim = read_segments(spark, validated_root, paths=segments and segments["latest"])
+    return run_enrichment(
+        spark, read_dated(spark, orders, dates, BATCH),
+        E.canonical_alias(read_dated(spark, events, dates, BATCH, "event_id string, user_id string, event_type string"),
+                          "event_type"),
+        dim, processed_root, run_dates=dates, batch=True, **kw)

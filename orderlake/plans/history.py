@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -14,6 +15,8 @@ from ..session import scratch_dir
 from ..sinks import parquet as sink
 from ..sources.files import read_history_csv, read_history_range, read_processed
 
+LOG = logging.getLogger(__name__)
+
 
 def export_history_csv(rows: DataFrame, root: str) -> None:
     """Write legacy all-string rows as header CSV in ``date=`` folders."""
@@ -38,13 +41,17 @@ def run_history(spark: SparkSession, csv_root: str, out_root: str,
     # Parse and cast the CSV once (lineage cut); both outputs and their
     # range samples read the staged Parquet instead of re-parsing text.
     stage = scratch_dir(spark, "history-stage")
-    sink.write_stage(H.normalize_history(raw), stage)
-    norm = spark.read.parquet(stage)
+    norm = H.normalize_history(raw)
+    sink.write_stage(norm, stage)
+    norm = spark.read.schema(norm.schema).parquet(stage)
     clean, rejects = H.split_history(norm, reject_bad_dates)
     if rejects_root is not None:
-        # rejects keep the export folder date as their partition
-        sink.write_partitioned(rejects, rejects_root, "date", cluster_by=None)
-    sink.write_partitioned(clean.drop("date"), out_root, "process_date", cluster_by=None)
+        # rejects are few: one folder per month of the export, not per day
+        sink.write_partitioned(rejects.withColumn("reject_month", F.date_format("date", "yyyy-MM")),
+                               rejects_root, "reject_month", cluster_by=["date"])
+    # the export folder's date stays with each row: a range audit compares by it
+    sink.write_partitioned(clean.withColumnRenamed("date", "export_date"), out_root, "process_date", cluster_by=None)
+    sink.delete_path(spark, stage)
     return HistoryResult(out_root, rejects_root)
 
 
@@ -60,8 +67,9 @@ def audit(spark: SparkSession, csv_source: str, target_root: str, execution_date
            else read_history_csv(spark, csv_source))
     tgt = read_processed(spark, target_root)
     if start and end:
-        tgt = tgt.where(F.col("process_date").between(F.lit(start).cast("date"),
-                                                       F.lit(end).cast("date")))
+        # both sides by the export date: a row's own date may differ from it
+        day = "export_date" if "export_date" in tgt.columns else "process_date"
+        tgt = tgt.where(F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     report = H.reconciliation_report(src, tgt, execution_date, audited_at, deduplicated)
     row = report.first()
     if report_root is not None:
@@ -71,7 +79,7 @@ def audit(spark: SparkSession, csv_source: str, target_root: str, execution_date
             (doc.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("doc_id").parquet(report_root))
         except Exception:  # noqa: BLE001 - report store failures are tolerated (K8)
-            pass
+            LOG.warning("audit report for %s was not stored", execution_date, exc_info=True)
     if raise_on_mismatch and row["status"] == "MISMATCH":
         raise GateError(row["message"])
     return spark.createDataFrame([row.asDict()], report.schema)

@@ -39,7 +39,16 @@ class HistoryLake:
 
 
 def _key(spark: SparkSession, sf_dir: str, kind: str):
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    """A table is reused only for the same input files: names, sizes and times."""
+    jvm = spark.sparkContext._jvm
+    seen = []
+    for name in ("orders", "events", "customer"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files = fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "*")) if fs.getFileStatus(p).isDirectory() else [
+            fs.getFileStatus(p)]
+        seen += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in files]
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, tuple(seen))
 
 
 def build_lake(spark: SparkSession, sf_dir: str) -> Lake:

@@ -84,6 +84,13 @@ def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def events_dated_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the day of the drop they came in (``_batch``)."""
+    e = table(spark, sf_dir, "events")
+    day = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("event_id") * 13 % 2400).cast("int"))
+    return e.select(F.col("user_id").cast("string").alias("user_id"), "event_type", day.alias("_batch"))
+
+
 def segments_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment dimension as delivered (column still named ``segment``)."""
     c = table(spark, sf_dir, "customer")
@@ -127,6 +134,8 @@ segments_src AS (
 # --- fixed values: fault-planting rules of the legacy CSV export -------------
 BAD_AMOUNT_MOD, BAD_AMOUNT_TEXT = 89, "n/a"      # amount text that does not parse
 BAD_DATE_MOD, BAD_DATE_TEXT = 83, "2O24-13-45"   # date text that does not parse
+NAN_AMOUNT_MOD, NAN_AMOUNT_REM = 71, 5           # amount text NaN
+HUGE_AMOUNT_MOD, HUGE_AMOUNT_REM, HUGE_AMOUNT_TEXT = 73, 5, "1e17"  # amount beyond the money type
 # --- end fixed values ---------------------------------------------------------
 
 
@@ -142,6 +151,8 @@ def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "order_id", "user_id",
         F.when(key % BAD_AMOUNT_MOD == 0, F.lit(BAD_AMOUNT_TEXT))
+         .when(key % NAN_AMOUNT_MOD == NAN_AMOUNT_REM, F.lit("NaN"))
+         .when(key % HUGE_AMOUNT_MOD == HUGE_AMOUNT_REM, F.lit(HUGE_AMOUNT_TEXT))
          .otherwise(F.col("amount").cast("string")).alias("amount"),
         "currency", "channel", "product_sku",
         F.when(key % BAD_DATE_MOD == 0, F.lit(BAD_DATE_TEXT))
@@ -153,7 +164,9 @@ def history_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 HISTORY_CTES = """
 history_src AS (
   SELECT s.order_id, s.user_id,
-         CASE WHEN CAST(s.order_id AS BIGINT) % 89 = 0 THEN NULL ELSE s.amount END AS amount,
+         CASE WHEN CAST(s.order_id AS BIGINT) % 89 = 0 THEN NULL
+              WHEN CAST(s.order_id AS BIGINT) % 71 = 5 THEN NULL
+              WHEN CAST(s.order_id AS BIGINT) % 73 = 5 THEN 1e17 ELSE s.amount END AS amount,
          s.currency, lower(o.o_orderstatus) AS channel, o.o_orderpriority AS product_sku,
          CASE WHEN CAST(s.order_id AS BIGINT) % 83 = 0 THEN NULL ELSE s.process_date END AS process_date,
          s.process_date AS date
@@ -161,11 +174,12 @@ history_src AS (
 ),
 history_clean AS (
   SELECT order_id, user_id, amount, currency, channel, product_sku, process_date FROM history_src
-  WHERE order_id IS NOT NULL AND user_id IS NOT NULL AND amount > 0 AND process_date IS NOT NULL
+  WHERE order_id IS NOT NULL AND user_id IS NOT NULL AND amount > 0 AND amount < 1e15
+    AND process_date IS NOT NULL
 ),
 history_rejects AS (
   SELECT * FROM history_src
-  WHERE NOT (order_id IS NOT NULL AND user_id IS NOT NULL AND COALESCE(amount > 0, false)
+  WHERE NOT (order_id IS NOT NULL AND user_id IS NOT NULL AND COALESCE(amount > 0 AND amount < 1e15, false)
              AND process_date IS NOT NULL)
 )
 """

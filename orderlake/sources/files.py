@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import canonical_alias
 from ..schemas import HISTORY_CSV_SCHEMA
+from ..sinks.parquet import child_names
 from ..sinks.table_schema import read_table_schema
 
 
@@ -28,23 +29,55 @@ def read_events(spark: SparkSession, root: str, run_date: str | date) -> DataFra
     return canonical_alias(df, "event_type")
 
 
-def read_segments(spark: SparkSession, root: str, latest_only: bool = True) -> DataFrame:
+def dated_drops(spark: SparkSession, root: str, kind: str, dates) -> dict[str, list[str]]:
+    """date -> path of the drop ``{kind}/{kind}_{date}.parquet`` where it
+    exists, from one listing of names."""
+    base = f"{root.rstrip('/')}/{kind}"
+    there = set(child_names(spark, base))
+    return {str(d): [f"{base}/{kind}_{d}.parquet"] for d in dates if f"{kind}_{d}.parquet" in there}
+
+
+def read_dated(spark: SparkSession, drops: dict[str, list[str]], dates, column: str,
+               empty: str | None = None) -> DataFrame:
+    """The drops of several dates in one frame, each row with the date in its
+    drop's name. Without any drop: an empty frame of the DDL ``empty``."""
+    paths = [p for d in dates for p in drops.get(str(d), [])]
+    if not paths:
+        return spark.createDataFrame([], f"{empty}, {column} date")
+    # one scan; a renamed column shows under both names and is settled per row
+    df = (spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths))
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"_(\d{4}-\d{2}-\d{2})\.parquet", 1).cast("date")
+    return canonical_alias(df.withColumn(column, day), "event_type")
+
+
+def read_segments(spark: SparkSession, root: str, latest_only: bool = True,
+                  paths: list[str] | None = None) -> DataFrame:
     """S3: the segment dimension, ``segment`` renamed to ``user_segment``.
 
-    ``latest_only`` (H12 fix) keeps only the newest weekly drop: the entry
-    directly below ``segments/`` (a file or a folder of part files) whose
-    name sorts last. The choice is a Spark filter against a one-row
-    aggregate, so no listing is pulled to the driver.
+    ``latest_only`` (H12 fix) reads only the newest weekly drop: the entry
+    directly below ``segments/`` (a file or a folder of part files) whose name
+    sorts last. One listing of names picks it; older drops are not opened, and
+    the drop is read with its own schema. Otherwise every drop is read with its
+    own schema and the drops are united by name. ``paths`` names the files of
+    the drop instead (the landing manifest).
     """
-    base = f"{root.rstrip('/')}/segments/"
-    df = spark.read.option("recursiveFileLookup", "true").parquet(base)
-    df = canonical_alias(df, "user_segment")
-    if latest_only:
-        drop = F.regexp_extract(F.col("_metadata.file_path"), r"/segments/([^/]+)", 1)
-        df = df.withColumn("_drop", drop)
-        newest = df.agg(F.max("_drop").alias("_drop"))
-        df = df.join(F.broadcast(newest), "_drop", "left_semi").drop("_drop")
-    return df
+    if paths is not None:
+        return canonical_alias(spark.read.parquet(*paths), "user_segment")
+    base = f"{root.rstrip('/')}/segments"
+    names = child_names(spark, base)
+    if not names:
+        raise FileNotFoundError(f"no segment drop below {base}")
+
+    def drop(name: str) -> DataFrame:
+        df = spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/{name}")
+        return canonical_alias(df, "user_segment")
+
+    if any(n.startswith("part-") for n in names):  # one folder of part files is one drop
+        return canonical_alias(spark.read.option("recursiveFileLookup", "true").parquet(base), "user_segment")
+    out = drop(names[-1])
+    for name in [] if latest_only else names[:-1]:
+        out = out.unionByName(drop(name), allowMissingColumns=True)
+    return out
 
 
 def read_processed(spark: SparkSession, root: str) -> DataFrame:
@@ -62,23 +95,19 @@ def read_partitions(spark: SparkSession, root: str, partition_col: str,
                     values, merge_schema: bool = True, none_if_missing: bool = False):
     """Read only the named partition folders (``basePath`` keeps the column).
 
-    One brace glob lists just those folders, and only their footers are
-    read for schema merging, so the cost follows the days asked for, not
-    the size of the table. Days without a folder are simply absent. When
-    no folder matches: ``None`` if ``none_if_missing``, else an empty frame
-    with the table's schema (one footer read, no merge)."""
+    The folders' names come from one listing of the table root; only the
+    named folders are listed further, and only their files opened, so the
+    cost follows the days asked for. Days without a folder are simply absent.
+    When no folder matches: ``None`` if ``none_if_missing``, else an empty
+    frame with the table's schema (one footer read, no merge)."""
     root = root.rstrip("/")
-    vals = sorted({str(v) for v in values})
+    there = set(child_names(spark, root))
+    vals = [v for v in sorted({str(v) for v in values}) if f"{partition_col}={v}" in there]
     schema = read_table_schema(spark, root)
     r = spark.read.option("basePath", root)
     r = r.schema(schema) if schema is not None else r.option("mergeSchema", str(merge_schema).lower())
     if vals:
-        pattern = f"{root}/{partition_col}={{{','.join(vals)}}}"
-        try:
-            return r.parquet(pattern)
-        except Exception as exc:  # noqa: BLE001 - only "no folder matched" is expected
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
+        return r.parquet(*[f"{root}/{partition_col}={v}" for v in vals])
     if none_if_missing:
         return None
     if schema is not None:

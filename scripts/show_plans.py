@@ -85,7 +85,7 @@ def main() -> None:
         or "partial_count" in p,
     })
 
-    q = G.data_tests(M.guarded_read(spark, lake.gold, *C.ALL_DAYS))
+    q = G.data_tests(M.guarded_read(spark, lake.gold, *M.table_days(spark, lake.gold)))
     p = plan(q)
     section("Data tests over the whole gold table (Q8–Q11)", p, {
         "one scan of the table": len(re.findall(r"^\(\d+\) Scan parquet", p, re.M)) == 1,

@@ -15,8 +15,9 @@ D = "2025-06-01"
 
 def test_parse_run_date():
     assert parse_run_date("2025-06-01") == dt.date(2025, 6, 1)
-    with pytest.raises(ValueError):
-        parse_run_date("06/01/2025")
+    for bad in ("06/01/2025", "20250601", "2025-W23-1", "2025-06-01 ", dt.datetime(2025, 6, 1, 2), None):
+        with pytest.raises(ValueError):
+            parse_run_date(bad)
 
 
 def _drops(spark, root):
