@@ -1,10 +1,10 @@
 """Toxicity by gradient-boosted trees over dense features, isotonically calibrated.
 
-Features of a whole text: densities and counts of lexicon words and lexicon
-stems, lexicon hits near a second-person pronoun, capitals, punctuation and
-obfuscation rates. The lexicon is learned from the labelled training rows:
-words, and word beginnings of four and five letters, that many toxic texts
-hold and almost no other. Trees (Spark ML) are fitted on most of the training
+Features of a whole text: lexicon density and count, the two strongest hits,
+stem hits, lexicon hits near a second-person pronoun, capitals, punctuation
+and obfuscation rates. The lexicon is learned from the labelled training rows:
+words, and word beginnings of four to eight letters, that toxic texts hold far
+more often than others, each with its log odds as weight. Trees (Spark ML) are fitted on most of the training
 sample, the isotonic map from tree probability to score on the rest.
 
 At most ``sample`` labelled rows are fitted on, half of them toxic where
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +36,9 @@ SECOND_PERSON = frozenset((
 #: Signs that stand for a letter.
 LOOK_ALIKES = str.maketrans("0134578@$!", "oieastbasi")
 
-STEMS = (4, 5)
+STEMS = (4, 5, 6, 7, 8)
 NEAR = 3
-FEATURES = ("lexicon_density", "lexicon_count", "stem_density", "stem_count", "second_person_near",
+FEATURES = ("lexicon_density", "lexicon_weight", "strongest", "second_strongest", "word_hits", "stem_hits", "second_person_near",
             "second_person_rate", "capital_rate", "punctuation_rate", "exclamation_rate", "obfuscated_rate",
             "decoded_lexicon_rate", "long_run_rate", "log_words")
 
@@ -50,19 +50,27 @@ _LONG_RUN = re.compile(r"([^\W\d_])\1\1")
 
 @dataclass(frozen=True)
 class Lexicon:
-    words: frozenset
-    stems: frozenset
+    """Weights (log odds) of words, and of word beginnings under ``stem*``."""
+
+    weights: dict = field(default_factory=dict)
+
+    def weigh(self, word: str) -> tuple[float, int]:
+        """The weight of a word's strongest term, and whether it is a stem."""
+        stem = max((self.weights.get(f"{word[:n]}*", 0.0) for n in STEMS if len(word) >= n), default=0.0)
+        whole = self.weights.get(word, 0.0)
+        return (whole, _LEXICON) if whole >= stem else (stem, _STEM)
 
     def code(self, raw: bytes) -> int:
-        """The classes of one white-space separated word, as bits."""
+        """The classes of one white-space separated word as bits, above them
+        its weight in hundredths."""
         word = raw.decode()
-        low, out = word.lower(), 0
+        low, out, best = word.lower(), 0, 0.0
         parts = _LETTERS.findall(low)
         for p in parts:
-            if p in self.words:
-                out |= _LEXICON
-            if any(len(p) >= n and p[:n] in self.stems for n in STEMS):
-                out |= _STEM
+            weight, kind = self.weigh(p)
+            if weight > 0:
+                out |= kind
+                best = max(best, weight)
             if p in SECOND_PERSON:
                 out |= _SECOND
         if len(word) > 1 and word.isupper():
@@ -70,11 +78,13 @@ class Lexicon:
         if _MIXED.search(low):
             out |= _OBFUSCATED
             plain = "".join(_LETTERS.findall(low.translate(LOOK_ALIKES)))
-            if plain not in parts and (plain in self.words or any(plain[:n] in self.stems for n in STEMS)):
+            weight = 0.0 if plain in parts else self.weigh(plain)[0]
+            if weight > best:
                 out |= _DECODED
+                best = weight
         if _LONG_RUN.search(low):
             out |= _RUN
-        return out
+        return int(round(best * 100)) << 8 | out
 
 
 _PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
@@ -87,7 +97,8 @@ def features(text: bytes, cache: WordCache) -> list[float]:
     if not n:
         return [0.0] * len(FEATURES)
     codes = np.fromiter(map(cache.__getitem__, words), np.int64, n)
-    hit = (codes & (_LEXICON | _STEM | _DECODED)) > 0
+    weight = (codes >> 8) / 100.0
+    hit = weight > 0
     second = (codes & _SECOND) > 0
     near = 0
     if hit.any() and second.any():
@@ -95,9 +106,13 @@ def features(text: bytes, cache: WordCache) -> list[float]:
         at = np.flatnonzero(hit)
         near = int((reach[np.minimum(at + NEAR + 1, n)] > reach[np.maximum(at - NEAR, 0)]).sum())
     size = len(text)
+    total, top = float(weight.sum()), np.sort(np.unique(codes[hit]) >> 8)[::-1][:2] / 100.0  # of distinct kinds
+    top = [*top.tolist(), 0.0, 0.0]
+    if hit.any() and top[1] == 0.0 and np.count_nonzero(hit) > 1:
+        top[1] = top[0]  # the same word again
     count = [int(np.count_nonzero(codes & c)) for c in (_LEXICON, _STEM, _CAPITALS, _OBFUSCATED, _DECODED, _RUN)]
     marks = size - len(text.translate(None, _PUNCTUATION))
-    return [count[0] / n, np.log1p(count[0]), count[1] / n, np.log1p(count[1]), near / n, float(second.mean()),
+    return [total / n, np.log1p(total), top[0], top[1], np.log1p(count[0]), np.log1p(count[1]), near / n, float(second.mean()),
             count[2] / n, marks / size, text.count(b"!") / size, count[3] / n, count[4] / n, count[5] / n, np.log1p(n)]
 
 
@@ -129,22 +144,29 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                               names=["label", "terms", "group"])
 
 
-def learn_lexicon(train: DataFrame, most: int = 2000, share: float = 0.01, odds: float = 20.0) -> Lexicon:
+def learn_lexicon(train: DataFrame, most: int = 2000, share: float = 0.01, odds: float = 6.0,
+                  evidence: float = 16.0) -> Lexicon:
     """Terms in at least ``share`` of the toxic groups (and four of them),
-    ``odds`` times as frequent there as in the others; at most ``most``."""
+    ``odds`` times as frequent there as in the others, and with a likelihood
+    ratio (G) of ``evidence`` against chance, as very many terms are tried; at
+    most ``most``."""
     rows = written(train.select("label", "text").mapInArrow(
         _terms, "label int, terms array<string>, group long").groupBy("group").agg(
         F.max("label").alias("label"), F.first("terms").alias("terms")), "toxicity-terms")
     n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
     toxic, clean = n["t"], n["n"] - n["t"]
+    if not toxic or not clean:
+        return Lexicon()
+    part = toxic / max(toxic + clean, 1)
+    t, c, n = F.col("t"), F.col("c"), F.col("t") + F.col("c")
+    g = 2 * (t * F.log(t / (n * part)) + F.when(c > 0, c * F.log(c / (n * (1 - part)))).otherwise(0.0))
+    weight = F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
     found = (rows.select("label", F.explode("terms").alias("term")).groupBy("term")
              .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
-             .where((F.col("t") >= max(4.0, share * toxic))
-                    & (F.col("t") / max(toxic, 1) >= odds * (F.col("c") + 0.5) / max(clean, 1)))
-             .orderBy(F.desc("t"), "term").limit(most).collect())
-    terms = [r["term"] for r in found]
-    return Lexicon(frozenset(t for t in terms if not t.endswith("*")),
-                   frozenset(t[:-1] for t in terms if t.endswith("*")))
+             .where((t >= max(4.0, share * toxic)) & (t / max(toxic, 1) >= odds * (c + 0.5) / max(clean, 1))
+                    & (g >= evidence))
+             .withColumn("w", weight).orderBy(F.desc("t"), "term").limit(most).collect())
+    return Lexicon({r["term"]: r["w"] for r in found})
 
 
 @dataclass
@@ -169,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col
     total = sum(count.values())
     base = count.get(1, 0) / total if total else 0.0
     if len(count) < 2:
-        return Model(Lexicon(frozenset(), frozenset()), None, None, base)
+        return Model(Lexicon(), None, None, base)
     half = min(count[1], sample // 2)
     rate = {1: half / count[1], 0: min(1.0, (sample - half) / count[0])}
     draw = F.shiftrightunsigned(F.xxhash64("_id", F.lit(6)), 11) / float(1 << 53)

@@ -106,11 +106,13 @@ def test_toxicity_of_held_out_texts(corpus):
 
 
 def test_toxicity_features():
-    lexicon = toxicity.Lexicon(frozenset(["scum", "moron"]), frozenset(["lowe"]))
+    lexicon = toxicity.Lexicon({"scum": 2.0, "moron": 3.0, "lowe*": 4.0, "lowei*": 1.0})
     from orderlake.llm.common import WordCache
     f = dict(zip(toxicity.FEATURES, toxicity.features(
         "You are scum! THE m0r0n soooo loweind x".encode(), WordCache(lexicon.code)), strict=True))
-    assert f["lexicon_count"] == pytest.approx(np.log(2)) and f["stem_density"] == pytest.approx(1 / 8)
+    assert f["lexicon_density"] == pytest.approx(9 / 8) and f["lexicon_weight"] == pytest.approx(np.log(10))
+    assert (f["strongest"], f["second_strongest"]) == (4.0, 3.0)
+    assert f["word_hits"] == f["stem_hits"] == pytest.approx(np.log(2))
     assert f["second_person_near"] == pytest.approx(1 / 8) and f["decoded_lexicon_rate"] == pytest.approx(1 / 8)
     assert f["capital_rate"] == pytest.approx(1 / 8) and f["long_run_rate"] == pytest.approx(1 / 8)
     assert toxicity.features(b" \n ", WordCache(lexicon.code)) == [0.0] * len(toxicity.FEATURES)
