@@ -181,11 +181,11 @@ def cast_and_select(df: DataFrame, approved: Sequence[str] = APPROVED_OUTPUT_COL
 
 
 def staged_summary(events: DataFrame, key: str | Sequence[str] = "user_id",
-                   dedup_events: bool = False) -> DataFrame:
+                   dedup_events: bool = False, path: str | None = None) -> DataFrame:
     """The events summary, written once: its profile and its join read the
     same rows, and the events are scanned once."""
     agg = aggregate_events(events, key, dedup_events)
-    path = scratch_dir(events.sparkSession, "events-summary")
+    path = path or scratch_dir(events.sparkSession, "events-summary")
     agg.write.parquet(path)
     return events.sparkSession.read.schema(agg.schema).parquet(path)
 

@@ -13,6 +13,7 @@ from ..functions.columns import amount_fault, amount_ok, event_list
 from ..schemas import ACCEPTED_CURRENCIES, UNCLASSIFIED_SEGMENT
 from ..session import scratch_dir
 from ..sinks import parquet as sink
+from ..sinks.table_schema import check_schema
 from ..sources.files import read_partitions
 from .gates import GateError
 
@@ -142,7 +143,7 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
             src = src.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
         if preset.inserted_at and run_ts is not None:
             src = src.withColumn("inserted_at", F.lit(run_ts).cast("timestamp"))
-        sink.check_schema(spark, target, src.schema)
+        check_schema(spark, target, src.schema)
         # only the touched day folders are listed and read
         tgt = (read_partitions(spark, target, partition_col, touched, none_if_missing=True)
                if sink.path_exists(spark, target) else None)

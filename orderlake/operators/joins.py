@@ -34,7 +34,7 @@ HOT_LOOKUP_ROWS = 1_000_000
 
 
 def hot_keys(rows: DataFrame, key: str, fraction: float = HOT_KEY_SAMPLE, partitions: int | None = None,
-             seed: int = 17) -> DataFrame:
+             seed: int = 17, path: str | None = None) -> DataFrame:
     """Keys with over 1 / ``partitions`` of the sampled rows (default: the
     shuffle partitions), written once; fewer than ``partitions`` rows."""
     spark = rows.sparkSession
@@ -43,7 +43,7 @@ def hot_keys(rows: DataFrame, key: str, fraction: float = HOT_KEY_SAMPLE, partit
     if fraction < 1.0:
         sampled = sampled.sample(withReplacement=False, fraction=fraction, seed=seed)
     counts = sampled.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    path = scratch_dir(spark, "hot-keys")
+    path = path or scratch_dir(spark, "hot-keys")
     # one row per sampled key at most; the total is a window-free second pass over these counts
     counts.write.parquet(path)
     counts = spark.read.schema(counts.schema).parquet(path)

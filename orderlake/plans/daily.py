@@ -106,10 +106,24 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
         segments = E.latest_per_key(segments, ["user_id"], order, ["user_segment asc"])
 
     # A1/A2 once, written (lineage cut): its size decides the J1 strategy.
-    agg = E.staged_summary(events, [*by_batch, "user_id"], dedup_events)
+    work = scratch_dir(spark, "enrich")
+    try:
+        return _run(spark, orders, events, segments, prof, processed_root, dates, late_root, tie_breakers, dedup_events,
+                    approved, threshold, broadcast_limit, by_batch, hot_opts or {}, work)
+    finally:
+        sink.delete_path(spark, work)
+
+
+def _run(spark: SparkSession, orders: DataFrame, events: DataFrame, segments: DataFrame, prof: E.DimensionProfile,
+         processed_root: str, dates: list[date] | None, late_root: str | None, tie_breakers: Sequence[str],
+         dedup_events: bool, approved: Sequence[str], threshold: float, broadcast_limit: int, by_batch: list[str],
+         hot_opts: dict, work: str) -> RunResult:
+    """The run below its work folder, which the caller deletes."""
+    agg = E.staged_summary(events, [*by_batch, "user_id"], dedup_events, path=f"{work}/events")
     events_prof = E.dimension_profile(agg, cols=[*by_batch, *E.EVENTS_AGG_COLS], check_unique=False)
     do_broadcast, events_broadcast = E.broadcast_licence([prof, events_prof], broadcast_limit)
-    hot = None if do_broadcast and events_broadcast else hot_keys(orders, "user_id", **(hot_opts or {}))
+    hot = None if do_broadcast and events_broadcast else hot_keys(
+        orders, "user_id", path=f"{work}/hot-keys", **hot_opts)
 
     # Q1 baseline: distinct keys of the input, one pruned pass.
     rows_in = orders.select(*by_batch, "order_id").distinct().count()
@@ -119,26 +133,22 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
                                events_on=[*by_batch, "user_id"])
     final = E.cast_and_select(E.apply_business_rules(enriched), [*approved, *by_batch])
 
-    stage = scratch_dir(spark, "enriched-stage")
-    try:
-        sink.write_stage(final, stage)
-        staged = spark.read.schema(final.schema).parquet(stage)
-        gate = RowGate(rows_in, staged.count(), threshold)
-        result = RunResult("SUCCESS", gate.rows_in, gate.rows_out, gate=gate,
-                           broadcast_segments=do_broadcast, broadcast_events=events_broadcast)
-        gate.enforce()  # raises before anything is published
-        if dates is None:
-            sink.publish_partitions(spark, staged.drop(BATCH), processed_root, "process_date")
-        else:
-            late_root = late_root or processed_root.rstrip("/") + "_late"
-            result.late_rows = _publish_run(spark, staged, processed_root, late_root, dates, batch)
-    finally:
-        sink.delete_path(spark, stage)
+    sink.write_stage(final, f"{work}/enriched")
+    staged = spark.read.schema(final.schema).parquet(f"{work}/enriched")
+    gate = RowGate(rows_in, staged.count(), threshold)
+    result = RunResult("SUCCESS", gate.rows_in, gate.rows_out, gate=gate,
+                       broadcast_segments=do_broadcast, broadcast_events=events_broadcast)
+    gate.enforce()  # raises before anything is published
+    if dates is None:
+        sink.publish_partitions(spark, staged.drop(BATCH), processed_root, "process_date")
+    else:
+        late_root = late_root or processed_root.rstrip("/") + "_late"
+        result.late_rows = _publish_run(spark, staged, processed_root, late_root, dates, bool(by_batch), work)
     return result
 
 
 def _publish_run(spark: SparkSession, staged: DataFrame, processed_root: str, late_root: str,
-                 dates: list[date], batch: bool) -> int:
+                 dates: list[date], batch: bool, work: str) -> int:
     """Late rows into their runs' folders, then the owned days, each with the
     late rows other runs have for it; the newest run of an order wins."""
     run = F.col(BATCH) if batch else F.lit(max(dates))
@@ -157,11 +167,10 @@ def _publish_run(spark: SparkSession, staged: DataFrame, processed_root: str, la
         others = read_processed(spark, late_root).where(F.col("process_date").isin(dates))
         both = mine.unionByName(others, allowMissingColumns=True)
         mine = E.latest_per_key(both, ["process_date", "order_id"], ["late_run desc"], E.DEFAULT_TIE_BREAKERS)
-    own_stage = scratch_dir(spark, "run-days")
-    sink.write_stage(mine.drop("late_run"), own_stage)
-    sink.publish_partitions(spark, spark.read.schema(mine.drop("late_run").schema).parquet(own_stage),
+    mine = mine.drop("late_run")
+    sink.write_stage(mine, f"{work}/days")
+    sink.publish_partitions(spark, spark.read.schema(mine.schema).parquet(f"{work}/days"),
                             processed_root, "process_date", run_values=dates)
-    sink.delete_path(spark, own_stage)
     return count
 
 

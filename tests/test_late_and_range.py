@@ -91,7 +91,7 @@ def test_segment_drops_with_different_columns(spark, tmp_root):
 def test_no_scratch_folder_stays(spark, tmp_root):
     from orderlake.session import checkpoint_root
     base = f"{checkpoint_root(spark)}/orderlake"
-    kinds = ("enriched-stage", "run-days", "merge-src", "merge-out", "history-stage", "registry-stage")
+    kinds = ("enrich-", "events-summary", "hot-keys", "merge-src", "merge-out", "history-stage", "registry-stage")
     before = [n for n in sink.child_names(spark, base) if n.startswith(kinds)]
     run_enrichment(spark, *_feeds(spark, [("A", "U", 1.0, "USD", JUN1)]), f"{tmp_root}/p", run_dates=[JUN1])
     GD.merge_upsert(spark, f"{tmp_root}/g", GD.gold_model(read_processed(spark, f"{tmp_root}/p"), "2025-06-03 00:00:00"))
