@@ -108,11 +108,12 @@ def fit(docs: DataFrame, ratings: DataFrame, train: Column, id_col: str, text_co
         F.col(id_col).alias("_id")).agg(F.min(F.col(grade_col).cast("int")).alias("grade"))
     known = written(known, "quality-ratings")
     rows = docs.where(train & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"))
-    n = rows.select("_id").join(known, "_id").count()
+    ids = written(rows.select("_id").join(known, "_id"), "quality-ids")
+    n = ids.count()
     if not n:
         return None
     draw = F.shiftrightunsigned(F.xxhash64("_id", F.lit(5)), 11) / float(1 << 53)
-    want = known.where(draw < min(1.0, 1.1 * sample / n))
+    want = ids.distinct().where(draw < min(1.0, 1.1 * sample / n))
     picked = rows.join(F.broadcast(want), "_id").select("grade", draw.alias("draw"), "t")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

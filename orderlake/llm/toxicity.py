@@ -186,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col
     known = written(known, "toxicity-labels")
     rows = docs.where(train & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    ids = rows.select("_id").join(known, "_id")
+    ids = written(rows.select("_id").join(known, "_id"), "toxicity-ids")
     count = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(count.values())
     base = count.get(1, 0) / total if total else 0.0
@@ -195,8 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col
     half = min(count[1], sample // 2)
     rate = {1: half / count[1], 0: min(1.0, (sample - half) / count[0])}
     draw = F.shiftrightunsigned(F.xxhash64("_id", F.lit(6)), 11) / float(1 << 53)
-    want = known.where(draw < F.when(F.col("label") == 1, rate[1]).otherwise(rate[0]))
-    picked = written(rows.join(F.broadcast(want) if total else want, "_id").select("label", "text", draw.alias("draw")),
+    want = ids.distinct().where(draw < F.when(F.col("label") == 1, rate[1]).otherwise(rate[0]))
+    picked = written(rows.join(F.broadcast(want), "_id").select("label", "text", draw.alias("draw")),
                      "toxicity-sample")
     lexicon = learn_lexicon(picked)
     of = _features_udf(docs.sparkSession.sparkContext.broadcast(lexicon))
