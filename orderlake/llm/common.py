@@ -54,7 +54,7 @@ def byte_texts(arr: pa.Array):
 class WordCache(dict):
     """word -> value, filled on first use; emptied when full, so memory is bounded."""
 
-    def __init__(self, make: Callable, limit: int = 400_000, longest: int = 64):
+    def __init__(self, make: Callable, limit: int = 150_000, longest: int = 64):
         super().__init__()
         self.make, self.limit, self.longest = make, limit, longest
 

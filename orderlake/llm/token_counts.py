@@ -91,7 +91,7 @@ class Counter:
         return count[n]
 
     def cached(self) -> WordCache:
-        return WordCache(self.count)
+        return WordCache(self.count, limit=400_000)
 
 
 def count_text(text: str, cache: WordCache) -> int:
