@@ -73,20 +73,21 @@ def fit_ridge(present: np.ndarray, labels: list[str], bits: int, longest: int, l
         order.append((turn[own], own, i))
         turn[own] += 1
     chosen = [i for _, _, i in sorted(order)[:landmarks]]
-    norm = np.sqrt(np.maximum(present.sum(axis=1), 1)).astype(np.float64)
-    unit = present.astype(np.float32) / norm[:, None].astype(np.float32)
-    marks = unit[chosen]
+    norm = np.sqrt(np.maximum(present.sum(axis=1), 1)).astype(np.float32)[:, None]
+    marks = present[chosen].astype(np.float32) / norm[chosen]
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     white = vectors[:, keep] / np.sqrt(values[keep])
-    phi = (unit @ marks.T).astype(np.float64) @ white
+    # a block of rows at a time: the driver never holds all of them as floats
+    phi = np.concatenate([(present[i:i + 128].astype(np.float32) / norm[i:i + 128]) @ marks.T
+                          for i in range(0, len(present), 128)]).astype(np.float64) @ white
     mean, centre = phi.mean(axis=0), y.mean(axis=0)
     a = phi - mean
     # a row counts by the rarity of its language, so that all weigh the same
     share = (1 / np.maximum(y.sum(axis=0), 1))[y.argmax(axis=1)]
     share = share / share.mean()
     w = np.linalg.solve((a * share[:, None]).T @ a + ridge * np.eye(a.shape[1]), (a * share[:, None]).T @ (y - centre))
-    return Model(languages, (marks.T @ (white @ w)).astype(np.float32), (centre - mean @ w).astype(np.float32),
+    return Model(languages, marks.T @ (white @ w).astype(np.float32), (centre - mean @ w).astype(np.float32),
                  bits, longest)
 
 
@@ -118,7 +119,7 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, train: Column, sample: in
                                   names=["lang", "draw", "bits"])
 
     got = (picked.mapInArrow(presence, "lang string, draw double, bits binary")
-           .orderBy("draw", "lang").limit(4 * sample).collect())
+           .orderBy("draw", "lang").limit(2 * sample).collect())
     taken = {x: 0 for x in counts}
     kept = []
     for r in got:
@@ -127,7 +128,9 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, train: Column, sample: in
             kept.append(r)
     if not kept:
         return None
-    present = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in kept), np.uint8)).reshape(len(kept), -1).astype(bool)
+    del got
+    bits_of = np.frombuffer(b"".join(r["bits"] for r in kept), np.uint8).reshape(len(kept), -1)
+    present = np.unpackbits(bits_of, axis=1).view(bool)
     return fit_ridge(present, [r["lang"] for r in kept], bits, longest, landmarks, ridge)
 
 
