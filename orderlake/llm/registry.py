@@ -80,6 +80,20 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
+
+
 CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -123,9 +137,33 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         decontam.is_contaminated("hits").alias("contaminated"))
 
 
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT id, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM (
+    SELECT id, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS t FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d JOIN (SELECT DISTINCT n FROM iw) ON len(w) >= n)),
+h AS (SELECT dw.doc_id, dw.s, dw.n, iw.id FROM dw JOIN iw USING (t, n)),
+p AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM h) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT doc_id, id FROM h) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_simhash_near_dedup, op3_sharding, op4_packing, op5_quality, op6_toxicity,
     op7_language_id, op8_exact_topk, op9_chat_formatting, op10_benchmark_decontamination,
 )}
 
-ORACLE: dict[str, str] = {"op3_sharding": OP3_SQL, "op9_chat_formatting": OP9_SQL}
+ORACLE: dict[str, str] = {"op3_sharding": OP3_SQL, "op8_exact_topk": OP8_SQL, "op9_chat_formatting": OP9_SQL,
+                          "op10_benchmark_decontamination": OP10_SQL}
