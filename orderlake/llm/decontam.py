@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import byte_texts, chained, fresh, hashed_words
+from orderlake.llm.common import byte_texts, chained, fresh, hashed_words, small_batches
 
 SHINGLE = 3
 _FILTER_BITS = 18
@@ -188,6 +188,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     benchmark gives empty spans. All columns of ``docs`` are kept; take a
     ``result`` name it does not have (``common.fresh``).
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import byte_texts
+from orderlake.llm.common import byte_texts, small_batches
 
 UNKNOWN = "und"
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
@@ -173,5 +173,6 @@ def predict_language(docs: DataFrame, train: Column, text_col: str = "text", lan
     prediction. All columns and rows of ``docs`` are kept; take a ``result``
     name it does not have.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs, text_col, lang_col, train, **params)
     return docs.withColumn(result, predict_udf(docs.sparkSession.sparkContext.broadcast(model))(F.col(text_col)))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.common import WordCache, byte_texts, written
+from orderlake.llm.common import WordCache, byte_texts, small_batches, written
 
 #: Sequences of merged left-over windows are numbered from here.
 MERGED = 1 << 62
@@ -46,7 +46,7 @@ class Encoder:
     its merges. Every other chunk, and every other kind of tokenizer, takes the
     tokenizer's whole way."""
 
-    def __init__(self, tokenizer_json: str, limit: int = 600_000):
+    def __init__(self, tokenizer_json: str, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -176,11 +176,11 @@ def _pack_partition(tokenizer, capacity: int, open_windows: int, end_id: int, wi
                     done = packer.add(len(part), piece)
                     if done:
                         close(*done, False)
-                if len(out) >= 4096:
+                if len(out) >= (1024 if with_ids else 4096):
                     yield flush()
         for number, pieces in packer.rest():
             close(number, pieces, True)
-            if len(out) >= 4096:
+            if len(out) >= (1024 if with_ids else 4096):
                 yield flush()
         if out:
             yield flush()
@@ -224,6 +224,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     few MB).
     """
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer = spark.sparkContext.broadcast(f.read())
     from pyspark.sql.pandas.types import to_arrow_type

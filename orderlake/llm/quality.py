@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import WordCache, byte_texts, written
+from orderlake.llm.common import WordCache, byte_texts, small_batches, written
 
 _SHAPE = bytes.maketrans(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", b"a" * 26 + b"A" * 26 + b"0" * 10)
 
@@ -147,6 +147,7 @@ def quality(docs: DataFrame, ratings: DataFrame, train: Column, id_col: str = "d
     nothing to learn both values are null. All rows and columns of ``docs``
     stay; take a ``result`` name it does not have.
     """
+    small_batches(docs.sparkSession)
     model = fit(docs, ratings, train, id_col, text_col, grade_col, **params)
     kind = "struct<expected_grade: double, tail: double>"
     if model is None:

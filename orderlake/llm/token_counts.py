@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import WordCache, byte_texts
+from orderlake.llm.common import WordCache, byte_texts, small_batches
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -113,6 +113,7 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text"
     name the table does not have. The vocabulary (some MB) is broadcast; every
     task keeps a bounded cache of counted parts.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf("long")

@@ -26,7 +26,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import WordCache, byte_texts, chained, hashed_words, written
+from orderlake.llm.common import WordCache, byte_texts, chained, hashed_words, small_batches, written
 
 #: Second-person pronouns of the languages served.
 SECOND_PERSON = frozenset((
@@ -245,4 +245,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "d
     scored like any other. All rows and columns of ``docs`` stay; take a
     ``result`` name it does not have.
     """
+    small_batches(docs.sparkSession)
     return score(docs, fit(docs, labels, train, id_col, text_col, label_col, **params), text_col, result)
