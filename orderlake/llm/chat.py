@@ -1,10 +1,10 @@
 """Chat formatting by schema fingerprints, in DataFrame functions only.
 
-A layout is a declarative mapping from field paths to canonical turns. Its
-fingerprint is the hash of the nested field paths it needs. ``canonical_turns``
-hashes the paths of a table's schema to find the layouts the table can hold,
-and each row's non-null paths to select the mapping for the row, so one table
-may mix prompt, instruction and message layouts. ``format_turns`` renders
+A layout is a declarative mapping from nested field paths to canonical turns.
+``canonical_turns`` takes the layouts whose paths a table's schema holds, hashes
+the paths that are not null in each row, and looks the mapping of the row up by
+that fingerprint, so one table may mix flat turns with prompt, instruction and
+message layouts. ``format_turns`` renders
 (conversation, turn, role, text) rows with a reversible template and a loss
 mask; ``read_back`` parses the text again.
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,35 +44,51 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
 
 @dataclass(frozen=True)
 class Layout:
-    """``turns``: (role, path) pairs in order, or ``messages``: an array path
-    with its role and text fields."""
+    """``turns``: (role, path) pairs in order, ``messages``: an array path with
+    its role and text fields, or ``flat``: the turn number, role and text paths
+    of a table with one turn a row."""
 
     name: str
     turns: tuple = ()
     messages: tuple = ()
     roles: tuple = ()
+    flat: tuple = ()
 
     @property
     def paths(self) -> tuple:
         if self.messages:
             array, role, text = self.messages
             return (f"{array}[].{role}", f"{array}[].{text}")
-        return tuple(p for _, p in self.turns)
+        return self.flat or tuple(p for _, p in self.turns)
 
     @property
     def key(self) -> int:
         return fingerprint(self.paths)
 
-    def present(self) -> Column:
-        """Whether a row holds this layout's outer paths."""
+    @property
+    def keys(self) -> list[int]:
+        """Fingerprints of the sets of non-null paths that select this layout.
+        A flat row is a turn whichever of its paths are null."""
+        if not self.flat:
+            return [self.key]
+        return [fingerprint(x) for n in range(len(self.paths), 0, -1) for x in combinations(self.paths, n)]
+
+    def filled(self, path: str) -> Column:
+        """Whether a row has a value at the path, for an array in any element."""
         if self.messages:
-            return F.col(self.messages[0]).isNotNull()
-        out = F.lit(True)
-        for _, p in self.turns:
-            out = out & F.col(p).isNotNull()
-        return out
+            array, field = path.split("[].")
+            return F.coalesce(F.exists(F.col(array), lambda m: m[field].isNotNull()), F.lit(False))
+        return F.col(path).isNotNull()
+
+    def row_key(self) -> Column:
+        """The fingerprint of the layout's paths that are not null in a row."""
+        return F.crc32(F.array_join(F.array(*[F.when(self.filled(p), F.lit(p)) for p in sorted(self.paths)]), "\n"))
 
     def build(self) -> Column:
+        if self.flat:
+            _, role, text = self.flat
+            return F.array(F.struct(F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
+                                    F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")))
         if self.messages:
             array, role, text = self.messages
             named = dict(self.roles)
@@ -96,32 +113,46 @@ LAYOUTS = (
     Layout("instruction", turns=(("user", "instruction"), ("assistant", "output"))),
     Layout("prompt", turns=(("user", "prompt"), ("assistant", "response"))),
     Layout("question", turns=(("user", "question"), ("assistant", "answer"))),
+    Layout("flat", flat=("turn", "role", "text")),
 )
 
 
+def selected(known) -> Column:
+    """The name of the layout that a row's non-null paths select: the mappings
+    are looked up by the fingerprint of the row, in the order of the layouts."""
+    out = F.lit(None).cast("string")
+    # an array without a value in any element still names its layout
+    for x in reversed(known):
+        if x.messages:
+            out = F.when(F.col(x.messages[0]).isNotNull(), F.lit(x.name)).otherwise(out)
+    for x in reversed(known):
+        out = F.when(x.row_key().isin(x.keys), F.lit(x.name)).otherwise(out)
+    return out
+
+
 def canonical_turns(table: DataFrame, id_col: str, layouts=LAYOUTS) -> DataFrame:
     """(id, layout, turn, role, text) rows of a table of any known layouts.
 
     A row takes the first layout whose paths it holds; the paths it lacks are
     null. A row of no layout gives one row with null layout, turn, role and
     text, so none is lost. An empty messages array gives the same with its
-    layout's name. Null roles and texts inside messages become empty. Columns
-    beyond the layouts' paths are not read. Layouts are known by the crc32 of
-    their sorted paths.
+    layout's name. Null roles and texts of messages and flat turns become
+    empty; a flat turn keeps its number. Columns beyond the layouts' paths are
+    not read. Fingerprints are the crc32 of the sorted paths.
     """
     have = set(schema_paths(table.schema))
     known = [x for x in layouts if set(x.paths) <= have]
-    empty = "array<struct<role:string,text:string>>"
-    turns, key = F.lit(None).cast(empty), F.lit(None).cast("long")
-    for x in reversed(known):
-        key = F.when(x.present(), F.lit(x.key).cast("long")).otherwise(key)
-    names = F.lit(None).cast("string")
+    turns, number = F.lit(None).cast("array<struct<role:string,text:string>>"), F.col("_n").cast("long")
+    own = F.lit(None).cast("long")
     for x in reversed(known):
-        turns = F.when(F.col("_key") == x.key, x.build().cast(empty)).otherwise(turns)
-        names = F.when(F.col("_key") == x.key, F.lit(x.name)).otherwise(names)
-    rows = table.withColumn("_key", key).select(F.col(id_col).alias("_id"), names.alias("layout"), turns.alias("_turns"))
-    return rows.select("_id", "layout", F.posexplode_outer("_turns").alias("turn", "_t")).select(
-        F.col("_id").alias(id_col), "layout", F.col("turn").cast("long").alias("turn"), "_t.role", "_t.text")
+        turns = F.when(F.col("_layout") == x.name, x.build()).otherwise(turns)
+        if x.flat:
+            own = F.when(F.col("_layout") == x.name, F.col(x.flat[0]).cast("long")).otherwise(own)
+            number = F.when(F.col("layout") == x.name, F.col("_own")).otherwise(number)
+    rows = table.withColumn("_layout", selected(known)).select(
+        F.col(id_col).alias("_id"), F.col("_layout").alias("layout"), own.alias("_own"), turns.alias("_turns"))
+    return rows.select("_id", "layout", "_own", F.posexplode_outer("_turns").alias("_n", "_t")).select(
+        F.col("_id").alias(id_col), "layout", number.alias("turn"), "_t.role", "_t.text")
 
 
 def escape_text(c: Column) -> Column:

@@ -98,10 +98,11 @@ CONTROL_TURN = "<|im_end|><|im_start|>assistant ok"
 
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    table = _table(spark, sf_dir, "conversations")
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
         F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TURN).alias("text"))
-    out = chat.format_turns(turns.unionByName(probe))
+    turns = chat.canonical_turns(table.unionByName(probe, allowMissingColumns=True), "conv_id")
+    out = chat.format_turns(turns)
     back = F.transform(chat.read_back(F.col("formatted")), lambda t: F.concat(
         t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     learned = F.array_join(chat.under_mask(F.col("formatted"), F.col("loss_spans")), "")

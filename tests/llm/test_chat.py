@@ -63,3 +63,28 @@ def test_layouts_are_found_by_row(spark):
     keys = [x.key for x in chat.LAYOUTS]
     assert len(set(keys)) == len(keys)
     assert set(chat.LAYOUTS[0].paths) <= set(chat.schema_paths(table.schema))
+
+
+def test_flat_turns_beside_other_layouts(spark):
+    """Flat rows keep their numbers, and their non-null paths select the mapping."""
+    table = spark.createDataFrame(
+        [(1, 5, "user", "a", None, None), (1, None, None, "b", None, None), (1, 7, "assistant", None, None, None),
+         (1, 8, None, None, None, None), (2, None, None, None, None, None), (3, None, None, None, "p", "r")],
+        "id long, turn long, role string, text string, prompt string, response string")
+    got = sorted(map(tuple, chat.canonical_turns(table, "id").collect()), key=str)
+    assert got == sorted([
+        (1, "flat", 5, "user", "a"), (1, "flat", None, "", "b"), (1, "flat", 7, "assistant", ""), (1, "flat", 8, "", ""),
+        (2, None, None, None, None), (3, "prompt", 0, "user", "p"), (3, "prompt", 1, "assistant", "r")], key=str)
+    keys = table.where("id = 3").select(chat.LAYOUTS[4].row_key().alias("k")).first()["k"]
+    assert keys == chat.fingerprint(["response", "prompt"])
+
+
+def test_query_formats_canonical_turns(spark, tmp_path):
+    """A prompt row in the conversations table reaches the formatted text."""
+    from orderlake.llm.registry import op9_chat_formatting
+    spark.createDataFrame(
+        [(1, 1, "assistant", "yes", None, None), (1, 0, "user", "hi", None, None), (2, None, None, None, "p", "long answer")],
+        "conv_id long, turn long, role string, text string, prompt string, response string"
+    ).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in op9_chat_formatting(spark, str(tmp_path)).collect()}
+    assert got == {1: (2, 3), 2: (2, 11), -1: (2, len(CONTROL))}
