@@ -65,13 +65,17 @@ class Layout:
     def key(self) -> int:
         return fingerprint(self.paths)
 
+    def keys(self, n: int) -> list[int]:
+        """Fingerprints of the sets of ``n`` of its paths."""
+        return [fingerprint(x) for x in combinations(self.paths, n)]
+
     @property
-    def keys(self) -> list[int]:
-        """Fingerprints of the sets of non-null paths that select this layout.
-        A flat row is a turn whichever of its paths are null."""
+    def whole(self) -> list[int]:
+        """Fingerprints of the rows that lack nothing of this layout; a flat
+        row lacks nothing if it has a text."""
         if not self.flat:
             return [self.key]
-        return [fingerprint(x) for n in range(len(self.paths), 0, -1) for x in combinations(self.paths, n)]
+        return [fingerprint(x) for n in (3, 2, 1) for x in combinations(self.paths, n) if self.flat[2] in x]
 
     def filled(self, path: str) -> Column:
         """Whether a row has a value at the path, for an array in any element."""
@@ -100,8 +104,8 @@ class Layout:
                 return F.struct(F.coalesce(r, F.lit("")).alias("role"),
                                 F.coalesce(m[text].cast("string"), F.lit("")).alias("text"))
             return F.transform(F.col(array), turn)
-        return F.array(*[F.struct(F.lit(r).alias("role"), F.col(p).cast("string").alias("text"))
-                         for r, p in self.turns])
+        return F.filter(F.array(*[F.struct(F.lit(r).alias("role"), F.col(p).cast("string").alias("text"))
+                                  for r, p in self.turns]), lambda t: t["text"].isNotNull())
 
 
 #: Checked in this order: a layout with more paths before one that it holds.
@@ -118,25 +122,36 @@ LAYOUTS = (
 
 
 def selected(known) -> Column:
-    """The name of the layout that a row's non-null paths select: the mappings
-    are looked up by the fingerprint of the row, in the order of the layouts."""
-    out = F.lit(None).cast("string")
-    # an array without a value in any element still names its layout
-    for x in reversed(known):
-        if x.messages:
-            out = F.when(F.col(x.messages[0]).isNotNull(), F.lit(x.name)).otherwise(out)
-    for x in reversed(known):
-        out = F.when(x.row_key().isin(x.keys), F.lit(x.name)).otherwise(out)
-    return out
+    """The name of the layout that a row's non-null paths select, looked up by
+    the fingerprint of the row: the first layout that lacks nothing, then the
+    one with most of the row's paths (ties: fewest missing, then first)."""
+    def named(x, when):
+        return F.when(when, F.lit(x.name))
+
+    part = sorted(((-n, len(x.paths) - n, i) for i, x in enumerate(known) for n in range(1, len(x.paths))))
+    part = [(known[i], named(known[i], known[i].row_key().isin(known[i].keys(-n)))) for n, _, i in part]
+    arrays = [x for x in known if x.messages]
+    return F.coalesce(
+        *[named(x, x.row_key().isin(x.whole)) for x in known],
+        *[c for x, c in part if x.messages],
+        # an empty array still names its layout where no other one is whole
+        *[named(x, F.size(x.messages[0]) == 0) for x in arrays],
+        *[c for x, c in part if x.turns],
+        *[c for x, c in part if x.flat],
+        *[named(x, F.col(x.messages[0]).isNotNull()) for x in arrays],
+        F.lit(None).cast("string"))
 
 
 def canonical_turns(table: DataFrame, id_col: str, layouts=LAYOUTS) -> DataFrame:
     """(id, layout, turn, role, text) rows of a table of any known layouts.
 
-    A row takes the first layout whose paths it holds; the paths it lacks are
-    null. A row of no layout gives one row with null layout, turn, role and
-    text, so none is lost. An empty messages array gives the same with its
-    layout's name. Null roles and texts of messages and flat turns become
+    A row takes the first layout whose paths it holds whole, else the one that
+    most of its non-null paths belong to, and gives the turns that are present:
+    a prompt without a response is one turn. A row takes one layout; paths of
+    others beside it are not read. A row of no layout gives one row with null
+    layout, turn, role and text, so no row is lost. An empty messages array in
+    a row that holds no layout whole gives the same with its layout's name, also
+    beside a lone prompt. Null roles and texts of messages and flat turns become
     empty; a flat turn keeps its number. Columns beyond the layouts' paths are
     not read. Fingerprints are the crc32 of the sorted paths.
     """

@@ -88,3 +88,23 @@ def test_query_formats_canonical_turns(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/conversations.parquet")
     got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in op9_chat_formatting(spark, str(tmp_path)).collect()}
     assert got == {1: (2, 3), 2: (2, 11), -1: (2, len(CONTROL))}
+
+
+def test_rows_without_some_paths_keep_their_texts(spark):
+    table = spark.createDataFrame(
+        [(1, "p", None, None, None, None, None), (2, None, "r", None, None, None, None), (3, None, None, "i", None, None, None),
+         (4, None, None, "i", "in", None, None), (5, None, None, None, None, "o", None), (6, "p", "r", None, None, None, []),
+         (7, None, None, None, None, None, [("user", None), (None, None)]), (8, "p", None, None, None, None, [(None, None)])],
+        "id long, prompt string, response string, instruction string, input string, output string, "
+        "messages array<struct<role:string,content:string>>")
+    got = {}
+    for r in chat.canonical_turns(table, "id").orderBy("id", "turn").collect():
+        got.setdefault(r["id"], []).append((r["layout"], r["role"], r["text"]))
+    assert got == {
+        1: [("prompt", "user", "p")], 2: [("prompt", "assistant", "r")], 3: [("instruction", "user", "i")],
+        4: [("instruction-input", "system", "i"), ("instruction-input", "user", "in")],
+        5: [("instruction", "assistant", "o")], 6: [("prompt", "user", "p"), ("prompt", "assistant", "r")],
+        7: [("messages", "user", ""), ("messages", "", "")], 8: [("prompt", "user", "p")]}
+    flat = spark.createDataFrame([(1, 0, "user", None, "p", None)],
+                                 "id long, turn long, role string, text string, prompt string, response string")
+    assert [tuple(r)[1:] for r in chat.canonical_turns(flat, "id").collect()] == [("prompt", 0, "user", "p")]
