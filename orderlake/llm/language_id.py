@@ -9,8 +9,8 @@ the text's own norm, landmark presences, whitening and ridge weights multiply
 out to one (places x languages) matrix, and a batch of texts is scored by one
 product of its presence matrix with it.
 
-The model is fitted on at most ``sample`` labelled texts, an equal number of
-each language by a hash of the text; their presence bits (fixed size) are all
+The model is fitted on at most ``sample`` labelled texts (or one of each
+language), an equal number of each language by a hash of the text; their presence bits (fixed size) are all
 that reaches the driver. Every text is scored whole.
 """
 
@@ -21,10 +21,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import byte_texts, small_batches
+from orderlake.llm.common import byte_texts, small_batches, written
 
 UNKNOWN = "und"
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
@@ -95,39 +95,45 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, train: Column, sample: in
         bits: int = 15, longest: int = 4, ridge: float = 0.05) -> Model | None:
     """The model, or None where no row has a text, a language and ``train``.
 
-    ``sample`` bounds the rows fitted on: up to sample / languages of each, by
-    a hash of the text, thinned first by the language's row count."""
-    rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).alias("l")).count().orderBy("l").limit(sample).collect()}
-    if not counts:
+    ``sample`` bounds the texts fitted on: sample / languages of each (one at
+    least), those with the least hashes. Copies of a text under one language
+    count once. The distinct hashes are thinned by their language's count, so
+    that few are ranked."""
+    rows = docs.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).alias("lang"), F.xxhash64(text_col, F.lit(7)).alias("h"), F.col(text_col).alias("t"))
+    keys = written(rows.select("lang", "h").distinct(), "language-texts")
+    counts = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    languages = counts.count()
+    if not languages:
         return None
-    each = max(1, sample // len(counts))
-    draw = F.shiftrightunsigned(F.xxhash64(text_col, F.lit(7)), 11) / float(1 << 53)
-    rate = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * each / n))]),
-                        F.col(lang_col))
-    picked = rows.where(draw < rate).select(F.col(lang_col).alias("lang"), draw.alias("draw"), F.col(text_col).alias("t"))
+    each = max(1, sample // languages)
+    draw = F.shiftrightunsigned("h", 11) / float(1 << 53)
+    # 40 more than twice what is needed: no language is left without a text
+    thinned = keys.join(F.broadcast(counts), "lang").where(draw < (2 * each + 40) / F.col("n"))
+    least = F.row_number().over(Window.partitionBy("lang").orderBy(draw, "h"))
+    want = written(thinned.withColumn("rank", least).where(F.col("rank") <= each).select("lang", "h"), "language-sample")
+    picked = rows.join(F.broadcast(want), ["lang", "h"]).select("lang", "h", "t")
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             raw, off = byte_texts(batch.column(2))
-            packed = []
-            for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+            langs, hashes, packed = [], [], []
+            for lang, h, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), off[:-1].tolist(),
+                                     off[1:].tolist(), strict=True):
+                if (lang, h) in seen:
+                    continue
+                seen.add((lang, h))
                 row = np.zeros(1 << bits, dtype=bool)
                 mark_presence(bytes(raw[a:b]).decode(), bits, longest, row)
+                langs.append(lang)
+                hashes.append(h)
                 packed.append(np.packbits(row).tobytes())
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
-                                  names=["lang", "draw", "bits"])
-
-    got = (picked.mapInArrow(presence, "lang string, draw double, bits binary")
-           .orderBy("draw", "lang").limit(2 * sample).collect())
-    taken = {x: 0 for x in counts}
-    kept = []
-    for r in got:
-        if taken[r["lang"]] < each:
-            taken[r["lang"]] += 1
-            kept.append(r)
-    if not kept:
-        return None
+            yield pa.record_batch([pa.array(langs, pa.string()), pa.array(hashes, pa.int64()),
+                                   pa.array(packed, pa.binary())], names=["lang", "h", "bits"])
+
+    got = picked.mapInArrow(presence, "lang string, h long, bits binary").dropDuplicates(["lang", "h"]).collect()
+    kept = sorted(got, key=lambda r: ((r["h"] & ((1 << 64) - 1)) >> 11, r["lang"]))
     del got
     bits_of = np.frombuffer(b"".join(r["bits"] for r in kept), np.uint8).reshape(len(kept), -1)
     present = np.unpackbits(bits_of, axis=1).view(bool)

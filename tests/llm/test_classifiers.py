@@ -139,3 +139,37 @@ def test_thresholds_stay_ordered_and_recover_grades():
     assert (np.diff(m.thresholds) > 0).all()
     np.testing.assert_allclose(m.thresholds, [-2.0, 0.0, 2.5], atol=0.5)
     np.testing.assert_allclose(m.weights[:3], [2.0, -1.0, 0.5], atol=0.4)
+
+
+def _fitted_on(monkeypatch, docs, **params):
+    """(labels, presence rows) that the language model is fitted on."""
+    seen = []
+    fit_ridge = language_id.fit_ridge
+
+    def spy(present, labels, *a):
+        seen.append((labels, present))
+        return fit_ridge(present, labels, *a)
+    monkeypatch.setattr(language_id, "fit_ridge", spy)
+    language_id.fit(docs, "text", "lang", F.lit(True), **params)
+    return seen[0]
+
+
+def test_language_sample_holds_copies_once(spark, monkeypatch):
+    """300 copies of the text with the least draw take one place of the sample."""
+    rng = random.Random(11)
+    rows = [(_text(rng, lang, 12), lang) for lang in ("en", "de") for _ in range(300)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    least = docs.orderBy(F.shiftrightunsigned(F.xxhash64("text", F.lit(7)), 11)).first()
+    copies = spark.createDataFrame([tuple(least)] * 300, docs.schema)
+    labels, present = _fitted_on(monkeypatch, docs.union(copies), sample=40, landmarks=10)
+    assert sorted(labels) == ["de"] * 20 + ["en"] * 20
+    assert len(np.unique(present, axis=0)) == 40
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """Also rare languages beside frequent ones, and more languages than ``sample``."""
+    rng = random.Random(12)
+    names = [f"l{i}" for i in range(7)]
+    rows = [(_text(rng, "en", 8), x) for x in names for _ in range(200 if x < "l2" else 2)]
+    labels, _ = _fitted_on(monkeypatch, spark.createDataFrame(rows, "text string, lang string"), sample=4, landmarks=4)
+    assert sorted(labels) == names
