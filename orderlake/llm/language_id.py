@@ -12,6 +12,15 @@ product of its presence matrix with it.
 The model is fitted on at most ``sample`` labelled texts (or one of each
 language), an equal number of each language by a hash of the text; their presence bits (fixed size) are all
 that reaches the driver. Every text is scored whole.
+
+The winner's output tells languages apart, not whether a text is in any of them:
+the outputs add up to 1, so one is always 1 / languages at least. That is told
+by the known share: the part of a text's n-grams that at least ``_HELD`` of the
+learned texts of the winning language hold (two texts at least). Every fifth
+sampled text of a language is kept apart from those; ``_SLACK`` times the 5 %
+quantile of their known shares is the language's least share, less two standard
+errors for a text of few n-grams. A language with under ten texts has none, and
+rejects nothing.
 """
 
 from __future__ import annotations
@@ -29,6 +38,7 @@ from orderlake.llm.common import byte_texts, small_batches, written
 UNKNOWN = "und"
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
 _PIECE = 1 << 16
+_HELD, _SLACK, _APART = 0.02, 0.7, 5
 
 
 def mark_presence(text: str, bits: int, longest: int, out: np.ndarray) -> None:
@@ -55,6 +65,15 @@ class Model:
     offset: np.ndarray
     bits: int
     longest: int
+    known: np.ndarray | None = None  # languages x places: n-grams that its texts hold
+    least: np.ndarray | None = None  # known share under which a text is in no language
+
+    def is_learned(self, present: np.ndarray, language: int) -> bool:
+        """Whether a presence row can be a text of the language."""
+        own = max(1, int(np.count_nonzero(present)))
+        least = float(self.least[language])
+        error = np.sqrt(least * (1 - least) / own)
+        return np.count_nonzero(present & self.known[language]) / own >= least - 2 * error
 
     def scores(self, present: np.ndarray) -> np.ndarray:
         """One-versus-rest ridge outputs of a batch of presence rows."""
@@ -91,6 +110,24 @@ def fit_ridge(present: np.ndarray, labels: list[str], bits: int, longest: int, l
                  bits, longest)
 
 
+def known_places(present: np.ndarray, labels: list[str], languages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(languages x places that count as known, least known share of each
+    language), the shares from texts that are apart from those of the places."""
+    known, least = np.zeros((len(languages), present.shape[1]), dtype=bool), np.zeros(len(languages))
+    rows: dict[str, list[int]] = {x: [] for x in languages}
+    for i, own in enumerate(labels):
+        rows[own].append(i)
+    for k, x in enumerate(languages):
+        apart = rows[x][_APART - 1::_APART]
+        kept = np.delete(rows[x], np.s_[_APART - 1::_APART])
+        held = sum(present[i].astype(np.int32) for i in kept)
+        known[k] = held >= max(2.0, _HELD * len(kept))
+        if len(apart) > 1:
+            shares = [np.count_nonzero(present[i] & known[k]) / max(1, np.count_nonzero(present[i])) for i in apart]
+            least[k] = _SLACK * np.quantile(shares, 0.05)
+    return known, least
+
+
 def fit(docs: DataFrame, text_col: str, lang_col: str, train: Column, sample: int = 1600, landmarks: int = 200,
         bits: int = 15, longest: int = 4, ridge: float = 0.05) -> Model | None:
     """The model, or None where no row has a text, a language and ``train``.
@@ -137,18 +174,21 @@ def fit(docs: DataFrame, text_col: str, lang_col: str, train: Column, sample: in
     del got
     bits_of = np.frombuffer(b"".join(r["bits"] for r in kept), np.uint8).reshape(len(kept), -1)
     present = np.unpackbits(bits_of, axis=1).view(bool)
-    return fit_ridge(present, [r["lang"] for r in kept], bits, longest, landmarks, ridge)
+    labels = [r["lang"] for r in kept]
+    model = fit_ridge(present, labels, bits, longest, landmarks, ridge)
+    model.known, model.least = known_places(present, labels, model.languages)
+    return model
 
 
 def predict_udf(model, batch_rows: int = 64):
-    """(lang, score) of each text; ``model`` is a broadcast Model or None."""
-    @F.arrow_udf("struct<lang: string, score: double>")
+    """(lang, score, learned) of each text; ``model`` is a broadcast Model or None."""
+    @F.arrow_udf("struct<lang: string, score: double, learned: boolean>")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = model.value
         for arr in batches:
             raw, off = byte_texts(arr)
             spans = list(zip(off[:-1].tolist(), off[1:].tolist(), strict=True))
-            langs, scores = [UNKNOWN] * len(spans), np.zeros(len(spans))
+            langs, scores, learned = [UNKNOWN] * len(spans), np.zeros(len(spans)), np.zeros(len(spans), dtype=bool)
             for at in range(0, len(spans) if m else 0, batch_rows):
                 some = spans[at:at + batch_rows]
                 present = np.zeros((len(some), 1 << m.bits), dtype=bool)
@@ -163,15 +203,18 @@ def predict_udf(model, batch_rows: int = 64):
                 for i in np.flatnonzero(lettered).tolist():
                     langs[at + i] = m.languages[best[i]]
                     scores[at + i] = min(1.0, max(0.0, float(out[i, best[i]])))
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             names=["lang", "score"])
+                    learned[at + i] = m.is_learned(present[i], best[i])
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                                              pa.array(learned, pa.bool_())], names=["lang", "score", "learned"])
     return predict
 
 
 def predict_language(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str = "lang",
                      result: str = "language", **params) -> DataFrame:
-    """``docs`` with a struct column ``result``: lang (a learned language) and
-    score (0 to 1, the winner's ridge output).
+    """``docs`` with a struct column ``result``: lang (a learned language),
+    score (0 to 1, the winner's ridge output) and learned (whether the text's
+    n-grams are known in that language; false for gibberish and languages that
+    were not learned).
 
     A null text, or one without a letter, is ``und`` with score 0; so is every
     text where nothing could be learned. Rows are learned from where ``train``
