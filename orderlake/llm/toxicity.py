@@ -8,8 +8,11 @@ more often than others, each with its log odds as weight. Trees (Spark ML) are f
 sample, the isotonic map from tree probability to score on the rest.
 
 At most ``sample`` labelled rows are fitted on, half of them toxic where
-there are enough, chosen by a hash of the text. Near copies count once: rows
-whose least shingle hash is equal form one group. Every text is scored whole.
+there are enough, chosen by a hash of the id. Near copies of one label count
+once in the lexicon: rows with equal least hashes in ``_KEY`` shingle orders whose
+estimated similarity to the group's first member is ``_ALIKE`` or more. Trees and the
+calibration see all rows of the sample, copies too, as scores are shares of
+rows. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import WordCache, byte_texts, chained, hashed_words, small_batches, written
+from orderlake.llm.common import WordCache, byte_texts, chained, hashed_words, mix, small_batches, written
 
 #: Second-person pronouns of the languages served.
 SECOND_PERSON = frozenset((
@@ -37,6 +40,9 @@ SECOND_PERSON = frozenset((
 LOOK_ALIKES = str.maketrans("0134578@$!", "oieastbasi")
 
 STEMS = (4, 5, 6, 7, 8)
+#: Shingle orders of a signature, those of them in a group's key, and the share of equal ones in near copies.
+_ORDERS, _KEY, _ALIKE = 64, 3, 0.7
+_SEEDS = mix(np.arange(1, _ORDERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 NEAR = 3
 FEATURES = ("lexicon_density", "lexicon_weight", "strongest", "second_strongest", "word_hits", "stem_hits", "second_person_near",
             "second_person_rate", "capital_rate", "punctuation_rate", "exclamation_rate", "obfuscated_rate",
@@ -128,20 +134,35 @@ def _features_udf(lexicon):
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words and stems of each text, and its least shingle hash."""
+    """Distinct words and stems of each text, and the least hashes of its
+    shingles in ``_ORDERS`` orders."""
     for batch in batches:
         raw, off = byte_texts(batch.column(1))
-        terms, groups = [], []
+        terms, signatures = [], []
         for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
             text = bytes(raw[a:b])
             words = set(_LETTERS.findall(text.decode().lower()))
             stems = {f"{w[:n]}*" for w in words for n in STEMS if len(w) >= n}
             terms.append(sorted(words | stems))
             hashes = hashed_words(text.lower())[2]
-            shingles = chained(hashes, min(4, len(hashes))) if len(hashes) else hashes
-            groups.append(int(shingles.min().view(np.int64)) if len(shingles) else 0)
-        yield pa.record_batch([batch.column(0), pa.array(terms, pa.list_(pa.string())), pa.array(groups, pa.int64())],
-                              names=["label", "terms", "group"])
+            shingles = np.unique(chained(hashes, min(4, len(hashes)))) if len(hashes) else hashes
+            signatures.append([int(mix(shingles * x).min().view(np.int64)) if len(shingles) else 0 for x in _SEEDS])
+        yield pa.record_batch([batch.column(0), batch.column(2), pa.array(terms, pa.list_(pa.string())),
+                               pa.array(signatures, pa.list_(pa.int64()))], names=["label", "h", "terms", "signature"])
+
+
+def without_near_copies(train: DataFrame) -> DataFrame:
+    """(label, terms) of one text of each group of near copies of a label: the
+    one with the least hash. Texts that share the key alone stay."""
+    key = F.slice("signature", 1, _KEY).alias("key")
+    rows = written(train.select("label", "text", F.xxhash64("text").alias("h")).mapInArrow(
+        _terms, "label int, h long, terms array<string>, signature array<long>").dropDuplicates(["label", "h"]),
+        "toxicity-terms")
+    first = rows.groupBy("label", key).agg(F.min(F.struct("h", "signature")).alias("first"))
+    same = F.aggregate(F.zip_with("signature", "first.signature", lambda a, b: (a == b).cast("int")), F.lit(0),
+                       lambda n, x: n + x)
+    return rows.withColumn("key", key).join(F.broadcast(first), ["label", "key"]).where(
+        (F.col("h") == F.col("first.h")) | (same < _ALIKE * _ORDERS)).select("label", "terms")
 
 
 def learn_lexicon(train: DataFrame, most: int = 2000, share: float = 0.01, odds: float = 6.0,
@@ -150,9 +171,7 @@ def learn_lexicon(train: DataFrame, most: int = 2000, share: float = 0.01, odds:
     ``odds`` times as frequent there as in the others, and with a likelihood
     ratio (G) of ``evidence`` against chance, as very many terms are tried; at
     most ``most``."""
-    rows = written(train.select("label", "text").mapInArrow(
-        _terms, "label int, terms array<string>, group long").groupBy("group").agg(
-        F.max("label").alias("label"), F.first("terms").alias("terms")), "toxicity-terms")
+    rows = written(without_near_copies(train), "toxicity-texts")
     n = rows.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
     toxic, clean = n["t"], n["n"] - n["t"]
     if not toxic or not clean:

@@ -173,3 +173,15 @@ def test_every_language_is_learned(spark, monkeypatch):
     rows = [(_text(rng, "en", 8), x) for x in names for _ in range(200 if x < "l2" else 2)]
     labels, _ = _fitted_on(monkeypatch, spark.createDataFrame(rows, "text string, lang string"), sample=4, landmarks=4)
     assert sorted(labels) == names
+
+
+def test_shared_passage_is_no_near_copy(spark):
+    """Texts with one long passage in common all count, near copies of a label once."""
+    rng = random.Random(13)
+    passage = _text(rng, "en", 60)
+    rows = [(i % 2, f"{_text(rng, 'en', 40)} {passage} {_text(rng, 'en', 40)} own{'abcdefghijkl'[i]}") for i in range(12)]
+    copies = [(0, rows[0][1] + " tail"), (0, rows[0][1]), (1, rows[0][1])]
+    train = spark.createDataFrame(rows + copies, "label int, text string")
+    got = [(r["label"], [t for t in r["terms"] if t.startswith("own") and len(t) == 4 and "*" not in t])
+           for r in toxicity.without_near_copies(train).collect()]
+    assert sorted(got) == sorted([(i % 2, ["own" + "abcdefghijkl"[i]]) for i in range(12)] + [(1, ["owna"])])
