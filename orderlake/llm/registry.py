@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from orderlake.llm import (chat, decontam, language_id, packing, quality, sharding, simhash, token_counts, topk,
-                           toxicity)
+from orderlake.llm import (alignment, chat, decontam, language_id, mixing, packing, quality, repair, sharding, simhash,
+                           token_counts, topk, toxicity)
 from orderlake.llm.common import held_out
+from orderlake.llm.repair_sql import OP13_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -161,10 +162,48 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``byte_bpe_50k.json`` on a space and the text, ``piece_bpe_32k.model`` on the text."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    out = alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+                          digest=True).documents
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
+MIX_WEIGHTS, MIX_SHARE = (5, 2, 1), 1.5
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources in code point order weigh 5, 2, 1, repeating, and share 150 % of all words."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Every turn's fate by the CRC-32 of ``conv_id:turn`` (nulls: one space),
+    modulo 20: 0 drops it, 1 empties its text, 2 removes its sentence ends,
+    3 repeats it, 4 makes its role user."""
+    space = F.lit(" ")
+    t = turns.select("conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+                     (F.crc32(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn"))))
+                      % 20).alias("_fate"))
+    t = t.where("_fate <> 0").withColumn("_copy", F.explode(F.when(F.col("_fate") == 3, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0)))))
+    return t.select("conv_id", "turn", F.when(F.col("_fate") == 4, "user").otherwise(F.col("role")).alias("role"),
+                    F.when(F.col("_fate") == 1, "").when(F.col("_fate") == 2, F.translate("text", ".!?", "")).otherwise(
+                        F.col("text")).alias("text"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "conversations")
+    return repair.repair(damaged(table), table.select("conv_id"), digest=True)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_simhash_near_dedup, op3_sharding, op4_packing, op5_quality, op6_toxicity,
     op7_language_id, op8_exact_topk, op9_chat_formatting, op10_benchmark_decontamination,
+    op11_cross_tokenizer_alignment, op12_mixing, op13_conversation_repair,
 )}
 
 ORACLE: dict[str, str] = {"op3_sharding": OP3_SQL, "op8_exact_topk": OP8_SQL, "op9_chat_formatting": OP9_SQL,
-                          "op10_benchmark_decontamination": OP10_SQL}
+                          "op10_benchmark_decontamination": OP10_SQL, "op13_conversation_repair": OP13_SQL}
