@@ -2,7 +2,14 @@
 
 The file listing is a DataFrame (``binaryFile`` with the ``content`` column
 pruned, so no bytes travel in rows). Files known by place, size and time are
-not read again, so a run reads what landed since the last one. The only Python
+not read again, so a run reads what landed since the last one.
+
+The registry keeps every version of a path. A path's newest version counts:
+corrected bytes supersede the former ones, faulty bytes withdraw the path until
+it is good again. A content (MD5) is handed to readers once, from the path that
+brought it first, or another that holds it when that one has changed.
+
+The only Python
 step is a ``mapInPandas`` that, per file and on the executor, hashes the bytes
 in chunks and reads the Parquet footer. Routing, duplicate detection and the
 contract check are DataFrame expressions and joins.
@@ -17,9 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schemas import (COLUMN_ALIASES, CONTRACT_PARQUET_TYPES, FILE_TYPE_RULES, KNOWN_FILES_SCHEMA,
-                       REGISTRY_SCHEMA, REQUIRED_COLUMNS)
-from ..session import scratch_dir
+from ..schemas import (COLUMN_ALIASES, CONTRACT_PARQUET_TYPES, FILE_TYPE_RULES, REGISTRY_SCHEMA, REQUIRED_COLUMNS,
+                       VERSIONS_SCHEMA)
 from ..sinks import parquet as sink
 
 INSPECT_SCHEMA = ("path string, md5 string, columns array<string>, "
@@ -122,12 +128,14 @@ def landing_decisions(spark: SparkSession, listing: DataFrame, root: str,
 
     status: ``validated`` | ``quarantined`` | ``duplicate`` | ``retry``.
     Validity is decided first. Of the valid files, those are duplicates whose
-    bytes (MD5) were validated before (``registry``) or occur under an earlier
-    path in this batch; a wrong copy never claims a hash (H20). Quarantined
-    files are checked again on re-drop. A file whose bytes could not be fetched
-    is ``retry``: neither quarantined nor registered. Files in ``known`` (same
-    path, size and time) are duplicates without being read; ``was_read`` tells.
-    ``check_types`` also compares footer physical types (H11).
+    bytes (MD5) were validated before under another path (``registry``: its
+    versions) or occur under an earlier path in this batch; a wrong copy never
+    claims a hash (H20), and a path that gets former bytes of its own back is
+    validated. Quarantined files are checked again on re-drop. A file whose
+    bytes could not be fetched is ``retry``: neither quarantined nor
+    registered. Files in ``known`` (same path, size and time) are duplicates
+    without being read; ``was_read`` tells. ``check_types`` also compares
+    footer physical types (H11).
     """
     prefix = root.rstrip("/") + "/"
     files = listing.where(F.lower("path").endswith(".parquet"))          # Q6
@@ -149,19 +157,18 @@ def landing_decisions(spark: SparkSession, listing: DataFrame, root: str,
     if check_types:
         fault = F.coalesce(fault, _type_fault(F.col("file_type")))
     d = d.withColumn("failure_reason", F.coalesce("io_error", fault))
-    # The first valid path of each content; faulty files stand alone
+    # The path that brought a content first, or else its first path here; faulty files stand alone
     content = F.when(F.col("failure_reason").isNull(), F.col("md5")).otherwise(F.concat(F.lit("path:"), "path"))
     d = d.withColumn("_content", content)
-    d = d.withColumn("_again", F.row_number().over(Window.partitionBy("_content").orderBy("path")) > 1)
     if registry is not None:
-        seen = (registry.where(F.col("status") == "validated").select(F.col("md5").alias("_content")).distinct()
-                .withColumn("_seen", F.lit(True)))
-        d = d.join(seen, "_content", "left")
+        d = d.join(_owners(registry).select(F.col("md5").alias("_content"), F.col("owner").alias("_owner")), "_content", "left")
     else:
-        d = d.withColumn("_seen", F.lit(None).cast("boolean"))
+        d = d.withColumn("_owner", F.lit(None).cast("string"))
+    first = F.min("path").over(Window.partitionBy("_content"))
+    d = d.withColumn("_first", F.coalesce("_owner", first))
     status = (F.when(F.col("io_error").isNotNull(), F.lit("retry"))
                .when(F.col("failure_reason").isNotNull(), F.lit("quarantined"))
-               .when(F.col("_again") | F.coalesce("_seen", F.lit(False)), F.lit("duplicate"))
+               .when(F.col("path") != F.col("_first"), F.lit("duplicate"))
                .otherwise(F.lit("validated")))
     ts = F.lit(str(run_ts)).cast("timestamp") if run_ts is not None else F.current_timestamp()
     cols = ["path", "filename", "file_type", "length", "modificationTime", "md5"]
@@ -183,71 +190,75 @@ def _escape_tail(prefix: str) -> str:
 
 
 def registry_rows(decisions: DataFrame) -> DataFrame:
-    """K6: what a run tells the registry: its new contents of a known type."""
-    return decisions.where(F.col("status").isin("validated", "quarantined") & F.col("md5").isNotNull()
-                           & F.col("file_type").isNotNull()).select(*REGISTRY_SCHEMA.fieldNames())
+    """K6: what a run tells the registry: the version of every path it has read."""
+    return decisions.where(F.col("status").isin("validated", "duplicate", "quarantined") & F.col("md5").isNotNull()
+                           & F.col("was_read")).select(*VERSIONS_SCHEMA.fieldNames())
 
 
-def one_per_content(rows: DataFrame) -> DataFrame:
-    """K6: one row per MD5: first seen and last processed over all rows, the
-    rest from its validated row, or else from the newest."""
+def one_per_content(versions: DataFrame) -> DataFrame:
+    """K6: one row per MD5 of a known type: first seen and last processed over
+    all its versions, the rest from its validated one, or else from the newest."""
     best = F.max_by(F.struct("path", "filename", "file_type", "status", "failure_reason"),
                     F.struct(F.col("status") == "validated", "processed_at", "path"))
-    one = rows.groupBy("md5").agg(best.alias("b"), F.min("first_seen_at").alias("first_seen_at"),
-                                  F.max("processed_at").alias("processed_at"))
-    return one.select("md5", "b.*", "first_seen_at", "processed_at")
-
-
-def _bucket(c: str) -> Column:
-    return F.substring(F.md5(c), 1, 2)
-
-
-def _upsert(spark: SparkSession, path: str, rows: DataFrame, schema, key: str, settle) -> None:
-    """``rows`` into the table at ``path`` by ``key``; only the touched of 256
-    key buckets are read and rewritten, so a retry changes nothing."""
-    stage = scratch_dir(spark, "registry-stage")
-    new = rows.withColumn("bucket", _bucket(key))
-    buckets = [r[0] for r in new.select("bucket").distinct().collect()]
-    if not buckets:
-        return
-    old = read_table(spark, path, schema, with_bucket=True)
-    both = new if old is None else old.where(F.col("bucket").isin(buckets)).unionByName(new)
-    settled = settle(both.drop("bucket")).select(*schema.fieldNames()).withColumn("bucket", _bucket(key))
-    sink.write_stage(settled, stage)
-    (spark.read.schema(settled.schema).parquet(stage).repartition("bucket").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
-    sink.delete_path(spark, stage)
-
-
-def read_table(spark: SparkSession, path: str, schema, with_bucket: bool = False) -> DataFrame | None:
-    """A registry table, or None before its first row."""
-    if not any(n.startswith("bucket=") for n in sink.child_names(spark, path)):
+    one = versions.where(F.col("status").isin("validated", "quarantined") & F.col("file_type").isNotNull()).groupBy("md5").agg(
+        best.alias("b"), F.min("first_seen_at").alias("first_seen_at"), F.max("processed_at").alias("processed_at"))
+    return one.select("md5", "b.*", "first_seen_at", "processed_at").select(*REGISTRY_SCHEMA.fieldNames())
+
+
+def _owners(versions: DataFrame) -> DataFrame:
+    """md5, owner: the path that a content was validated under first."""
+    return versions.where(F.col("status") == "validated").groupBy("md5").agg(
+        F.min_by("path", F.struct("processed_at", "path")).alias("owner"))
+
+
+def current_versions(versions: DataFrame) -> DataFrame:
+    """The newest version of each path."""
+    row = F.struct(*VERSIONS_SCHEMA.fieldNames())
+    newest = F.max_by(row, F.struct("processed_at", "modificationTime", "md5"))
+    return versions.groupBy("path").agg(newest.alias("v")).select("v.*")
+
+
+def known_files(versions: DataFrame) -> DataFrame:
+    """Good current versions: their bytes need not be read again."""
+    return current_versions(versions).where(F.col("status").isin("validated", "duplicate"))
+
+
+def read_versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """The registry's versions, or None before its first row."""
+    if not sink.path_exists(spark, path):
         return None
-    from pyspark.sql import types as T
-    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.StringType())])).parquet(path)
-    return df if with_bucket else df.drop("bucket")
+    return spark.read.schema(VERSIONS_SCHEMA).parquet(path)
 
 
-def known_path(registry_path: str) -> str:
-    return registry_path.rstrip("/") + "_files"
+def read_table(spark: SparkSession, path: str, schema=REGISTRY_SCHEMA) -> DataFrame | None:
+    """The registry by content (K6), or None before its first row."""
+    versions = read_versions(spark, path)
+    return None if versions is None else one_per_content(versions).select(*schema.fieldNames())
 
 
 def update_registry(spark: SparkSession, registry_path: str, decisions: DataFrame) -> None:
-    """K6: upserts the contents by MD5 and the good files by place."""
-    _upsert(spark, registry_path, registry_rows(decisions), REGISTRY_SCHEMA, "md5", one_per_content)
-    good = decisions.where(F.col("status").isin("validated", "duplicate") & F.col("was_read")).select(
-        *KNOWN_FILES_SCHEMA.fieldNames())
-    _upsert(spark, known_path(registry_path), good, KNOWN_FILES_SCHEMA, "path",
-            lambda df: df.groupBy("path").agg(F.max_by(F.struct(*KNOWN_FILES_SCHEMA.fieldNames()[1:]),
-                                                       "modificationTime").alias("b")).select("path", "b.*"))
-
-
-def manifest(decisions: DataFrame, file_type: str | None = None) -> DataFrame:
-    """K7: the validated paths readers may consume (no bytes are copied)."""
-    m = decisions.where(F.col("status") == "validated")
+    """K6: appends the versions that differ from what the registry has as
+    their path's current one. Everything read from it is a least or newest
+    row, so a retry that appends again changes nothing."""
+    new = registry_rows(decisions)
+    versions = read_versions(spark, registry_path)
+    if versions is not None:
+        same = ["path", "md5", "length", "modificationTime"]
+        bad = F.col("status") == "quarantined"
+        now = current_versions(versions).select(*same, bad.alias("_bad"))
+        new = new.withColumn("_bad", bad).join(now, [*same, "_bad"], "left_anti").drop("_bad")
+    new.hint("rebalance").write.mode("append").parquet(registry_path)
+
+
+def manifest(versions: DataFrame, file_type: str | None = None) -> DataFrame:
+    """K7: the paths readers may consume (no bytes are copied): each good
+    content once, from its owner if that still holds it, else from its least path."""
+    good = known_files(versions).where(F.col("file_type").isNotNull())
     if file_type is not None:
-        m = m.where(F.col("file_type") == file_type)
-    return m.select("path", "file_type")
+        good = good.where(F.col("file_type") == file_type)
+    at = good.join(_owners(versions), "md5").groupBy("md5", "file_type").agg(
+        F.min_by("path", F.struct(F.col("path") != F.col("owner"), "path")).alias("path"))
+    return at.select("path", "file_type")
 
 
 def manifest_paths(spark: SparkSession, registry_path: str, file_type: str, dates) -> dict[str, list[str]]:
@@ -255,10 +266,10 @@ def manifest_paths(spark: SparkSession, registry_path: str, file_type: str, date
     a file or a folder of part files). For ``dates`` None: the files of the
     newest drop below ``segments/`` under the key ``latest``. The names of the
     asked dates only come to the driver."""
-    registry = read_table(spark, registry_path, REGISTRY_SCHEMA)
-    if registry is None:
+    versions = read_versions(spark, registry_path)
+    if versions is None:
         return {}
-    files = manifest(registry, file_type)
+    files = manifest(versions, file_type)
     if dates is None:
         drop = F.regexp_extract("path", r"segments/([^/]+)", 1)
         files = files.withColumn("drop", F.when(drop.startswith("part-"), F.lit("")).otherwise(drop))
@@ -272,14 +283,15 @@ def manifest_paths(spark: SparkSession, registry_path: str, file_type: str, date
     return {d: sorted(p) for d, p in out.items()}
 
 
-def inputs_present(registry: DataFrame | None, needed: Sequence[str] = ("orders", "events", "user_segments"),
+def inputs_present(versions: DataFrame | None, needed: Sequence[str] = ("orders", "events", "user_segments"),
                    run_date=None) -> dict[str, int]:
-    """Q14 (H22 fix): validated contents per needed type in the registry, so a
-    repeated run finds what an earlier one validated. With ``run_date`` orders
-    and events count only under that date's name."""
-    if registry is None:
+    """Q14 (H22 fix): files per needed type in the registry's manifest, so a
+    repeated run finds what an earlier one validated, and not what a faulty
+    re-drop has withdrawn. With ``run_date`` orders and events count only under
+    that date's name."""
+    if versions is None:
         return {t: 0 for t in needed}
-    m = manifest(registry)
+    m = manifest(versions)
     if run_date is not None:
         m = m.where((F.col("file_type") == "user_segments") | F.col("path").contains(f"_{run_date}.parquet"))
     counts = {r["file_type"]: r["n"] for r in m.groupBy("file_type").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -1,8 +1,9 @@
 """Served queries on the gold table.
 
-Reads go through ``guarded_read``: a date range is mandatory and becomes a
-partition filter on the scan, so only the named day folders are listed and
-read. ``require_partition_filter`` checks a free-form plan the same way.
+Reads go through ``guarded_read``: a date range is mandatory. The day folders in
+it are named to the reader, so no other folder is listed or read; a range over
+more than half of the table is a partition filter on its scan.
+``require_partition_filter`` checks a free-form plan for either.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import money_sum
 from ..sinks.parquet import partition_values
-from ..sources.files import read_processed
+from ..sources.files import read_partitions, read_processed
 
-# Longest range a guarded read takes (a sentinel range is no filter); a caller
-# with an older table passes its own.
+# A range of so many days that goes beyond both ends of the table is a sentinel,
+# no filter. A range within the table may be of any length.
 MAX_RANGE_DAYS = 3_660
 
 
@@ -36,17 +37,20 @@ def table_days(spark: SparkSession, root: str, partition_col: str = "process_dat
 def guarded_read(spark: SparkSession, root: str, start: str | date | Column,
                  end: str | date | Column, partition_col: str = "process_date",
                  max_days: int = MAX_RANGE_DAYS) -> DataFrame:
-    """Read the gold table for ``start <= partition_col <= end`` only. The
-    range becomes a partition filter of the scan."""
+    """Read the gold table for ``start <= partition_col <= end`` only."""
     if start is None or end is None:
         raise PartitionFilterRequired(f"a {partition_col} range is required")
-    if not isinstance(start, Column) and not isinstance(end, Column):
-        a, b = date.fromisoformat(str(start)), date.fromisoformat(str(end))
-        if (b - a).days >= max_days:
-            raise PartitionFilterRequired(f"a range of {(b - a).days + 1} days is no filter (limit {max_days})")
-    lo = start if isinstance(start, Column) else F.lit(str(start)).cast("date")
-    hi = end if isinstance(end, Column) else F.lit(str(end)).cast("date")
-    return read_processed(spark, root).where(F.col(partition_col).between(lo, hi))
+    if isinstance(start, Column) or isinstance(end, Column):
+        lo, hi = (x if isinstance(x, Column) else F.lit(str(x)).cast("date") for x in (start, end))
+        return read_processed(spark, root).where(F.col(partition_col).between(lo, hi))
+    a, b = date.fromisoformat(str(start)), date.fromisoformat(str(end))
+    days = partition_values(spark, root, partition_col)
+    if (b - a).days >= max_days and (not days or (str(a) < min(days) and max(days) < str(b))):
+        raise PartitionFilterRequired(f"a range of {(b - a).days + 1} days is no filter (limit {max_days})")
+    inside = [d for d in days if str(a) <= d <= str(b)]
+    if 2 * len(inside) <= len(days):
+        return read_partitions(spark, root, partition_col, inside)
+    return read_processed(spark, root).where(F.col(partition_col).between(F.lit(str(a)).cast("date"), F.lit(str(b)).cast("date")))
 
 
 def _scans(plan):
@@ -63,15 +67,17 @@ def _scans(plan):
 
 def require_partition_filter(df: DataFrame, partition_col: str = "process_date") -> DataFrame:
     """P22 for free-form queries: every scan of a table partitioned by
-    ``partition_col`` must filter on it beyond ``isnotnull``, and there must be
-    such a scan."""
+    ``partition_col`` must filter on it beyond ``isnotnull``, or read named
+    folders of it only, and there must be such a scan."""
     guarded = 0
     for scan in _scans(df._jdf.queryExecution().sparkPlan()):
         if partition_col not in list(scan.relation().partitionSchema().fieldNames()):
             continue
         filters = scan.partitionFilters()
         terms = [filters.apply(i).toString() for i in range(filters.size())]
-        if not any(partition_col in t and not t.startswith("isnotnull(") for t in terms):
+        roots = scan.relation().location().rootPaths()
+        named = all(f"{partition_col}=" in roots.apply(i).getName() for i in range(roots.size()))
+        if not named and not any(partition_col in t and not t.startswith("isnotnull(") for t in terms):
             raise PartitionFilterRequired(f"queries over the gold table require a filter on {partition_col}")
         guarded += 1
     if not guarded:

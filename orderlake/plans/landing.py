@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import landing as LG
-from ..schemas import KNOWN_FILES_SCHEMA, REGISTRY_SCHEMA
 from ..session import scratch_dir
 from ..sources import feeds
 
@@ -27,20 +26,19 @@ def run_landing(spark: SparkSession, raw_root: str, registry_path: str,
                 run_ts: datetime | str | None = None, check_types: bool = False,
                 listing: DataFrame | None = None, needed=("orders", "events", "user_segments"),
                 run_date=None) -> LandingRun:
-    """List → drop known files → inspect → decide → upsert registry (single
-    writer) → Q14 over the registry. Repeating a run reads no known bytes and
-    changes neither the registry nor the answer."""
+    """List → drop known files → inspect → decide → append to the registry
+    (single writer) → Q14 over its manifest. Repeating a run reads no known
+    bytes and changes neither the registry nor the answer."""
     listing = listing if listing is not None else LG.list_files(spark, raw_root)
-    registry = LG.read_table(spark, registry_path, REGISTRY_SCHEMA)
-    known = LG.read_table(spark, LG.known_path(registry_path), KNOWN_FILES_SCHEMA)
-    decisions = LG.landing_decisions(spark, listing, raw_root, registry, run_ts,
-                                     check_types=check_types, known=known)
+    versions = LG.read_versions(spark, registry_path)
+    decisions = LG.landing_decisions(spark, listing, raw_root, versions, run_ts, check_types=check_types,
+                                     known=None if versions is None else LG.known_files(versions))
     # Decisions are written once (lineage cut: hashing is not repeated).
     out = scratch_dir(spark, "landing-decisions")
     decisions.write.mode("overwrite").parquet(out)
     staged = spark.read.schema(decisions.schema).parquet(out)
     LG.update_registry(spark, registry_path, staged)
-    counts = LG.inputs_present(LG.read_table(spark, registry_path, REGISTRY_SCHEMA), needed, run_date)
+    counts = LG.inputs_present(LG.read_versions(spark, registry_path), needed, run_date)
     status = "READY" if all(counts.values()) else "SKIPPED"
     return LandingRun(staged, counts, status)
 

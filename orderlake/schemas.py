@@ -86,7 +86,7 @@ GOLD_CONTRACT = T.StructType([
 GOLD_NOT_NULL = ["order_id", "user_id", "amount", "currency", "process_date",
                  "user_segment", "event_count", "updated_at"]
 
-# Landing registry: one row per file content (K6).
+# Landing registry, seen by content: one row per MD5 (K6).
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("md5", T.StringType()),
     T.StructField("path", T.StringType()),
@@ -97,11 +97,9 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("first_seen_at", T.TimestampType()),
     T.StructField("processed_at", T.TimestampType()),
 ])
-# Files whose bytes were read and found good, by place: they are not read again.
-KNOWN_FILES_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
+# As it is stored: every version of every path whose bytes were read.
+VERSIONS_SCHEMA = T.StructType([
+    *REGISTRY_SCHEMA.fields,
     T.StructField("length", T.LongType()),
     T.StructField("modificationTime", T.TimestampType()),
-    T.StructField("md5", T.StringType()),
-    T.StructField("file_type", T.StringType()),
 ])

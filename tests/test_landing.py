@@ -124,3 +124,89 @@ def test_streaming_gate_available_now(spark, tmp_root):
                              f"{tmp_root}/ckpt")
     q.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_root}/decisions").count() == 3
+
+
+def _segments(spark, raw):
+    _write(spark, pd.DataFrame({"user_id": ["U"], "segment": ["gold"], "segment_date": pd.to_datetime(["2025-06-01"]).date}),
+           f"{raw}/segments/2025-06-01")
+
+
+def _put(spark, df: pd.DataFrame, path):
+    """The drop's bytes under one name, as a re-dropped file has it."""
+    import io
+    out = io.BytesIO()
+    df.to_parquet(out, index=False)
+    _jvm_write_bytes(spark, path, out.getvalue())
+
+
+def test_a_redrop_under_the_same_path(spark, tmp_root):
+    """Corrected, faulty, good again, and former bytes back: the newest version counts."""
+    from orderlake.plans.daily import run_daily
+    from orderlake.sources.files import read_processed
+    raw, reg, out = f"{tmp_root}/raw", f"{tmp_root}/registry", f"{tmp_root}/p"
+    path = f"{raw}/orders/orders_2025-06-01.parquet"
+    _segments(spark, raw)
+    drops = [(ORDERS, "validated", [1.0]), (ORDERS.assign(amount=[2.5]), "validated", [2.5]),
+             (ORDERS.drop(columns=["currency"]), "quarantined", None), (ORDERS.assign(amount=[4.5]), "validated", [4.5]),
+             (ORDERS, "validated", [1.0])]
+    for n, (df, status, amounts) in enumerate(drops):
+        _put(spark, df, path)
+        run = run_landing(spark, raw, reg, f"2025-06-0{n + 1} 00:00:00", needed=("orders",), run_date="2025-06-01")
+        got = {r["filename"].split("/")[0]: r["status"] for r in run.decisions.collect()}
+        assert got["orders"] == status and run.status == ("READY" if amounts else "SKIPPED")
+        listed = LG.manifest_paths(spark, reg, "orders", ["2025-06-01"])
+        assert [len(p) for p in listed.values()] == ([1] if amounts else [])
+        done = run_daily(spark, raw, out, "2025-06-01", registry=reg)
+        assert done.status == ("SUCCESS" if amounts else "SKIPPED")
+        if amounts:
+            assert [r["amount"] for r in read_processed(spark, out).collect()] == amounts
+
+
+def test_a_segment_redrop_keeps_one_dimension(spark, tmp_root):
+    from orderlake.plans.daily import run_daily
+    raw, reg = f"{tmp_root}/raw", f"{tmp_root}/registry"
+    _put(spark, ORDERS, f"{raw}/orders/orders_2025-06-01.parquet")
+    for n, segment in enumerate(["gold", "silver"]):
+        _put(spark, pd.DataFrame({"user_id": ["U"], "segment": [segment], "segment_date": pd.to_datetime(["2025-06-01"]).date}),
+             f"{raw}/segments/2025-06-01.parquet")
+        run_landing(spark, raw, reg, f"2025-06-0{n + 1} 00:00:00")
+        assert run_daily(spark, raw, f"{tmp_root}/p{n}", "2025-06-01", registry=reg).status == "SUCCESS"
+        assert spark.read.parquet(f"{tmp_root}/p{n}").first()["user_segment"] == segment
+
+
+def test_another_path_hands_out_a_withdrawn_content(spark, tmp_root):
+    raw, reg = f"{tmp_root}/raw", f"{tmp_root}/registry"
+    for name in "ab":
+        _put(spark, ORDERS, f"{raw}/orders/{name}.parquet")
+    run_landing(spark, raw, reg, "2025-06-01 00:00:00")
+    paths = lambda: [r["path"][-9:] for r in LG.manifest(LG.read_versions(spark, reg)).collect()]
+    assert paths() == ["a.parquet"]
+    _put(spark, ORDERS.drop(columns=["amount"]), f"{raw}/orders/a.parquet")
+    run_landing(spark, raw, reg, "2025-06-02 00:00:00")
+    assert paths() == ["b.parquet"]
+
+
+def test_stream_and_batch_share_the_registry(spark, tmp_root):
+    """What the stream validated the daily run reads; over many micro-batches
+    and a restart a content is validated once, in whichever gate comes first."""
+    from orderlake.plans.daily import run_daily
+    from orderlake.streaming.landing_stream import start_landing_stream
+    raw, reg = f"{tmp_root}/raw", f"{tmp_root}/registry"
+    _segments(spark, raw)
+    for name in ("orders_2025-06-01", "copy", "copy2"):
+        _put(spark, ORDERS, f"{raw}/orders/{name}.parquet")
+    _put(spark, ORDERS.drop(columns=["amount"]), f"{raw}/orders/orders_2025-06-02.parquet")
+    for step in range(2):
+        q = start_landing_stream(spark, raw, f"{tmp_root}/decisions", reg, f"{tmp_root}/ckpt", max_files_per_trigger=1)
+        q.awaitTermination(180)
+        assert q.exception() is None
+        if step == 0:
+            assert run_daily(spark, raw, f"{tmp_root}/p", "2025-06-01", registry=reg).status == "SUCCESS"
+            assert run_daily(spark, raw, f"{tmp_root}/p", "2025-06-02", registry=reg).status == "SKIPPED"
+            _put(spark, ORDERS, f"{raw}/orders/copy3.parquet")
+    got = spark.read.parquet(f"{tmp_root}/decisions").where("file_type = 'orders'").groupBy("status").count().collect()
+    assert {r["status"]: r["count"] for r in got} == {"validated": 1, "duplicate": 3, "quarantined": 1}
+    again = run_landing(spark, raw, reg, "2030-06-01 00:00:00").decisions
+    assert {r["status"] for r in again.where("file_type = 'orders' AND NOT was_read").collect()} == {"duplicate"}
+    assert again.where("was_read").count() == 1                       # the quarantined file is looked at again
+    assert len(LG.manifest_paths(spark, reg, "orders", ["2025-06-01"])["2025-06-01"]) == 1
