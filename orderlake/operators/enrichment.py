@@ -120,7 +120,7 @@ def broadcast_licence(profiles: Sequence[DimensionProfile], limit: int = DEFAULT
 EVENTS_AGG_COLS = ("user_id", "event_count", "event_types")
 
 
-def enrich_orders(orders: DataFrame, events_agg: DataFrame, segments: DataFrame,
+def enrich_orders(orders: DataFrame, events_agg: DataFrame, segments: DataFrame | None,
                   key: str = "user_id", broadcast_segments: bool = False,
                   broadcast_events: bool = False, hot: DataFrame | None = None,
                   events_on: Sequence[str] = ("user_id",)) -> DataFrame:
@@ -130,11 +130,12 @@ def enrich_orders(orders: DataFrame, events_agg: DataFrame, segments: DataFrame,
     (``dimension_profile``); otherwise it is a shuffle join in which the rows
     of the ``hot`` keys (``joins.hot_keys``) are dealt over all partitions.
     ``events_on`` is (batch date, user) in a range run. NULL user ids never
-    match.
+    match. ``segments`` None: the orders have their segment already.
     """
-    segments = canonical_alias(segments, "user_segment").select(key, "user_segment")
-    return left_lookup_joins(orders, [(events_agg, broadcast_events, list(events_on)),
-                                      (segments, broadcast_segments)], key, hot)
+    lookups = [(events_agg, broadcast_events, list(events_on))]
+    if segments is not None:
+        lookups.append((canonical_alias(segments, "user_segment").select(key, "user_segment"), broadcast_segments))
+    return left_lookup_joins(orders, lookups, key, hot)
 
 
 def naive_enrich(orders: DataFrame, events: DataFrame, segments: DataFrame,

@@ -263,9 +263,9 @@ def manifest(versions: DataFrame, file_type: str | None = None) -> DataFrame:
 
 def manifest_paths(spark: SparkSession, registry_path: str, file_type: str, dates) -> dict[str, list[str]]:
     """K7: validated files by the date in their name (``{type}_{date}.parquet``,
-    a file or a folder of part files). For ``dates`` None: the files of the
-    newest drop below ``segments/`` under the key ``latest``. The names of the
-    asked dates only come to the driver."""
+    a file or a folder of part files). For ``dates`` None: the files of each
+    drop below ``segments/`` by its name, and those of the newest under the key
+    ``latest``. The names of the asked dates only come to the driver."""
     versions = read_versions(spark, registry_path)
     if versions is None:
         return {}
@@ -273,9 +273,11 @@ def manifest_paths(spark: SparkSession, registry_path: str, file_type: str, date
     if dates is None:
         drop = F.regexp_extract("path", r"segments/([^/]+)", 1)
         files = files.withColumn("drop", F.when(drop.startswith("part-"), F.lit("")).otherwise(drop))
-        newest = files.agg(F.max("drop")).first()[0]
-        paths = [] if newest is None else [r["path"] for r in files.where(F.col("drop") == newest).collect()]
-        return {"latest": sorted(paths)} if paths else {}
+        drops: dict[str, list[str]] = {}
+        for r in files.collect():
+            drops.setdefault(r["drop"], []).append(r["path"])
+        drops = {d: sorted(p) for d, p in drops.items()}
+        return {**drops, "latest": drops[max(drops)]} if drops else {}
     day = F.regexp_extract("path", file_type + r"_(\d{4}-\d{2}-\d{2})\.parquet", 1)
     out: dict[str, list[str]] = {}
     for r in files.withColumn("day", day).where(F.col("day").isin([str(d) for d in dates])).collect():

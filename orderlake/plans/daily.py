@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import enrichment as E
+from ..operators import asof
 from ..operators.gates import GateError, RowGate
 from ..operators.joins import hot_keys
 from ..schemas import APPROVED_OUTPUT_COLUMNS, ROW_EXPLOSION_THRESHOLD
@@ -82,7 +83,8 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
                    broadcast_limit: int = E.DEFAULT_BROADCAST_LIMIT,
                    on_duplicate_segments: str = "fail",
                    batch: bool = False,
-                   hot_opts: dict | None = None) -> RunResult:
+                   hot_opts: dict | None = None,
+                   segment_intervals: DataFrame | None = None) -> RunResult:
     """Enrich ``orders`` and publish into ``processed_root``.
 
     ``run_dates`` (None = every date in the batch) scopes the partitions the
@@ -91,15 +93,19 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
     both feeds carry a date column ``_batch`` (the drop a row came in): a batch
     owns the rows of its own date only. ``on_duplicate_segments``: ``fail``
     (Q16 before the join) or ``keep_latest`` (W1 on user_id by
-    ``segment_date`` when present).
+    ``segment_date`` when present). ``segment_intervals`` (``operators.asof``)
+    instead of ``segments``: an order's segment is the one as of its batch date
+    (its process date without ``batch``).
     """
     dates = sorted({parse_run_date(d) for d in run_dates}) if run_dates else None
     by_batch = [BATCH] if batch else []
 
     # Q16 + broadcast licence: one small job over the pruned dimension.
-    segments = E.canonical_alias(segments, "user_segment")
-    prof = E.dimension_profile(segments)
-    if prof.duplicate_keys:
+    prof = None
+    if segment_intervals is None:
+        segments = E.canonical_alias(segments, "user_segment")
+        prof = E.dimension_profile(segments)
+    if prof is not None and prof.duplicate_keys:
         if on_duplicate_segments == "fail":
             raise GateError(f"segment dimension has {prof.duplicate_keys} duplicated user_id keys")
         order = ["segment_date desc"] if "segment_date" in segments.columns else []
@@ -109,26 +115,29 @@ def run_enrichment(spark: SparkSession, orders: DataFrame, events: DataFrame,
     work = scratch_dir(spark, "enrich")
     try:
         return _run(spark, orders, events, segments, prof, processed_root, dates, late_root, tie_breakers, dedup_events,
-                    approved, threshold, broadcast_limit, by_batch, hot_opts or {}, work)
+                    approved, threshold, broadcast_limit, by_batch, hot_opts or {}, work, segment_intervals)
     finally:
         sink.delete_path(spark, work)
 
 
-def _run(spark: SparkSession, orders: DataFrame, events: DataFrame, segments: DataFrame, prof: E.DimensionProfile,
+def _run(spark: SparkSession, orders: DataFrame, events: DataFrame, segments: DataFrame, prof: E.DimensionProfile | None,
          processed_root: str, dates: list[date] | None, late_root: str | None, tie_breakers: Sequence[str],
          dedup_events: bool, approved: Sequence[str], threshold: float, broadcast_limit: int, by_batch: list[str],
-         hot_opts: dict, work: str) -> RunResult:
+         hot_opts: dict, work: str, intervals: DataFrame | None) -> RunResult:
     """The run below its work folder, which the caller deletes."""
     agg = E.staged_summary(events, [*by_batch, "user_id"], dedup_events, path=f"{work}/events")
     events_prof = E.dimension_profile(agg, cols=[*by_batch, *E.EVENTS_AGG_COLS], check_unique=False)
-    do_broadcast, events_broadcast = E.broadcast_licence([prof, events_prof], broadcast_limit)
+    do_broadcast, events_broadcast = (E.broadcast_licence([prof, events_prof], broadcast_limit) if prof is not None
+                                      else (False, *E.broadcast_licence([events_prof], broadcast_limit)))
     hot = None if do_broadcast and events_broadcast else hot_keys(
         orders, "user_id", path=f"{work}/hot-keys", **hot_opts)
 
     # Q1 baseline: distinct keys of the input, one pruned pass.
     rows_in = orders.select(*by_batch, "order_id").distinct().count()
     deduped = E.latest_per_key(orders, [*by_batch, "order_id"], ["process_date desc"], tie_breakers)
-    enriched = E.enrich_orders(deduped, agg, segments, broadcast_segments=do_broadcast,
+    if intervals is not None:
+        deduped = asof.as_of_join(deduped, intervals, BATCH if by_batch else "process_date", hot=hot)
+    enriched = E.enrich_orders(deduped, agg, None if intervals is not None else segments, broadcast_segments=do_broadcast,
                                broadcast_events=events_broadcast, hot=hot,
                                events_on=[*by_batch, "user_id"])
     final = E.cast_and_select(E.apply_business_rules(enriched), [*approved, *by_batch])
@@ -184,22 +193,31 @@ def run_daily(spark: SparkSession, validated_root: str, processed_root: str,
 
 def run_range(spark: SparkSession, validated_root: str, processed_root: str,
               run_dates: Sequence[str | date], registry: str | None = None, **kw) -> RunResult:
-    """B2: several dates in one job, equal to their daily runs in order."""
-    from ..sources.files import dated_drops, read_dated, read_segments
+    """B2: several dates in one job, equal to their daily runs in order. Users
+    have the segments as of the run date, from the drops up to then, so a
+    replay gives what the day gave."""
+    from ..sources.files import dated_drops, read_dated, segment_drops
     dates = sorted({parse_run_date(d) for d in run_dates})
+    paths = None
     if registry is None:
         orders, events = (dated_drops(spark, validated_root, kind, dates) for kind in ("orders", "events"))
-        segments = None
     else:
         from ..operators.landing import manifest_paths
         orders, events = (manifest_paths(spark, registry, kind, dates) for kind in ("orders", "events"))
         segments = manifest_paths(spark, registry, "user_segments", None)
+        paths = sorted({p for drop in segments.values() for p in drop})
     dates = [d for d in dates if str(d) in orders]
-    if not dates or (registry is not None and not segments):
+    if not dates or (registry is not None and not paths):
         return RunResult("SKIPPED", notes=["no validated input"])
-    dim = read_segments(spark, validated_root, paths=segments and segments["latest"])
+    drops = segment_drops(spark, validated_root, paths, dates[0], dates[-1])
+    segments, intervals = drops[0][1] if drops else None, None
+    if not drops:                               # no drop held yet
+        segments = spark.createDataFrame([], "user_id string, user_segment string")
+    elif len(drops) > 1 or drops[0][0] > str(dates[0]):
+        asof.check_unique(drops)
+        segments, intervals = None, asof.segment_intervals(drops)
     return run_enrichment(
         spark, read_dated(spark, orders, dates, BATCH),
         E.canonical_alias(read_dated(spark, events, dates, BATCH, "event_id string, user_id string, event_type string"),
                           "event_type"),
-        dim, processed_root, run_dates=dates, batch=True, **kw)
+        segments, processed_root, run_dates=dates, batch=True, segment_intervals=intervals, **kw)

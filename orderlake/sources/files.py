@@ -7,6 +7,7 @@ with ``Observation`` during the single write job (see ``plans.daily``).
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,10 @@ from ..sinks.parquet import child_names
 from ..sinks.table_schema import read_table_schema
 
 
+# The date of segment drops that tell none.
+UNDATED = "0001-01-01"
+
+
 def read_orders(spark: SparkSession, root: str, run_date: str | date) -> DataFrame:
     """One day's orders file ``orders/orders_{date}.parquet``."""
     return spark.read.parquet(f"{root.rstrip('/')}/orders/orders_{run_date}.parquet")
@@ -80,6 +85,48 @@ def read_segments(spark: SparkSession, root: str, latest_only: bool = True,
     return out
 
 
+def segment_drops(spark: SparkSession, root: str, paths: list[str] | None = None, first: str | date | None = None,
+                  last: str | date | None = None) -> list[tuple[str, DataFrame]]:
+    """S3 over time: (date, user_id and user_segment) of the drops that held on
+    any day from ``first`` to ``last``, in order; a drop holds until the next.
+
+    A drop is an entry directly below ``segments/`` (or of ``paths``, the
+    landing manifest). Its date is the one in its name, or else the greatest
+    ``segment_date`` of its rows; drops with neither hold before all dated
+    ones, and of them the last by name counts. Each is read with its own
+    schema, a renamed column under its new name; drops that held before or
+    after the days asked for are not opened, where their names tell."""
+    base = f"{root.rstrip('/')}/segments"
+    by: dict[str, list[str]] = {}
+    if paths is None:
+        names = child_names(spark, base)
+        by = {"": [base]} if any(n.startswith("part-") for n in names) else {n: [f"{base}/{n}"] for n in names}
+    else:
+        for p in sorted(paths):
+            name = p.rsplit("/segments/", 1)[-1].split("/", 1)[0]
+            by.setdefault("" if name.startswith("part-") else name, []).append(p)
+    if not by:
+        raise FileNotFoundError(f"no segment drop below {base}")
+
+    def read(files: list[str]) -> DataFrame:
+        return canonical_alias(spark.read.option("recursiveFileLookup", "true").parquet(*files), "user_segment")
+    dated: dict[str, DataFrame] = {}
+    named = {n: m.group() for n in sorted(by) if (m := re.search(r"\d{4}-\d{2}-\d{2}", n))}
+    held = sorted(d for d in named.values() if first is None or d <= str(first))
+    for name in sorted(by):
+        day = named.get(name)
+        if day and ((held and day < held[-1]) or (last is not None and day > str(last))):
+            continue
+        df = read(by[name])
+        if day is None and "segment_date" in df.columns:
+            day = df.agg(F.max(F.col("segment_date").cast("date")).cast("string")).first()[0]
+        dated[day or UNDATED] = df
+    if first is not None:
+        before = [d for d in dated if d <= str(first)]
+        dated = {d: df for d, df in dated.items() if d not in before or d == max(before)}
+    return [(d, dated[d].select("user_id", "user_segment")) for d in sorted(dated) if last is None or d <= str(last)]
+
+
 def read_processed(spark: SparkSession, root: str) -> DataFrame:
     """processed/gold tables. The schema kept with the table is passed to
     the reader (no footer scan); columns that only some partitions have read

@@ -82,6 +82,25 @@ def test_range_equals_its_days_in_order(spark, tmp_root):
     assert ("W", JUN1, 3.5, 2, "gold") in days and ("Y", JUN1, 2.0, 0, "unclassified") in days and len(days) == 5
 
 
+def test_a_replay_takes_the_segments_of_its_day(spark, tmp_root):
+    """Each day has the drop of its time; a new drop leaves old days as they were."""
+    root, seg = f"{tmp_root}/validated", "user_id string, user_segment string"
+    for n, day in enumerate((JUN1, JUN2, JUN3)):
+        spark.createDataFrame([(f"{u}{n}", u, 1.0, "USD", day) for u in "UVW"], ORDER).coalesce(1).write.parquet(
+            f"{root}/orders/orders_{day}.parquet")
+    spark.createDataFrame([("U", "a"), ("V", "a"), ("W", "a")], seg).write.parquet(f"{root}/segments/2025-06-01")
+    spark.createDataFrame([("U", "b"), ("W", "a")], seg).write.parquet(f"{root}/segments/2025-06-03")
+    want = [(f"{u}{n}", "b" if (u, n) == ("U", 2) else "unclassified" if (u, n) == ("V", 2) else "a")
+            for u in "UVW" for n in range(3)]
+    for step in range(2):
+        for d in (JUN1, JUN2, JUN3):
+            run_daily(spark, root, f"{tmp_root}/days{step}", d)
+        run_range(spark, root, f"{tmp_root}/range{step}", [JUN1, JUN2, JUN3])
+        for kind in ("days", "range"):
+            assert _rows(spark, f"{tmp_root}/{kind}{step}", "order_id", "user_segment") == want
+        spark.createDataFrame([("U", "new")], seg).write.mode("overwrite").parquet(f"{root}/segments/2025-06-09")
+
+
 def test_segment_drops_with_different_columns(spark, tmp_root):
     _drops(spark, tmp_root)
     assert [tuple(r) for r in read_segments(spark, tmp_root).select("user_id", "user_segment").collect()] == [("U", "gold")]

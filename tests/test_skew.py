@@ -114,3 +114,42 @@ def test_row_gate_counts_are_exact_on_the_split_path(spark, tmp_root):
                          hot_opts={"fraction": 0.5, "partitions": 8})
     assert not res.broadcast_segments and not res.broadcast_events
     assert res.rows_in == o.count() and res.rows_out == o.count()
+
+
+def test_hot_lookup_rows_beyond_the_limit_are_replicated(spark):
+    """No lookup row may be broadcast: the join is the plain one, and no task
+    holds over twice the median of the hot key's rows."""
+    from orderlake.operators.joins import dealt, left_lookup_joins
+    o, lk = _orders(spark, 12000), _lookup(spark)
+    cols = [*o.columns, "event_count"]
+    hot = hot_keys(o, "user_id", fraction=0.5, partitions=8)
+    split = left_lookup_joins(o, [(lk, False)], "user_id", hot, hot_rows=0).select(*cols)
+    assert _rows(split) == _rows(o.join(lk, "user_id", "left").select(*cols))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        salts = dealt(o, "user_id", hot).where("user_id = 'U0'").groupBy("_deal").count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    counts = sorted(r["count"] for r in salts)
+    assert len(counts) == 8 and counts[-1] <= 2 * counts[4]
+
+
+def test_as_of_join_equals_a_plain_search(spark):
+    import random
+
+    from orderlake.operators.asof import as_of_join, segment_intervals
+    rng = random.Random(3)
+    days = [D + dt.timedelta(days=n) for n in (0, 1, 2, 2 + 1)]
+    told = [(str(d), {f"U{u}": rng.choice("ab") for u in range(0, 1001) if rng.random() < 0.7}) for d in days[:3]]
+    drops = [(d, spark.createDataFrame([*t.items(), (None, "x")], "user_id string, user_segment string")) for d, t in told]
+    intervals = segment_intervals(drops)
+    o = _orders(spark).withColumn("process_date", F.date_sub("process_date", 1))
+    hot = hot_keys(o, "user_id", fraction=0.5, partitions=8)
+    got = {r["order_id"]: r["user_segment"] for r in as_of_join(o, intervals, "process_date", hot=hot).collect()}
+    want = {}
+    for r in o.collect():
+        held = [t for d, t in told if d <= str(r["process_date"])]
+        want[r["order_id"]] = held[-1].get(r["user_id"]) if held else None
+    assert got == want and len(set(got.values())) == 3
+    assert intervals.count() < sum(len(t) for _, t in told)          # equal drops are one interval
