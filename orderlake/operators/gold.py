@@ -16,6 +16,7 @@ from ..sinks import parquet as sink
 from ..sinks.table_schema import check_schema
 from ..sources.files import read_partitions
 from .gates import GateError
+from .rollups import USED, Rollup, deltas
 
 
 def quality_filter(df: DataFrame, accepted: Sequence[str] = ACCEPTED_CURRENCIES) -> DataFrame:
@@ -96,7 +97,7 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
                  partition_col: str = "process_date",
                  preset: MergePreset = MODEL, run_ts: datetime | str | None = None,
                  cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
-                 check=None, rejects: str | None = None) -> MergeResult:
+                 check=None, rejects: str | None = None, rollup: Rollup | None = None) -> MergeResult:
     """Upsert ``source`` into the partitioned Parquet ``target``.
 
     1. The source is written once. Rows with a NULL key are not merged (H24):
@@ -114,6 +115,7 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
        rewritten); ``check(staged_frame)`` runs on them (data tests, contract)
        and may raise, so nothing failing is published; then they are
        published with dynamic overwrite, and the stages are deleted.
+    7. ``rollup`` takes the signed sums of the old and new rows that changed.
     """
     keys = list(keys)
     run_ts = str(run_ts) if run_ts is not None else None
@@ -151,23 +153,34 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
             # nothing to match: the staged source is published as it is
             if check is not None:
                 check(src)
+            if rollup is not None:
+                rollup.begin(spark, target, touched)
             sink.publish_partitions(spark, src, target, partition_col, cluster_by)
+            if rollup is not None:
+                rollup.apply(spark, deltas(src.withColumns({"_in_src": F.lit(True), "_old": F.lit(None).cast(
+                    "struct<user_segment:string,amount:double,event_count:int>")})), touched)
             return MergeResult(len(touched), rows, rejected, inserted=rows)
-        merged = _merged(src, tgt, keys, preset)
+        merged = _merged(src, tgt, keys, preset, rollup is not None)
         sink.write_stage(merged, stage_out)
-        out = spark.read.schema(merged.schema).parquet(stage_out)
+        staged = spark.read.schema(merged.schema).parquet(stage_out)
+        out = staged.drop("_matched", "_in_src", "_old")
         if check is not None:
-            check(out.drop("_matched"))
-        updated = out.where("_matched").count()
-        sink.publish_partitions(spark, out.drop("_matched"), target, partition_col, cluster_by)
+            check(out)
+        updated = staged.where("_matched").count()
+        if rollup is not None:
+            rollup.begin(spark, target, touched)
+        sink.publish_partitions(spark, out, target, partition_col, cluster_by)
+        if rollup is not None:
+            rollup.apply(spark, deltas(staged), touched)
         return MergeResult(len(touched), rows, rejected, inserted=rows - updated, updated=updated)
     finally:
         for path in (stage_src, stage_out):
             sink.delete_path(spark, path)
 
 
-def _merged(src: DataFrame, tgt: DataFrame, keys: list[str], preset: MergePreset) -> DataFrame:
-    """The outer join of step 4 and 5, with a ``_matched`` flag."""
+def _merged(src: DataFrame, tgt: DataFrame, keys: list[str], preset: MergePreset, with_old: bool = False) -> DataFrame:
+    """The outer join of step 4 and 5, with a ``_matched`` flag; ``with_old``
+    adds what a rollup needs of a replaced row."""
     j = src.withColumn("_in_src", F.lit(True)).alias("s").join(
         tgt.withColumn("_in_tgt", F.lit(True)).alias("t"), on=keys, how="full_outer")
     from_src = F.col("_in_src").isNotNull()
@@ -185,4 +198,7 @@ def _merged(src: DataFrame, tgt: DataFrame, keys: list[str], preset: MergePreset
             cols.append(F.when(matched, tc).when(from_src, sc).otherwise(tc).alias(c))
         else:
             cols.append(F.when(from_src, sc).otherwise(tc).alias(c))
+    if with_old:
+        cols += [F.coalesce(from_src, F.lit(False)).alias("_in_src"),
+                 F.when(matched, F.struct(*(F.col(f"t.{c}").alias(c) for c in USED))).alias("_old")]
     return j.select(*cols, matched.alias("_matched"))

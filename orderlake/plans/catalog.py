@@ -754,3 +754,6 @@ def landing_stream_q(spark, sf_dir):
                              f"{root}/checkpoint")
     q.awaitTermination()
     return _by_folder(spark.read.parquet(f"{root}/decisions"))
+
+
+from . import catalog_tables  # noqa: E402,F401 - registers its queries

@@ -95,3 +95,25 @@ def build_landing_zone(spark: SparkSession, sf_dir: str, raw_root: str) -> str:
     _jvm_write_bytes(spark, f"{raw_root}/events/corrupt/corrupt.parquet", b"not a parquet file")
     _jvm_write_bytes(spark, f"{raw_root}/orders/notes/readme.txt", b"ignored: not parquet")
     return raw_root
+
+
+def redrop_in_place(spark: SparkSession, staged: str, folder: str) -> int:
+    """Moves each file of ``staged`` (one in a folder) onto the file of the same
+    folder below ``folder``: new bytes under an old path. Renames only."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+
+    def files(root: str) -> dict:
+        fs = path(root).getFileSystem(conf)
+        found = {}
+        for d in fs.listStatus(path(root)):
+            if d.isDirectory():
+                found[d.getPath().getName()] = [f.getPath() for f in fs.listStatus(d.getPath())
+                                                if f.getPath().getName().endswith(".parquet")]
+        return found
+    old = files(folder)
+    for name, new in files(staged).items():
+        fs = new[0].getFileSystem(conf)
+        fs.delete(old[name][0], False)
+        fs.rename(new[0], old[name][0])
+    return len(old)
