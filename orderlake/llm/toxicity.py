@@ -7,12 +7,13 @@ words, and word beginnings of four to eight letters, that toxic texts hold far
 more often than others, each with its log odds as weight. Trees (Spark ML) are fitted on most of the training
 sample, the isotonic map from tree probability to score on the rest.
 
-At most ``sample`` labelled rows are fitted on, half of them toxic where
-there are enough, chosen by a hash of the id. Near copies of one label count
-once in the lexicon: rows with equal least hashes in ``_KEY`` shingle orders whose
-estimated similarity to the group's first member is ``_ALIKE`` or more. Trees and the
-calibration see all rows of the sample, copies too, as scores are shares of
-rows. Every text is scored whole.
+At most ``sample`` distinct labelled texts are fitted on, half of them toxic
+where there are enough, those with the least draws by a hash of the text; a
+text is toxic if any row of it is. Near copies of one label count once in the
+lexicon: texts with equal least hashes in ``_KEY`` shingle orders whose
+estimated similarity to the group's first member is ``_ALIKE`` or more. Trees
+and the calibration see every text of the sample once, so scores are shares of
+distinct texts. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -204,19 +205,22 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col
              .groupBy(F.col(id_col).alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("label")))
     known = written(known, "toxicity-labels")
     rows = docs.where(train & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-    ids = written(rows.select("_id").join(known, "_id"), "toxicity-ids")
-    count = {r["label"]: r["n"] for r in ids.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+        F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    texts = written(rows.select("_id", "h").join(known, "_id").groupBy("h").agg(F.max("label").alias("label")), "toxicity-ids")
+    count = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(count.values())
     base = count.get(1, 0) / total if total else 0.0
     if len(count) < 2:
         return Model(Lexicon(), None, None, base)
     half = min(count[1], sample // 2)
-    rate = {1: half / count[1], 0: min(1.0, (sample - half) / count[0])}
-    draw = F.shiftrightunsigned(F.xxhash64("_id", F.lit(6)), 11) / float(1 << 53)
-    want = ids.distinct().where(draw < F.when(F.col("label") == 1, rate[1]).otherwise(rate[0]))
-    picked = written(rows.join(F.broadcast(want), "_id").select("label", "text", draw.alias("draw")),
-                     "toxicity-sample")
+    most = {1: half, 0: min(count[0], sample - half)}
+    rate = {label: n / count[label] for label, n in most.items()}
+    draw = F.xxhash64("h", F.lit(6))
+    want = texts.where("label = 1").orderBy(draw, "h").limit(most[1]).unionByName(
+        texts.where("label = 0").orderBy(draw, "h").limit(most[0]))
+    # at most ``sample`` texts, each once: copies end in the map-side part
+    picked = written(rows.join(F.broadcast(want), "h").groupBy("h").agg(
+        F.first("label").alias("label"), F.first("text").alias("text")), "toxicity-sample")
     lexicon = learn_lexicon(picked)
     of = _features_udf(docs.sparkSession.sparkContext.broadcast(lexicon))
     rows = written(picked.select(F.col("label").cast("double").alias("label"), of("text").alias("f"),
@@ -259,7 +263,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, train: Column, id_col: str = "d
     label 1, 0 to 1.
 
     Labels are joined by id and learned from where ``train`` holds; an id that
-    repeats in ``labels`` is toxic if any of its rows is. Null ids and labels
+    repeats in ``labels`` is toxic if any of its rows is, and so is a text. Null ids and labels
     teach nothing. A null, empty or wordless text has all features zero and is
     scored like any other. All rows and columns of ``docs`` stay; take a
     ``result`` name it does not have.

@@ -185,3 +185,49 @@ def test_shared_passage_is_no_near_copy(spark):
     got = [(r["label"], [t for t in r["terms"] if t.startswith("own") and len(t) == 4 and "*" not in t])
            for r in toxicity.without_near_copies(train).collect()]
     assert sorted(got) == sorted([(i % 2, ["own" + "abcdefghijkl"[i]]) for i in range(12)] + [(1, ["owna"])])
+
+
+def test_toxicity_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """One id with very many texts, one text with very many ids: at most
+    ``sample`` texts, each once, and a text with both labels is toxic."""
+    rng = random.Random(12)
+    rows = [(1, _text(rng, "en", 20)) for _ in range(400)] + [(i, "all the same toxic text moron") for i in range(2000, 2300)]
+    rows += [(i, _text(rng, "de", 20) + " scum" * (i % 2)) for i in range(3000, 3200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame([(i, int(i % 2)) for i in {r[0] for r in rows}], "doc_id long, toxic int")
+    seen, written = {}, toxicity.written
+
+    def kept(df, name):
+        seen[name] = written(df, name)
+        return seen[name]
+    monkeypatch.setattr(toxicity, "written", kept)
+    toxicity.fit(docs, marks, F.lit(True), "doc_id", "text", "toxic", sample=60, trees=2, depth=2)
+    sample = seen["toxicity-sample"].collect()
+    assert len(sample) == 60 == len({r["text"] for r in sample}) and sum(r["label"] for r in sample) == 30
+    texts = {r["h"]: r["label"] for r in seen["toxicity-ids"].collect()}
+    assert len(texts) == 601 and sum(texts.values()) == 400 + 1 + 100
+    first = sorted(r["h"] for r in sample)
+    toxicity.fit(docs.repartition(7), marks, F.lit(True), "doc_id", "text", "toxic", sample=60, trees=2, depth=2)
+    assert sorted(r["h"] for r in seen["toxicity-sample"].collect()) == first
+
+
+def test_lexicon_equals_a_plain_count(spark):
+    import math
+    rng = random.Random(13)
+    rows = [(1, _text(rng, "en", 30) + " moron stays") for _ in range(40)] + [(0, _text(rng, "en", 30) + " stays") for _ in range(160)]
+    rows += [(1, _text(rng, "fr", 30) + " vequa") for _ in range(12)] + [(0, "moron " + _text(rng, "fr", 30))]
+    train = spark.createDataFrame(rows, "label int, text string").repartition(3)
+    n = {0: 161, 1: 52}
+    seen = {}
+    for label, text in rows:
+        words = set(toxicity._LETTERS.findall(text.lower()))
+        for term in words | {f"{w[:k]}*" for w in words for k in toxicity.STEMS if len(w) >= k}:
+            seen.setdefault(term, [0, 0])[label] += 1
+    want = {}
+    for term, (c, t) in seen.items():
+        part = n[1] / (n[0] + n[1])
+        g = 2 * ((t * math.log(t / ((t + c) * part)) if t else 0) + (c * math.log(c / ((t + c) * (1 - part))) if c else 0))
+        if t >= max(4, 0.01 * n[1]) and t / n[1] >= 6 * (c + 0.5) / n[0] and g >= 16:
+            want[term] = math.log((t + 0.5) / (n[1] + 1)) - math.log((c + 0.5) / (n[0] + 1))
+    got = toxicity.learn_lexicon(train).weights
+    assert got == pytest.approx(want) and {"moron", "moro*", "vequa"} <= set(got) and "stays" not in got
