@@ -49,7 +49,7 @@ def guarded_read(spark: SparkSession, root: str, start: str | date | Column,
         raise PartitionFilterRequired(f"a range of {(b - a).days + 1} days is no filter (limit {max_days})")
     inside = [d for d in days if str(a) <= d <= str(b)]
     if 2 * len(inside) <= len(days):
-        return read_partitions(spark, root, partition_col, inside)
+        return read_partitions(spark, root, partition_col, inside, listed=True)
     return read_processed(spark, root).where(F.col(partition_col).between(F.lit(str(a)).cast("date"), F.lit(str(b)).cast("date")))
 
 

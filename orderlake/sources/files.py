@@ -139,17 +139,17 @@ def read_processed(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_partitions(spark: SparkSession, root: str, partition_col: str,
-                    values, merge_schema: bool = True, none_if_missing: bool = False):
+                    values, merge_schema: bool = True, none_if_missing: bool = False, listed: bool = False):
     """Read only the named partition folders (``basePath`` keeps the column).
 
     The folders' names come from one listing of the table root; only the
     named folders are listed further, and only their files opened, so the
     cost follows the days asked for. Days without a folder are simply absent.
-    When no folder matches: ``None`` if ``none_if_missing``, else an empty
+    ``listed``: the values come from such a listing. When no folder matches: ``None`` if ``none_if_missing``, else an empty
     frame with the table's schema (one footer read, no merge)."""
     root = root.rstrip("/")
-    there = set(child_names(spark, root))
-    vals = [v for v in sorted({str(v) for v in values}) if f"{partition_col}={v}" in there]
+    there = None if listed else set(child_names(spark, root))
+    vals = [v for v in sorted({str(v) for v in values}) if listed or f"{partition_col}={v}" in there]
     schema = read_table_schema(spark, root)
     r = spark.read.option("basePath", root)
     r = r.schema(schema) if schema is not None else r.option("mergeSchema", str(merge_schema).lower())
