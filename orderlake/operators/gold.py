@@ -16,6 +16,7 @@ from ..sinks import parquet as sink
 from ..sinks.table_schema import check_schema
 from ..sources.files import read_partitions
 from .gates import GateError
+from .key_index import KeyIndex
 from .rollups import USED, Rollup, deltas
 
 
@@ -97,7 +98,8 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
                  partition_col: str = "process_date",
                  preset: MergePreset = MODEL, run_ts: datetime | str | None = None,
                  cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
-                 check=None, rejects: str | None = None, rollup: Rollup | None = None) -> MergeResult:
+                 check=None, rejects: str | None = None, rollup: Rollup | None = None,
+                 index: KeyIndex | None = None) -> MergeResult:
     """Upsert ``source`` into the partitioned Parquet ``target``.
 
     1. The source is written once. Rows with a NULL key are not merged (H24):
@@ -115,7 +117,8 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
        rewritten); ``check(staged_frame)`` runs on them (data tests, contract)
        and may raise, so nothing failing is published; then they are
        published with dynamic overwrite, and the stages are deleted.
-    7. ``rollup`` takes the signed sums of the old and new rows that changed.
+    7. ``rollup`` takes the signed sums of the old and new rows that changed,
+       ``index`` the keys of the touched days.
     """
     keys = list(keys)
     run_ts = str(run_ts) if run_ts is not None else None
@@ -155,7 +158,10 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
                 check(src)
             if rollup is not None:
                 rollup.begin(spark, target, touched)
+            kept = index.begin(spark, touched) if index is not None else None
             sink.publish_partitions(spark, src, target, partition_col, cluster_by)
+            if index is not None:
+                index.finish(spark, target, touched, kept)
             if rollup is not None:
                 rollup.apply(spark, deltas(src.withColumns({"_in_src": F.lit(True), "_old": F.lit(None).cast(
                     "struct<user_segment:string,amount:double,event_count:int>")})), touched)
@@ -169,7 +175,10 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
         updated = staged.where("_matched").count()
         if rollup is not None:
             rollup.begin(spark, target, touched)
+        kept = index.begin(spark, touched) if index is not None else None
         sink.publish_partitions(spark, out, target, partition_col, cluster_by)
+        if index is not None:
+            index.finish(spark, target, touched, kept)
         if rollup is not None:
             rollup.apply(spark, deltas(staged), touched)
         return MergeResult(len(touched), rows, rejected, inserted=rows - updated, updated=updated)

@@ -9,6 +9,7 @@ from ..operators import asof, bitmaps, checksums, rollups
 from ..operators import enrichment as E
 from ..operators import gold as GD
 from ..operators import landing as LG
+from ..operators.key_index import KeyIndex
 from ..session import scratch_dir
 from ..sources import feeds
 from ..sources.files import read_processed
@@ -187,3 +188,19 @@ def audit_differences(spark, sf_dir):
     copy.write.parquet(f"{root}/copy")
     columns = ["order_id", "user_id", "amount", "currency", "process_date"]
     return checksums.differences(source, spark.read.parquet(f"{root}/copy"), "order_id", "process_date", columns)
+
+
+@register("cross_day_duplicates", with_ctes("""
+SELECT order_id, process_date FROM gold WHERE CAST(order_id AS BIGINT) % 13 = 4""", _DEDUP_CTE))
+def cross_day_duplicates(spark, sf_dir):
+    """The orders of a batch that days of the gold table hold already,
+    found through the days' Bloom filters. The batch sends every thirteenth
+    order again on a day of its own and brings as many new ones."""
+    root = scratch_dir(spark, "key-index-query")
+    lake = L.lake(spark, sf_dir)
+    gold = read_processed(spark, lake.gold)
+    index = KeyIndex(f"{root}/index")
+    index.rebuild(spark, lake.gold, [r[0] for r in gold.select("process_date").distinct().collect()])
+    again = gold.where(F.col("order_id").cast("long") % 13 == 4).select("order_id")
+    batch = again.unionByName(again.select(F.concat(F.lit("N"), "order_id").alias("order_id")))
+    return index.held_elsewhere(lake.gold, batch)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import gates as G
 from ..operators.gold import (MODEL, SCRIPT, MergePreset, MergeResult, gold_model, merge_upsert,
                               quality_rejects, script_projection)
+from ..operators.key_index import KeyIndex
 from ..sinks.parquet import path_exists, write_replace
 from ..sources.files import read_partitions, read_processed
 from .daily import parse_run_date
@@ -41,13 +42,15 @@ def gold_checks(df: DataFrame) -> None:
 def run_warehouse(spark: SparkSession, processed_root: str, staging_root: str,
                   gold_root: str, run_date: str | date, run_ts: datetime | str,
                   preset: MergePreset = MODEL, run_tests: bool = True, step: str = "all",
-                  unique_scope: str = "table", rejects_root: str | None = None) -> WarehouseRun:
+                  unique_scope: str = "table", rejects_root: str | None = None,
+                  index: KeyIndex | None = None) -> WarehouseRun:
     """K3: replace staging with the run date's processed partition (S7),
     then merge it into gold (model or script preset).
 
     ``step`` is ``load``, ``merge`` or ``all``. The unique test covers the whole
     table (Q9: an order that already lies in another day fails the run), or
-    with ``unique_scope="touched"`` the run's day. Rows that fail P12 and rows
+    with ``unique_scope="touched"`` the run's day; with ``index`` only the days
+    that may hold an order of the run are opened for it. Rows that fail P12 and rows
     with a NULL merge key go to ``rejects_root`` with a reason, if named, and
     are counted always."""
     if step not in ("load", "merge", "all"):
@@ -78,9 +81,10 @@ def run_warehouse(spark: SparkSession, processed_root: str, staging_root: str,
         def check(merged):
             gold_checks(merged)
             if unique_scope == "table" and path_exists(spark, gold_root):
-                again = G.cross_day_duplicates(read_processed(spark, gold_root), merged)
+                again = (G.cross_day_duplicates(read_processed(spark, gold_root), merged) if index is None else
+                         index.held_elsewhere(gold_root, merged, but=[d]).select(index.key).distinct().count())
                 if again:
                     raise G.GateError(f"data tests failed: unique_order_id={again} (orders of other days)")
     res = merge_upsert(spark, gold_root, source, preset=preset, run_ts=run_ts,
-                       check=check if run_tests else None, rejects=rejects_root)
+                       check=check if run_tests else None, rejects=rejects_root, index=index)
     return WarehouseRun("MERGED", rows, res, rejected)
