@@ -24,7 +24,7 @@ def plain(rows, limit):
     return out
 
 
-@pytest.mark.parametrize("limit, step", [(500, 12), (60, 2), (10**9, 12)])
+@pytest.mark.parametrize("limit, step", [(500, 12), (60, 2), (49, 12), (10**9, 12)])
 def test_equals_bit_by_bit_splits(spark, limit, step):
     rows = [(i, (i * 37) % 50 if i % 11 else None) for i in range(300)] + [(None, 5)]
     table = spark.createDataFrame([(*r, "x") for r in rows], "id long, size long, shard0 string")
@@ -50,3 +50,20 @@ def test_larger_row_and_empty_table(spark):
     assert sharding.assign(table.where("id > 5"), F.col("id"), F.col("n"), 100).count() == 0
     with pytest.raises(ValueError):
         sharding.assign(table, F.col("id"), F.col("n"), 0)
+
+
+@pytest.mark.parametrize("bits", [2, 3, 5])
+def test_pages_of_any_size_give_the_same(spark, monkeypatch, bits):
+    """Buckets that stay beside buckets that split deep, over several pages."""
+    rows = [(i, 40 if i < 30 else 1) for i in range(400)]
+    table = spark.createDataFrame(rows, "id long, size long")
+    monkeypatch.setattr(sharding, "PAGE_BITS", bits)
+    got = sharding.assign(table, F.col("id"), F.col("size"), 45, step=3)
+    assert {r["id"]: (r["depth"], int(r["shard"].split(":")[1])) for r in got.collect()} == plain(rows, 45)
+
+
+def test_null_sizes_and_repeated_rows(spark):
+    table = spark.createDataFrame([(None, None)] * 5 + [(1, None), (1, 3), (1, 3)], "id long, n long")
+    got = sharding.assign(table, F.col("id"), F.col("n"), 3)
+    assert got.count() == 8
+    assert max(r["s"] for r in got.groupBy("shard").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("s")).collect()) <= 3
