@@ -13,6 +13,7 @@ from ..functions.columns import amount_fault, amount_ok, event_list
 from ..schemas import ACCEPTED_CURRENCIES, UNCLASSIFIED_SEGMENT
 from ..session import scratch_dir
 from ..sinks import parquet as sink
+from ..sinks.layout import Layout
 from ..sinks.table_schema import check_schema
 from ..sources.files import read_partitions
 from .gates import GateError
@@ -99,7 +100,7 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
                  preset: MergePreset = MODEL, run_ts: datetime | str | None = None,
                  cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
                  check=None, rejects: str | None = None, rollup: Rollup | None = None,
-                 index: KeyIndex | None = None) -> MergeResult:
+                 index: KeyIndex | None = None, layout: Layout | None = None) -> MergeResult:
     """Upsert ``source`` into the partitioned Parquet ``target``.
 
     1. The source is written once. Rows with a NULL key are not merged (H24):
@@ -118,7 +119,8 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
        and may raise, so nothing failing is published; then they are
        published with dynamic overwrite, and the stages are deleted.
     7. ``rollup`` takes the signed sums of the old and new rows that changed,
-       ``index`` the keys of the touched days.
+       ``index`` the keys of the touched days. ``layout`` places the rows
+       along its curve instead of by ``cluster_by``.
     """
     keys = list(keys)
     run_ts = str(run_ts) if run_ts is not None else None
@@ -159,7 +161,7 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
             if rollup is not None:
                 rollup.begin(spark, target, touched)
             kept = index.begin(spark, touched) if index is not None else None
-            sink.publish_partitions(spark, src, target, partition_col, cluster_by)
+            sink.publish_partitions(spark, src, target, partition_col, cluster_by, layout=layout)
             if index is not None:
                 index.finish(spark, target, touched, kept)
             if rollup is not None:
@@ -176,7 +178,7 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
         if rollup is not None:
             rollup.begin(spark, target, touched)
         kept = index.begin(spark, touched) if index is not None else None
-        sink.publish_partitions(spark, out, target, partition_col, cluster_by)
+        sink.publish_partitions(spark, out, target, partition_col, cluster_by, layout=layout)
         if index is not None:
             index.finish(spark, target, touched, kept)
         if rollup is not None:

@@ -9,8 +9,10 @@ from ..operators import asof, bitmaps, checksums, rollups
 from ..operators import enrichment as E
 from ..operators import gold as GD
 from ..operators import landing as LG
+from ..operators import marts as M
 from ..operators.key_index import KeyIndex
 from ..session import scratch_dir
+from ..sinks.layout import Layout
 from ..sources import feeds
 from ..sources.files import read_processed
 from . import lakehouse as L
@@ -204,3 +206,31 @@ def cross_day_duplicates(spark, sf_dir):
     again = gold.where(F.col("order_id").cast("long") % 13 == 4).select("order_id")
     batch = again.unionByName(again.select(F.concat(F.lit("N"), "order_id").alias("order_id")))
     return index.held_elsewhere(lake.gold, batch)
+
+
+_PICKED = "SELECT {} AS v FROM monthly WHERE user_segment <> 'unclassified'"
+
+
+@register("clustered_lookups", with_ctes(f"""
+SELECT 'order' AS lookup, * FROM monthly WHERE order_id = ({_PICKED.format("max(order_id)")})
+UNION ALL SELECT 'user', * FROM monthly WHERE user_id = ({_PICKED.format("min(user_id)")})
+UNION ALL SELECT 'segment', * FROM monthly WHERE user_segment = ({_PICKED.format("max(user_segment)")})""", _DEDUP_CTE + """,
+monthly AS (SELECT order_id, user_id, amount, currency, CAST(date_trunc('month', process_date) AS DATE) AS process_date,
+                   user_segment, event_count FROM gold)"""))
+def clustered_lookups(spark, sf_dir):
+    """An order, a user and a segment looked up in a gold table by
+    month whose rows lie along the interleaved curve of segment and user, with
+    Bloom filters on the order id."""
+    root = scratch_dir(spark, "clustered-query")
+    orders, events, segments = _inputs(spark, sf_dir)
+    _, enriched = E.enrich_daily(orders, events, segments)
+    rows = GD.gold_model(enriched.withColumn("process_date", F.trunc("process_date", "month")), L.RUN_TS)
+    GD.merge_upsert(spark, f"{root}/gold", rows, layout=Layout())
+    gold = read_processed(spark, f"{root}/gold").select(
+        "order_id", "user_id", "amount", "currency", "process_date", "user_segment", "event_count")
+    picked = gold.where("user_segment <> 'unclassified'").agg(
+        F.max("order_id").alias("o"), F.min("user_id").alias("u"), F.max("user_segment").alias("s")).first()
+    found = {"order": M.order_lookup(gold, [picked["o"]]), "user": M.segment_user_lookup(gold, user_id=picked["u"]),
+             "segment": M.segment_user_lookup(gold, segment=picked["s"])}
+    parts = [df.select(F.lit(name).alias("lookup"), *gold.columns) for name, df in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

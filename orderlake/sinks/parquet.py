@@ -9,12 +9,13 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .layout import Layout
 from .table_schema import update_table_schema
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_date",
                       cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
-                      max_records_per_file: int | None = None) -> None:
+                      max_records_per_file: int | None = None, layout: Layout | None = None) -> None:
     """K1/K2/K9: Snappy Parquet, one folder per ``partition_col`` value; only
     the partitions present in ``df`` are replaced (dynamic overwrite).
 
@@ -24,10 +25,16 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "process_da
     Parquet min/max statistics on the cluster columns let readers skip row
     groups. Range boundaries come from a sample of ``df``: pass a staged
     (already materialised) frame so the sample does not recompute joins.
+    A ``layout`` replaces the sort on the cluster columns by its curve.
     """
-    out = spread_by_range(df, partition_col, cluster_by)
+    if layout is None:
+        out = spread_by_range(df, partition_col, cluster_by)
+    else:
+        out = spread_by_range(df.withColumn("_curve", layout.place(df)), partition_col, ("_curve",)).drop("_curve")
     w = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "snappy"))
+    if layout is not None:
+        w = w.options(**layout.options(df.columns))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     update_table_schema(df.sparkSession, path, df.schema)  # first: a reader never misses a column
@@ -91,7 +98,7 @@ def delete_partitions(spark: SparkSession, root: str, partition_col: str,
 def publish_partitions(spark: SparkSession, staged_path: str | DataFrame, target: str,
                        partition_col: str = "process_date",
                        cluster_by: Sequence[str] | None = ("user_segment", "user_id"),
-                       run_values: Iterable | None = None) -> None:
+                       run_values: Iterable | None = None, layout: Layout | None = None) -> None:
     """Copy a staged result into ``target`` with dynamic overwrite; run
     partitions that ended up empty are deleted (H8)."""
     staged = (staged_path if isinstance(staged_path, DataFrame)
@@ -102,7 +109,7 @@ def publish_partitions(spark: SparkSession, staged_path: str | DataFrame, target
                           [v for v in run_values if v not in present])
         if not present:
             return
-    write_partitioned(staged, target, partition_col, cluster_by)
+    write_partitioned(staged, target, partition_col, cluster_by, layout=layout)
 
 
 def child_names(spark: SparkSession, root: str) -> list[str]:
