@@ -135,6 +135,15 @@ def distinct_users_range(spark, sf_dir):
     return bitmaps.distinct_in_ranges(table, ranges)
 
 
+def _monthly_gold(spark, sf_dir, root):
+    """Gold rows with the month as their day, written once."""
+    orders, events, segments = _inputs(spark, sf_dir)
+    _, enriched = E.enrich_daily(orders, events, segments)
+    rows = GD.gold_model(enriched.withColumn("process_date", F.trunc("process_date", "month")), L.RUN_TS)
+    rows.write.parquet(f"{root}/rows")
+    return spark.read.parquet(f"{root}/rows")
+
+
 @register("rollup_after_merge", with_ctes("""
 SELECT process_date, user_segment, count(*) AS order_count,
        CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue, CAST(SUM(event_count) AS BIGINT) AS total_events
@@ -149,12 +158,7 @@ def rollup_after_merge(spark, sf_dir):
     amounts and segments, a late merge of new orders, and the corrections once
     more; only signed sums of changed rows were added to it."""
     root = scratch_dir(spark, "rollup-query")
-    orders, events, segments = _inputs(spark, sf_dir)
-    _, enriched = E.enrich_daily(orders, events, segments)
-    rows = GD.gold_model(enriched.withColumn("process_date", F.trunc("process_date", "month")), L.RUN_TS)
-    stage = f"{root}/rows"
-    rows.write.parquet(stage)
-    rows = spark.read.parquet(stage)
+    rows = _monthly_gold(spark, sf_dir, root)
     key = F.col("order_id").cast("long")
     corrected = rows.where(key % 7 == 0).withColumns({
         "amount": F.col("amount") + 1, "user_segment": F.when(key % 14 == 0, "moved").otherwise(F.col("user_segment"))})
@@ -193,19 +197,21 @@ def audit_differences(spark, sf_dir):
 
 
 @register("cross_day_duplicates", with_ctes("""
-SELECT order_id, process_date FROM gold WHERE CAST(order_id AS BIGINT) % 13 = 4""", _DEDUP_CTE))
+SELECT order_id, CAST(date_trunc('month', process_date) AS DATE) AS process_date FROM gold
+WHERE CAST(order_id AS BIGINT) % 13 = 4""", _DEDUP_CTE))
 def cross_day_duplicates(spark, sf_dir):
-    """The orders of a batch that days of the gold table hold already,
-    found through the days' Bloom filters. The batch sends every thirteenth
-    order again on a day of its own and brings as many new ones."""
+    """The orders of a batch that days of a gold table hold already,
+    found through the days' Bloom filters that two merges have kept. The batch
+    sends every thirteenth order again and brings as many new ones."""
     root = scratch_dir(spark, "key-index-query")
-    lake = L.lake(spark, sf_dir)
-    gold = read_processed(spark, lake.gold)
-    index = KeyIndex(f"{root}/index")
-    index.rebuild(spark, lake.gold, [r[0] for r in gold.select("process_date").distinct().collect()])
-    again = gold.where(F.col("order_id").cast("long") % 13 == 4).select("order_id")
+    rows = _monthly_gold(spark, sf_dir, root)
+    gold, index = f"{root}/gold", KeyIndex(f"{root}/index")
+    early = F.year("process_date") < 1995
+    for part in (rows.where(early), rows.where(~early)):
+        GD.merge_upsert(spark, gold, part, index=index)
+    again = rows.where(F.col("order_id").cast("long") % 13 == 4).select("order_id")
     batch = again.unionByName(again.select(F.concat(F.lit("N"), "order_id").alias("order_id")))
-    return index.held_elsewhere(lake.gold, batch)
+    return index.held_elsewhere(gold, batch)
 
 
 _PICKED = "SELECT {} AS v FROM monthly WHERE user_segment <> 'unclassified'"
@@ -222,10 +228,7 @@ def clustered_lookups(spark, sf_dir):
     month whose rows lie along the interleaved curve of segment and user, with
     Bloom filters on the order id."""
     root = scratch_dir(spark, "clustered-query")
-    orders, events, segments = _inputs(spark, sf_dir)
-    _, enriched = E.enrich_daily(orders, events, segments)
-    rows = GD.gold_model(enriched.withColumn("process_date", F.trunc("process_date", "month")), L.RUN_TS)
-    GD.merge_upsert(spark, f"{root}/gold", rows, layout=Layout())
+    GD.merge_upsert(spark, f"{root}/gold", _monthly_gold(spark, sf_dir, root), layout=Layout())
     gold = read_processed(spark, f"{root}/gold").select(
         "order_id", "user_id", "amount", "currency", "process_date", "user_segment", "event_count")
     picked = gold.where("user_segment <> 'unclassified'").agg(
