@@ -4,7 +4,7 @@
     python -m orderlake daily     --date D [--end E] --validated V --processed P [--registry G] [--late L]
     python -m orderlake late      --late L --processed P [--gold G]
     python -m orderlake warehouse --date D --processed P --staging S --gold G [--preset script]
-                                  [--step load|merge|all] [--unique-scope touched]
+                                  [--step load|merge|all] [--unique-scope touched] [--key-index]
     python -m orderlake history   --csv C --out O [--rejects R] [--start A --end B]
     python -m orderlake audit     --csv C --target O --date D [--reports R]
 
@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--preset", choices=["model", "script"], default="model")
     p.add_argument("--step", choices=["load", "merge", "all"], default="all")
     p.add_argument("--unique-scope", choices=["table", "touched"], default="table")
+    p.add_argument("--key-index", action="store_true", help="keep Bloom filters of the days' orders with the gold table")
     p.add_argument("--rejects")
     p.add_argument("--run-ts")
     p = sub.add_parser("history")
@@ -106,10 +107,12 @@ def main(argv: list[str] | None = None) -> int:
                       if x for f in ("inserted", "updated", "rejected_null_keys")}}
         elif args.cmd == "warehouse":
             from .operators.gold import MODEL, SCRIPT
+            from .operators.key_index import of_table
             from .plans.warehouse import run_warehouse
             w = run_warehouse(spark, args.processed, args.staging, args.gold, args.date,
                               _ts(args.run_ts), SCRIPT if args.preset == "script" else MODEL,
-                              step=args.step, unique_scope=args.unique_scope, rejects_root=args.rejects)
+                              step=args.step, unique_scope=args.unique_scope, rejects_root=args.rejects,
+                              index=of_table(spark, args.gold, create=args.key_index))
             out = {"status": w.status, "staged_rows": w.staged_rows, "rejected_rows": w.rejected,
                    **({f: getattr(w.merge, f) for f in ("touched_partitions", "inserted", "updated",
                                                         "rejected_null_keys")} if w.merge else {})}

@@ -17,7 +17,7 @@ from ..sinks.layout import Layout
 from ..sinks.table_schema import check_schema
 from ..sources.files import read_partitions
 from .gates import GateError
-from .key_index import KeyIndex
+from .key_index import KeyIndex, of_table
 from .rollups import USED, Rollup, deltas
 
 
@@ -119,10 +119,11 @@ def merge_upsert(spark: SparkSession, target: str, source: DataFrame,
        and may raise, so nothing failing is published; then they are
        published with dynamic overwrite, and the stages are deleted.
     7. ``rollup`` takes the signed sums of the old and new rows that changed,
-       ``index`` the keys of the touched days. ``layout`` places the rows
+       ``index`` (or the one kept with the table) the keys of the touched days. ``layout`` places the rows
        along its curve instead of by ``cluster_by``.
     """
     keys = list(keys)
+    index = index or of_table(spark, target)
     run_ts = str(run_ts) if run_ts is not None else None
     null_key = F.lit(False)
     for k in keys:

@@ -9,7 +9,9 @@ whose bits are all set come out, so candidates are never paired with days as row
 
 The index is partitioned by month. A merge takes its months out of the index
 before it publishes and puts them back afterwards; days that the index lacks
-(a merge that died, a day without keys) may hold any key.
+(a merge that died, a day without keys) may hold any key. Every merge of the table
+must keep the index; one that lies in the table's ``_key_index`` folder is kept
+by all merges without being named.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ BLOCK_BITS = 32_768
 CHUNK_KEYS, CHUNKS_PER_KEY = 4_096, 64
 
 
+#: Where an index lies that is kept with its table; readers of the table skip it.
+FOLDER = "_key_index"
+
+
 def _block(key: Column, depth: Column) -> Column:
     """The leading ``depth`` bits of the key's hash."""
     shifted = F.call_function("shiftrightunsigned", F.xxhash64(key), (F.lit(64) - depth).cast("int"))
@@ -181,3 +187,10 @@ class KeyIndex:
         days = self.days_to_open(table, candidates, but)
         rows = read_partitions(spark, table, self.day, days, listed=True).select(self.day, self.key)
         return rows.join(candidates.select(self.key).distinct(), self.key, "left_semi").select(self.day, self.key).distinct()
+
+
+def of_table(spark: SparkSession, table: str, create: bool = False) -> KeyIndex | None:
+    """The index kept with a table, None where there is none. ``create``: the
+    index to start one with; days from before are opened until ``rebuild``."""
+    root = f"{table.rstrip('/')}/{FOLDER}"
+    return KeyIndex(root) if create or sink.path_exists(spark, root) else None

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import gates as G
 from ..operators.gold import (MODEL, SCRIPT, MergePreset, MergeResult, gold_model, merge_upsert,
                               quality_rejects, script_projection)
-from ..operators.key_index import KeyIndex
+from ..operators.key_index import KeyIndex, of_table
 from ..sinks.parquet import path_exists, write_replace
 from ..sources.files import read_partitions, read_processed
 from .daily import parse_run_date
@@ -49,13 +49,14 @@ def run_warehouse(spark: SparkSession, processed_root: str, staging_root: str,
 
     ``step`` is ``load``, ``merge`` or ``all``. The unique test covers the whole
     table (Q9: an order that already lies in another day fails the run), or
-    with ``unique_scope="touched"`` the run's day; with ``index`` only the days
-    that may hold an order of the run are opened for it. Rows that fail P12 and rows
+    with ``unique_scope="touched"`` the run's day; with ``index``, or one
+    kept with the table, only the days that may hold an order of the run are opened for it. Rows that fail P12 and rows
     with a NULL merge key go to ``rejects_root`` with a reason, if named, and
     are counted always."""
     if step not in ("load", "merge", "all"):
         raise ValueError(f"step {step!r}: load, merge or all")
     d = parse_run_date(run_date)
+    index = index or of_table(spark, gold_root)
     if step in ("load", "all"):
         part = read_partitions(spark, processed_root, "process_date", [d], none_if_missing=True)
         if part is None:

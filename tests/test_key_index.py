@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from orderlake.operators import gold as GD
 from orderlake.operators import key_index
 from orderlake.operators.gates import GateError, cross_day_duplicates
-from orderlake.operators.key_index import KeyIndex
+from orderlake.operators.key_index import KeyIndex, of_table
 from orderlake.plans.warehouse import run_warehouse
 from orderlake.sinks import parquet as sink
 from orderlake.sources.files import read_processed
@@ -97,3 +97,13 @@ def test_warehouse_run_stops_on_an_order_of_another_day(spark, tmp_root):
     with pytest.raises(GateError, match="unique_order_id=1"):
         run(DAYS[4])
     assert run(DAYS[1]).status == "MERGED"
+
+
+def test_an_index_kept_with_the_table_is_kept_by_every_merge(spark, tmp_root):
+    gold = f"{tmp_root}/gold"
+    assert of_table(spark, gold) is None
+    GD.merge_upsert(spark, gold, spark.createDataFrame(_gold(DAYS[:2], 3), GOLD), index=of_table(spark, gold, create=True))
+    GD.merge_upsert(spark, gold, spark.createDataFrame(_gold(DAYS[1:3], 1, "x"), GOLD))       # names no index
+    index, new = of_table(spark, gold), _keys(spark, [f"x{DAYS[2]}/0"])
+    assert index.days_to_open(gold, new) == [str(DAYS[2])]
+    assert read_processed(spark, gold).count() == 8                                            # readers skip its folder
