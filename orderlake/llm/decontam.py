@@ -9,9 +9,11 @@ join. A document shingle that equals a prefix shingle proposes the window at
 one start; length and position bounds drop starts that stick out of the
 document, and the words are then compared.
 
-The benchmark is taken in blocks of bounded text, each broadcast as one index;
-every block is one pass over the documents that adds to the row's spans. No
-document is shuffled, so skew in the documents does not matter.
+The distinct texts of the benchmark are taken in blocks of bounded size, each
+broadcast as one index; every block is one pass over the documents that adds to
+the row's spans and found texts. No document is shuffled, so skew in the
+documents does not matter. Item ids are not broadcast: they are joined to the
+sets of found texts, which only contaminated rows have.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlake.llm.common import byte_texts, chained, fresh, hashed_words, small_batches
+from orderlake.llm.common import byte_texts, chained, fresh, hashed_words, small_batches, written
 
 SHINGLE = 3
+SALTS = 16
 _FILTER_BITS = 18
 
 
@@ -53,18 +56,18 @@ class _Lookup:
 
 
 class Windows:
-    """The distinct windows of a block of benchmark items."""
+    """The distinct windows of a block of (key, text) pairs of the benchmark."""
 
-    def __init__(self, items: list[tuple], window: int):
+    def __init__(self, texts: list[tuple[str, str]], window: int):
         owners: dict[bytes, set] = defaultdict(set)
-        for item_id, text in items:
-            low = (text or "").encode().lower()
+        for key, text in texts:
+            low = text.encode().lower()
             starts, ends, _ = hashed_words(low)
             words = [low[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             for i in range(max(1, len(words) - window + 1) if words else 0):
-                owners[b" ".join(words[i:i + window])].add("" if item_id is None else str(item_id))
+                owners[b" ".join(words[i:i + window])].add(key)
         self.texts = sorted(owners)
-        self.items = [sorted(owners[t]) for t in self.texts]
+        self.keys = [sorted(owners[t]) for t in self.texts]
         hashed = [hashed_words(t)[2] for t in self.texts]
         self.sizes = np.array([len(h) for h in hashed], dtype=np.int64)
         self.shingles = [chained(h, min(SHINGLE, len(h))) for h in hashed]
@@ -90,10 +93,10 @@ class Windows:
         self.shingles = self.by_size = None
 
     def hits(self, low: bytes):
-        """(spans [(first word, end word)], item ids, words) of one document."""
+        """(spans [(first word, end word)], keys of the texts found, words) of one document."""
         starts, ends, words = hashed_words(low)
         n = len(words)
-        spans, items = set(), set()
+        spans, keys = set(), set()
         for k, (lookup, first, window, place) in self.prefix.items():
             at, key = lookup.find(chained(words, k))
             if not len(at):
@@ -112,8 +115,8 @@ class Windows:
                     if b" ".join(low[a:b] for a, b in zip(starts[s:s + length].tolist(),
                                                          ends[s:s + length].tolist(), strict=True)) == self.texts[one]:
                         spans.add((s, s + length))
-                        items.update(self.items[one])
-        return spans, items, n
+                        keys.update(self.keys[one])
+        return spans, keys, n
 
 
 def _merged(spans) -> list[tuple[int, int]]:
@@ -153,7 +156,7 @@ def _counts(docs: DataFrame, text_col: str, windows) -> dict[tuple[int, int], in
 
 
 def _probe(windows):
-    kind = "struct<n_words: long, spans: array<array<bigint>>, items: array<string>>"
+    kind = "struct<n_words: long, spans: array<array<bigint>>, texts: array<string>>"
 
     @F.arrow_udf(kind)
     def probe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -164,8 +167,8 @@ def _probe(windows):
             yield pa.StructArray.from_arrays(
                 [pa.array([n for _, _, n in got], pa.int64()),
                  pa.array([[list(s) for s in _merged(spans)] for spans, _, _ in got], SPANS),
-                 pa.array([sorted(items) for _, items, _ in got], pa.list_(pa.string()))],
-                names=["n_words", "spans", "items"])
+                 pa.array([sorted(keys) for _, keys, _ in got], pa.list_(pa.string()))],
+                names=["n_words", "spans", "texts"])
     return probe
 
 
@@ -176,39 +179,80 @@ def _merge_spans():
     return merge
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", window: int = 13, block_chars: int = 4_000_000,
-                  result: str = "hits") -> DataFrame:
+def found_texts(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text: str = "text",
+                window: int = 13, block_chars: int = 4_000_000, result: str = "hits") -> DataFrame:
     """``docs`` with a struct column ``result``: n_words, n_hit, spans (merged
-    [first, end) word ranges inside an occurrence of a window) and items (ids
-    with an occurring window, as sorted strings).
+    [first, end) word ranges inside an occurrence of a window) and texts (the
+    SHA-256 of every benchmark text with an occurring window, sorted).
 
-    Null and empty texts have no words. A null item id is the empty string;
-    repeated items count once; items without words have no window. An empty
-    benchmark gives empty spans. All columns of ``docs`` are kept; take a
-    ``result`` name it does not have (``common.fresh``).
+    Null and empty texts have no words. A text that many items repeat counts
+    once; items without words have no window. An empty benchmark gives empty
+    spans. All columns of ``docs`` are kept; take a ``result`` name it does not
+    have (``common.fresh``).
     """
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
+    small_batches(spark)
+    texts = written(benchmark.select(F.col(item_text).alias("text")).where("text IS NOT NULL").distinct(),
+                    "benchmark-texts")
+    size = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // block_chars))
     out, parts = docs, []
     for b in range(blocks):  # one pass over the documents for each bounded block
-        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
-        windows = Windows([(r["id"], r["text"]) for r in mine.collect()], window)
+        mine = texts if blocks == 1 else texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b)
+        windows = Windows([tuple(r) for r in mine.select(F.sha2("text", 256), "text").collect()], window)
         windows.choose_prefixes(_counts(docs, text_col, spark.sparkContext.broadcast(windows)))
         part = fresh(out, f"_part{b}")
         out = out.withColumn(part, _probe(spark.sparkContext.broadcast(windows))(F.col(text_col)))
         parts.append(part)
-    spans, ids = F.col(f"{parts[0]}.spans"), F.col(f"{parts[0]}.items")
+    spans, keys = F.col(f"{parts[0]}.spans"), F.col(f"{parts[0]}.texts")
     if blocks > 1:
         spans = _merge_spans()(F.concat(*[F.col(f"{p}.spans") for p in parts]))
-        ids = F.array_sort(F.array_distinct(F.concat(*[F.col(f"{p}.items") for p in parts])))
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    return (out.withColumn("_spans", spans).withColumn(result, F.struct(
-        F.col(f"{parts[0]}.n_words").alias("n_words"), hit.alias("n_hit"), F.col("_spans").alias("spans"),
-        ids.alias("items"))).drop("_spans", *parts))
+        keys = F.array_sort(F.array_distinct(F.concat(*[F.col(f"{p}.texts") for p in parts])))
+    merged = fresh(out, "_spans")
+    hit = F.aggregate(merged, F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return (out.withColumn(merged, spans).withColumn(result, F.struct(
+        F.col(f"{parts[0]}.n_words").alias("n_words"), hit.alias("n_hit"), F.col(merged).alias("spans"),
+        keys.alias("texts"))).drop(merged, *parts))
+
+
+def with_items(hits: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text",
+               result: str = "hits") -> DataFrame:
+    """``found_texts``' rows with items in place of texts: the ids of all items
+    that have a found text, distinct, sorted as strings; a null id is the empty
+    string.
+
+    The rows are written once. Ids meet the distinct sets of found texts; rows
+    without a hit take no part in the join, the others are dealt over salts, as
+    thousands of copies share one set.
+    """
+    kept = written(hits, "benchmark-hits")
+    texts = F.col(f"{result}.texts")
+    owners = benchmark.where(F.col(item_text).isNotNull()).select(
+        F.sha2(F.col(item_text), 256).alias("text"), F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id")).distinct()
+    sets = kept.where(F.size(texts) > 0).select(texts.alias("set")).distinct()
+    named = (sets.select("set", F.explode("set").alias("text")).join(owners, "text")
+             .groupBy("set").agg(F.array_sort(F.collect_set("id")).alias("items"))
+             .select("set", "items", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    names = [fresh(kept, x) for x in ("_set", "_items", "_salt")]
+    named = named.toDF(*names)
+    hit = kept.where(F.size(texts) > 0).withColumn(names[0], texts).withColumn(
+        names[2], F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(named, [names[0], names[2]])
+    clean = kept.where(F.size(texts) == 0)
+
+    def named_result(items: Column) -> Column:
+        return F.struct(*[F.col(f"{result}.{c}").alias(c) for c in ("n_words", "n_hit", "spans")], items.alias("items"))
+
+    return (clean.withColumn(result, named_result(F.array().cast("array<string>"))).unionByName(
+        hit.withColumn(result, named_result(F.col(names[1]))).select(*kept.columns)))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
+                  item_text: str = "text", window: int = 13, block_chars: int = 4_000_000,
+                  result: str = "hits") -> DataFrame:
+    """``docs`` with a struct column ``result``: n_words, n_hit, spans and items
+    (``found_texts``, then ``with_items``)."""
+    return with_items(found_texts(docs, benchmark, text_col, item_text, window, block_chars, result),
+                      benchmark, item_id, item_text, result)
 
 
 def is_contaminated(hits: str):
@@ -219,4 +263,4 @@ def is_contaminated(hits: str):
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """``docs`` without contaminated rows, same columns."""
     name = fresh(docs, "_hits")
-    return contamination(docs, benchmark, result=name, **kw).where(~is_contaminated(name)).drop(name)
+    return found_texts(docs, benchmark, result=name, **kw).where(~is_contaminated(name)).drop(name)

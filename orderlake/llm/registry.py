@@ -131,8 +131,9 @@ FROM e GROUP BY conv_id
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = decontam.contamination(docs, _table(spark, sf_dir, "benchmark"), window=13)
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontam.found_texts(docs.select("doc_id", "text"), benchmark, window=13)
+    hits = decontam.with_items(found.select("doc_id", "hits"), benchmark)
     return hits.select(
         "doc_id", "hits.n_words", "hits.n_hit", F.size("hits.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("hits.items", ","), 256).alias("items_sha256"),

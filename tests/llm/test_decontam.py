@@ -72,3 +72,29 @@ def test_empty_tables(spark, make_docs, odd_texts):
     assert decontam.drop_contaminated(make_docs(odd_texts), none).count() == len(odd_texts)
     some = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert decontam.contamination(make_docs([]), some).count() == 0
+
+
+def test_a_text_that_a_third_of_the_items_share(spark, make_docs, monkeypatch):
+    hot = " ".join(f"hot{i}" for i in range(15))
+    items = [(i, hot if i % 3 == 0 else f"own{i} words here") for i in range(300)] + [(None, hot), (3, hot)]
+    docs = [(i, f"before {hot} after") for i in range(40)] + [(50, f"own1 words here {hot}"), (51, "clean text"), (52, None)]
+    seen = []
+    real = decontam.Windows.__init__
+    monkeypatch.setattr(decontam.Windows, "__init__", lambda self, texts, window: seen.append(texts) or real(self, texts, window))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    table = make_docs(docs).withColumnRenamed("score", "_items")
+    out = decontam.contamination(table, bench, block_chars=10**6)
+    assert out.columns == [*table.columns, "hits"]
+    got = [str((r["doc_id"], r["hits"]["n_words"], r["hits"]["n_hit"], r["hits"]["items"], r["c"]))
+           for r in out.withColumn("c", decontam.is_contaminated("hits")).collect()]
+    assert sorted(got) == plain(docs, items, 13)
+    assert [len(x) for x in seen] == [201]                      # the hot text is collected and broadcast once
+
+
+def test_repeated_rows_and_clashing_names(spark, make_docs):
+    docs = [(1, "alpha beta gamma")] * 3 + [(None, "alpha beta gamma"), (2, "none of it")]
+    bench = spark.createDataFrame([(7, "alpha beta gamma"), (8, "ALPHA beta gamma")], "item_id long, text string")
+    table = make_docs(docs).withColumnRenamed("score", "_part0")
+    out = decontam.contamination(table, bench)
+    assert sorted(str((r["doc_id"], r["hits"]["items"])) for r in out.collect()) == sorted(
+        str((i, ["7", "8"] if "alpha" in t else [])) for i, t in docs)
