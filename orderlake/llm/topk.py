@@ -6,14 +6,20 @@ over a range is its local score in that range's list.
 1. Every partition gathers, for each query, the best entries of each local
    list, and sends the best totals among them. The k-th highest total over all
    partitions is a safe cutoff: the true k-th score is not lower.
-2. The cutoffs are broadcast. A vector whose total reaches the cutoff has a
-   local score of at least cutoff / lists in some list, so these entries are
-   sufficient and all others are dropped unread.
+2. The cutoffs are broadcast. A local score is at most the product of the two
+   vectors' lengths in its range, so queries and rows of a chunk whose products
+   do not add up to a cutoff are left out before any local score is computed.
+   Of the others, a vector whose total reaches the cutoff has a local score of
+   at least cutoff / lists in some list, so these entries are sufficient.
 3. The totals of the collected entries are resolved exactly; what reaches the
    cutoff (at most k per partition) is ranked, ties to the smaller id.
 
-Queries come in blocks of bounded size against all rows, each block's matrix
-is broadcast. Vectors are cut into row chunks, so memory is bounded by block
+Local scores are not kept between the phases: queries times rows are more than
+the vectors themselves. What the lengths don't rule out is computed twice.
+
+Queries come in blocks of bounded size against all rows; each block's matrix
+is broadcast, its best rows are written, and the broadcasts are released before
+the next block. Vectors are cut into row chunks, so memory is bounded by block
 times chunk.
 """
 
@@ -27,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlake.llm.common import written
+from orderlake.session import scratch_dir
 
 CHUNK = 1024
 SALTS = 64
@@ -58,14 +65,29 @@ class Block:
         cuts = np.linspace(0, dim, min(lists, max(dim, 1)) + 1).astype(int).tolist()
         self.ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
         self.most, self.real = _most(matrix) * max(dim, 1), matrix.astype(np.float64)
+        self.lengths = self.range_lengths(matrix)
+
+    def range_lengths(self, rows: np.ndarray) -> np.ndarray:
+        """Euclidean length of every row in every range."""
+        real = rows.astype(np.float64)
+        return np.stack([np.sqrt((real[:, a:b] ** 2).sum(axis=1)) for a, b in self.ranges], axis=1)
 
-    def local_lists(self, rows: np.ndarray) -> list[np.ndarray]:
+    def local_lists(self, rows: np.ndarray, asked=slice(None)) -> list[np.ndarray]:
         """The local scores (queries x rows) of every range: whole numbers,
         as float64 where its sums are exact, else as Python numbers."""
         if self.most * _most(rows) < 2 ** 53:
-            real = rows.astype(np.float64)
-            return [self.real[:, a:b] @ real[:, a:b].T for a, b in self.ranges]
-        return [self.matrix[:, a:b].astype(object) @ rows[:, a:b].T.astype(object) for a, b in self.ranges]
+            real, mine = rows.astype(np.float64), self.real[asked]
+            return [mine[:, a:b] @ real[:, a:b].T for a, b in self.ranges]
+        mine = self.matrix[asked]
+        return [mine[:, a:b].astype(object) @ rows[:, a:b].T.astype(object) for a, b in self.ranges]
+
+    def reachable(self, rows: np.ndarray, floor: np.ndarray):
+        """(queries, rows) of which some pair may reach the query's floor, by
+        the lengths; rounding is allowed for."""
+        lengths = self.range_lengths(rows)
+        asked = np.flatnonzero(self.lengths @ lengths.max(axis=0, initial=0) * (1 + 1e-9) >= floor)
+        bound = self.lengths[asked] @ lengths.T * (1 + 1e-9)
+        return asked, np.flatnonzero((bound >= floor[asked, None]).any(axis=0))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], dim: int):
@@ -104,12 +126,17 @@ def _phase_two(block, cutoffs, k: int):
         need = (need - 1e-9 * np.abs(np.where(np.isfinite(need), need, 0)))[:, None]
         best = [np.empty(0, np.int64)] * 3
         for ids, rows in _chunks(batches, b.matrix.shape[1]):
-            lists = b.local_lists(rows)
+            asked, near = b.reachable(rows, floor)
+            if not len(near):
+                continue
+            ids = ids[near]
+            lists = b.local_lists(rows[near], asked)
             reach = np.zeros(lists[0].shape, dtype=bool)
             for one in lists:
-                reach |= (one >= need).astype(bool)
+                reach |= (one >= need[asked]).astype(bool)
             q, i = np.nonzero(reach)
             total = sum(one[q, i] for one in lists)  # phase three: exact totals of the collected
+            q = asked[q]
             good = (total >= floor[q]).astype(bool) & (ids[i] != b.ids[q])
             q, i, total = q[good], i[good], total[good]
             if total.dtype == object:
@@ -159,7 +186,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
     asked = written(whole(queries).groupBy("id").agg(F.min("v").alias("v")), "topk-queries")
     about = asked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("v")), F.lit(0)).alias("dim")).first()
     blocks = -(-about["n"] // block_rows)
-    out = spark.createDataFrame([], "query_id long, vec_id long, score long")
+    path, kinds = scratch_dir(spark, "topk-blocks"), "query_id long, rank int, vec_id long, score long"
+    answered = []
     for i in range(blocks):
         mine = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).collect()
         if not mine:
@@ -173,6 +201,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
         ranked = _highest(_highest(local, k, "query_id", "salt"), k, "query_id").where(F.size("scores") == k)
         cutoffs = spark.sparkContext.broadcast({r["query_id"]: r["low"] for r in ranked.select(
             "query_id", F.col("scores")[k - 1].alias("low")).collect()})
-        out = out.unionByName(rows.mapInArrow(_phase_two(block, cutoffs, k), "query_id long, vec_id long, score long"))
-    salted = _best(out.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))), k, "query_id", "salt")
-    return _best(salted.drop("rank"), k, "query_id").select("query_id", "rank", "vec_id", "score")
+        out = rows.mapInArrow(_phase_two(block, cutoffs, k), "query_id long, vec_id long, score long").withColumn(
+            "salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS)))
+        _best(_best(out, k, "query_id", "salt").drop("rank"), k, "query_id").select(
+            "query_id", "rank", "vec_id", "score").write.parquet(f"{path}/block={i}")
+        answered.append(i)
+        cutoffs.destroy()
+        block.destroy()
+    if not answered:
+        return spark.createDataFrame([], kinds)
+    return spark.read.schema(kinds).parquet(path).drop("block")

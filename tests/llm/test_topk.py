@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from orderlake.llm import topk
@@ -51,3 +52,29 @@ def test_fewer_rows_than_k_and_empty(spark):
 def test_integers_beyond_a_double(spark):
     rows = [(i, [float((i * 7919) % 1000 + 1) * 2.0**21, float(i), -3.0 * 2.0**20]) for i in range(0, 90, 5)]
     assert run(spark, rows, k=5) == plain(rows, 5)
+
+
+def test_short_vectors_are_left_out_before_their_scores(spark):
+    """Lengths alone rule out what cannot reach a cutoff; results stay whole."""
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * (8.0 if i % 10 == 0 else 0.05) for _ in range(8)]) for i in range(400)]
+    assert run(spark, rows, k=5) == plain(rows, 5)
+    whole = np.array([[math.floor(64 * x) for x in v] for _, v in rows], dtype=np.int64)
+    ids = [i for i, _ in rows]
+    block = topk.Block([i for i in ids if i % 20 == 0], whole[::20], 4)
+    scores = whole[::20] @ whole.T
+    floor = np.sort(scores, axis=1)[:, -6].astype(float)
+    asked, near = block.reachable(whole, floor)
+    assert len(near) < 100 and len(asked) == 20
+    assert set(np.nonzero((scores >= floor[:, None]).any(axis=0))[0]) <= set(near.tolist())
+    assert len(block.reachable(whole[1:2], floor)[1]) == 0
+
+
+def test_nothing_stays_broadcast(spark, monkeypatch):
+    made = []
+    real = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: made.append(real(value)) or made[-1])
+    rows = [(i, [float(i), 1.0]) for i in range(0, 200, 5)]
+    assert run(spark, rows, k=3, block_rows=2) == plain(rows, 3)
+    assert len(made) >= 6
+    assert not any(b._jbroadcast.isValid() for b in made)
