@@ -6,9 +6,9 @@ tail probability of a grade above any cut. x holds hashed words, word shapes
 (letters dropped, case and signs kept) and repeats of the word before, as
 log(1 + count), scaled to length 1.
 
-At most ``sample`` rated texts are fitted on, drawn by a hash of the text from
-every grade in proportion; their count vectors (fixed size, one byte a place)
-are all that reaches the driver. Every text is scored whole.
+At most ``sample`` distinct rated texts are fitted on, those of least draws by a
+hash of the text, whatever ids or texts repeat; their count vectors (fixed size,
+one byte a place) are all that reaches the driver. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -69,35 +69,43 @@ class Model:
         return 1 / (1 + np.exp(-(z[:, None] - self.thresholds[None, :])))
 
 
+def ordered(theta: np.ndarray, d: int) -> np.ndarray:
+    """The thresholds: a first one plus exponentials of free gaps."""
+    return np.concatenate((theta[d:d + 1], theta[d] + np.cumsum(np.exp(theta[d + 1:]))))
+
+
+def gradient(theta: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, l2: float) -> np.ndarray:
+    """Of the mean negative log likelihood of grade places ``y`` (0 to k - 1)
+    plus l2 / 2 times the weights' squares."""
+    n, d = x.shape
+    z = x @ theta[:d].astype(np.float32)
+    t = np.concatenate(([-np.inf], ordered(theta, d), [np.inf]))
+    up = 1 / (1 + np.exp(-(z[:, None] - t[None, :])))  # k + 1 columns, 1 to 0
+    high, low = up[np.arange(n), y], up[np.arange(n), y + 1]
+    p = np.maximum(high - low, 1e-9)
+    dz = -(high * (1 - high) - low * (1 - low)) / p / n
+    dt = np.zeros(k + 1)
+    np.add.at(dt, y, high * (1 - high) / p / n)
+    np.add.at(dt, y + 1, -low * (1 - low) / p / n)
+    dt = dt[1:-1]
+    gap = np.exp(theta[d + 1:]) * np.cumsum(dt[::-1])[::-1][1:]
+    return np.concatenate((x.T @ dz.astype(np.float32) + l2 * theta[:d], [dt.sum()], gap))
+
+
 def fit_thresholds(x: np.ndarray, grade: np.ndarray, grades: list[int], bits: int, steps: int = 300,
                    l2: float = 1e-4, rate: float = 0.2) -> Model:
-    """Adam on the negative log likelihood. Thresholds are a first one plus
-    exponentials of free gaps, so they stay ordered."""
-    n, k = len(x), len(grades)
+    """Adam on the negative log likelihood; the thresholds stay ordered."""
+    k, d = len(grades), x.shape[1]
     y = np.searchsorted(grades, grade)
     share = np.clip([(y > j).mean() for j in range(k - 1)], 1e-3, 1 - 1e-3)
     start = -np.log(share / (1 - share))
-    gaps = np.log(np.maximum(np.diff(start), 1e-2))
-    theta = np.concatenate((np.zeros(x.shape[1]), start[:1], gaps))
+    theta = np.concatenate((np.zeros(d), start[:1], np.log(np.maximum(np.diff(start), 1e-2))))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    d = x.shape[1]
     for step in range(1, steps + 1):
-        w, t = theta[:d], np.concatenate((theta[d:d + 1], theta[d] + np.cumsum(np.exp(theta[d + 1:]))))
-        z = x @ w.astype(np.float32)
-        up = 1 / (1 + np.exp(-(z[:, None] - np.concatenate(([-np.inf], t, [np.inf]))[None, :])))  # k + 1 columns, 1 to 0
-        high, low = up[np.arange(n), y], up[np.arange(n), y + 1]
-        p = np.maximum(high - low, 1e-9)
-        dz = -(high * (1 - high) - low * (1 - low)) / p / n
-        dt = np.zeros(k + 1)
-        np.add.at(dt, y, high * (1 - high) / p / n)
-        np.add.at(dt, y + 1, -low * (1 - low) / p / n)
-        dt = dt[1:-1]
-        gap = np.exp(theta[d + 1:]) * np.cumsum(dt[::-1])[::-1][1:]
-        g = np.concatenate((x.T @ dz.astype(np.float32) + l2 * w, [dt.sum()], gap))
+        g = gradient(theta, x, y, k, l2)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    t = np.concatenate((theta[d:d + 1], theta[d] + np.cumsum(np.exp(theta[d + 1:]))))
-    return Model(grades, theta[:d].astype(np.float32), t, bits)
+    return Model(grades, theta[:d].astype(np.float32), ordered(theta, d), bits)
 
 
 def fit(docs: DataFrame, ratings: DataFrame, train: Column, id_col: str, text_col: str, grade_col: str,
@@ -107,14 +115,18 @@ def fit(docs: DataFrame, ratings: DataFrame, train: Column, id_col: str, text_co
     known = ratings.where(F.col(id_col).isNotNull() & F.col(grade_col).isNotNull()).groupBy(
         F.col(id_col).alias("_id")).agg(F.min(F.col(grade_col).cast("int")).alias("grade"))
     known = written(known, "quality-ratings")
-    rows = docs.where(train & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"))
-    ids = written(rows.select("_id").join(known, "_id"), "quality-ids")
-    n = ids.count()
+    rows = docs.where(train & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("t"))
+    texts = written(rows.select("_id", "h").distinct().join(known, "_id").groupBy("h").agg(F.min("grade").alias("grade")),
+                    "quality-texts")
+    n = texts.count()
     if not n:
         return None
-    draw = F.shiftrightunsigned(F.xxhash64("_id", F.lit(5)), 11) / float(1 << 53)
-    want = ids.distinct().where(draw < min(1.0, 1.1 * sample / n))
-    picked = rows.join(F.broadcast(want), "_id").select("grade", draw.alias("draw"), "t")
+    draw = F.shiftrightunsigned(F.xxhash64("h", F.lit(5)), 11) / float(1 << 53)
+    want = written(texts.withColumn("draw", draw).where(F.col("draw") < min(1.0, 1.1 * sample / n))
+                   .orderBy("draw", "h").limit(sample), "quality-sample")  # about 1.1 times the sample is sorted
+    picked = rows.select("h", "t").join(F.broadcast(want), "h").groupBy("h").agg(
+        F.first("grade").alias("grade"), F.first("draw").alias("draw"), F.any_value("t").alias("t")).select("grade", "draw", "t")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordCache(_places(bits))
@@ -125,7 +137,7 @@ def fit(docs: DataFrame, ratings: DataFrame, train: Column, id_col: str, text_co
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(got, pa.binary())],
                                   names=["grade", "draw", "x"])
 
-    got = picked.mapInArrow(vectors, "grade int, draw double, x binary").orderBy("draw", "grade").limit(sample).collect()
+    got = picked.mapInArrow(vectors, "grade int, draw double, x binary").orderBy("draw", "grade").collect()
     grade = np.array([r["grade"] for r in got])
     grades = sorted(set(grade.tolist()))
     if not grades:
@@ -142,7 +154,8 @@ def quality(docs: DataFrame, ratings: DataFrame, train: Column, id_col: str = "d
     probability of a grade above ``above``.
 
     Ratings are joined by id and learned from where ``train`` holds; an id
-    rated twice takes its least grade; null ids and grades teach nothing. Null
+    rated twice takes its least grade, and so does a text of several ids, which
+    is learned from once; null ids and grades teach nothing. Null
     and empty texts have no features and score by the thresholds alone. With
     nothing to learn both values are null. All rows and columns of ``docs``
     stay; take a ``result`` name it does not have.

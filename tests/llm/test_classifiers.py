@@ -231,3 +231,49 @@ def test_lexicon_equals_a_plain_count(spark):
             want[term] = math.log((t + 0.5) / (n[1] + 1)) - math.log((c + 0.5) / (n[0] + 1))
     got = toxicity.learn_lexicon(train).weights
     assert got == pytest.approx(want) and {"moron", "moro*", "vequa"} <= set(got) and "stays" not in got
+
+
+def test_quality_gradient_equals_finite_differences():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(60, 4)).astype(np.float32)
+    y, k, d, l2 = rng.integers(0, 4, 60), 4, 4, 0.01
+    theta = np.concatenate((rng.normal(size=d), [-1.0], np.log([0.7, 1.3])))
+
+    def loss(th):
+        cuts = [th[d]]
+        for gap in th[d + 1:]:
+            cuts.append(cuts[-1] + np.exp(gap))
+        total = 0.0
+        for row, grade in zip(x.astype(float), y.tolist(), strict=True):
+            z = sum(a * b for a, b in zip(row, th[:d], strict=True))
+            above = [1.0, *(1 / (1 + np.exp(c - z)) for c in cuts), 0.0]
+            total -= np.log(above[grade] - above[grade + 1])
+        return total / len(y) + l2 / 2 * sum(w * w for w in th[:d])
+
+    step = 1e-5 * np.eye(len(theta))
+    want = [(loss(theta + e) - loss(theta - e)) / 2e-5 for e in step]
+    np.testing.assert_allclose(quality.gradient(theta, x, y, k, l2), want, atol=2e-5)
+
+
+def test_quality_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """One id with very many texts, one text with very many ids."""
+    rng = random.Random(14)
+    rows = [(1, _text(rng, "en", 20)) for _ in range(400)] + [(i, "all the same text") for i in range(2000, 2300)]
+    rows += [(i, _text(rng, "de", 20)) for i in range(3000, 3200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    grades = spark.createDataFrame([(i, i % 3) for i in {r[0] for r in rows}], "doc_id long, grade int")
+    seen, real = [], quality.fit_thresholds
+
+    def spy(x, grade, *a, **k):
+        seen.append((x.tobytes(), grade.tolist()))
+        return real(x, grade, *a, steps=2, **k)
+    monkeypatch.setattr(quality, "fit_thresholds", spy)
+    kept, written = {}, quality.written
+    monkeypatch.setattr(quality, "written", lambda df, name: kept.setdefault(f"{name}{len(seen)}", written(df, name)))
+    for parts in (4, 7):
+        quality.fit(docs.repartition(parts), grades, F.lit(True), "doc_id", "text", "grade", sample=60)
+    assert len(seen[0][1]) == 60 and seen[0] == seen[1]
+    texts = {r["h"]: r["grade"] for r in kept["quality-texts0"].collect()}
+    assert len(texts) == 601 and texts[spark.sql("SELECT xxhash64('all the same text')").first()[0]] == 0
+    least = sorted((r["draw"], r["h"]) for r in kept["quality-sample0"].collect())
+    assert len({h for _, h in least}) == 60
