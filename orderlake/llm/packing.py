@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -33,31 +34,38 @@ from orderlake.llm.common import WordCache, byte_texts, small_batches, written
 
 #: Sequences of merged left-over windows are numbered from here.
 MERGED = 1 << 62
+#: The usual pattern of words, and one that finds the same in lower-cased plain text, faster.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN_WORDS = r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
 
 
 class Encoder:
-    """Token ids of whole texts, one white-space separated chunk at a time.
+    """Token ids of whole texts, one word or white-space separated chunk at a time.
 
     The tokenizer splits at white space before it merges and drops it, so a
     chunk's ids do not depend on its neighbours and can be kept. Chunks end at
-    ASCII white space only; any other is left to the tokenizer. A chunk of
-    printable ASCII and Latin-1 letters is in normal form, so it is lower-cased
-    and cut by the tokenizer's own pattern, and only unseen words go through
-    its merges. Every other chunk, and every other kind of tokenizer, takes the
-    tokenizer's whole way."""
+    ASCII white space only; any other is left to the tokenizer. Printable ASCII
+    and Latin-1 letters are in normal form, so a text of these and ASCII white
+    space is lower-cased and cut by the tokenizer's own pattern as a whole, and
+    only unseen words go through its merges. Other texts go chunk by chunk: a
+    chunk of these letters the same way, every other chunk, and every other kind
+    of tokenizer, the tokenizer's whole way."""
 
     def __init__(self, tokenizer_json: str, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.chunks, self.words = WordCache(self._chunk, limit), WordCache(self._word, limit)
+        self.chunks, self.words = WordCache(self._chunk, limit), WordCache(self._word, 2 * limit)
         spec = json.loads(tokenizer_json)
         steps = [x.get("type") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         self.simple = None
         if steps == ["NFC", "Replace", "Lowercase"] and [x.get("type") for x in cuts] == ["Split", "ByteLevel"]:
-            self.findall = regex.compile(cuts[0]["pattern"]["Regex"]).findall
+            pattern = cuts[0]["pattern"]["Regex"]
+            self.findall = regex.compile(pattern).findall
+            self.plain_words = re.compile(_PLAIN_WORDS).findall if pattern == _WORDS else self.findall
             self.simple = regex.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+            self.plain = re.compile(r"[\t-\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*").fullmatch
             added = [x["content"] for x in spec["added_tokens"]]
             self.special = os.path.commonprefix(added) if added else "\n"  # no chunk holds a line end
             self.model, self.letters = self.tokenizer.model, byte_letters()
@@ -78,6 +86,10 @@ class Encoder:
 
     def encode(self, text: bytes) -> np.ndarray:
         """The ids of one UTF-8 text."""
+        if self.simple:
+            whole = text.decode()
+            if self.plain(whole) and self.special not in whole:
+                return np.frombuffer(b"".join(map(self.words.__getitem__, self.plain_words(whole.lower()))), dtype=np.uint32)
         return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split())), dtype=np.uint32)
 
 

@@ -33,6 +33,21 @@ def test_encoder_equals_the_tokenizer(tokenizer):
         assert own.encode(text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_texts_are_cut_as_a_whole(tokenizer):
+    with open(PATH, encoding="utf-8") as f:
+        own = packing.Encoder(f.read(), limit=50)
+    made, make = [], own.words.make
+    own.words.make = lambda w: made.append(w) or make(w)
+    text = "Tion*** tion###\ttion, don't\r\nÉté É99 'Sx it's\x0b\x0cTION"
+    assert own.encode(text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert made.count("tion") == 1 and not own.chunks  # no entry for each word with other signs around it
+    rng = random.Random(2)
+    letters = "abcXYZ'stÉéßÿ×ª <|>~! \t\n\r\x0b\x0c09"
+    for i in range(600):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) + (" <|endoftext|>x" if i % 9 == 0 else "")
+        assert own.encode(text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("capacity, open_windows", [(64, 4), (2048, 64)])
 def test_pieces_cover_every_id_once(spark, make_docs, odd_texts, tokenizer, capacity, open_windows):
     rng = random.Random(3)
