@@ -40,10 +40,12 @@ def deltas(merged: DataFrame) -> DataFrame:
     """Signed sums of a merge's rows: ``_in_src`` (the row is the source's) and
     ``_old`` (the target's values of the row it replaced, or null)."""
     changed = merged.where("_in_src")
-    new = changed.select("process_date", *USED, F.lit(1).alias("_sign"))
-    old = changed.where(F.col("_old").isNotNull()).select("process_date", *(F.col(f"_old.{c}").alias(c) for c in USED),
-                                                          F.lit(-1).alias("_sign"))
-    return _sums(new.unionByName(old), F.col("_sign"))
+    kinds = {c: merged.schema[c].dataType for c in USED}
+
+    def row(prefix: str, sign: int) -> Column:
+        return F.struct(*(F.col(prefix + c).cast(kinds[c]).alias(c) for c in USED), F.lit(sign).alias("_sign"))
+    rows = F.when(F.col("_old").isNotNull(), F.array(row("", 1), row("_old.", -1))).otherwise(F.array(row("", 1)))
+    return _sums(changed.select("process_date", F.inline(rows)), F.col("_sign"))
 
 
 @dataclass(frozen=True)

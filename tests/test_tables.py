@@ -102,3 +102,15 @@ def test_differences_are_located(spark):
     assert again.count() == len(got)
     assert checksums.differing_cells(sums, checksums.checksums(a, "order_id", "process_date", COLUMNS)).count() == 0
     assert checksums.differences(a, a, "order_id", "process_date", COLUMNS).count() == 0
+
+
+def test_deltas_read_the_stage_once(spark, tmp_root):
+    row = "order_id string, user_id string, amount double, process_date date, user_segment string, event_count int"
+    day = dt.date(2025, 1, 1)
+    tgt = spark.createDataFrame([("1", "u", 1.5, day, "a", 2), ("2", "u", 2.0, day, "b", 1)], row)
+    src = spark.createDataFrame([("2", "u", 3.25, day, "c", 4), ("3", "u", 9.0, day, "a", None)], row)
+    GD._merged(src, tgt, ["process_date", "order_id"], GD.MODEL, True).write.parquet(f"{tmp_root}/stage")
+    sums = rollups.deltas(spark.read.parquet(f"{tmp_root}/stage"))
+    assert sums._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert {(r["user_segment"], r["order_count"], float(r["total_revenue"]), r["total_events"]) for r in sums.collect()} == {
+        ("b", -1, -2.0, -1), ("c", 1, 3.25, 4), ("a", 1, 9.0, None)}
